@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.operators import diff, grid
+from marlstone.operators import dedup, diff, grid, lateness
 from marlstone.sources.tables import table
 
 MINUTE_US = 60_000_000
@@ -57,4 +57,67 @@ def p6_series(spark: SparkSession, folder: str) -> DataFrame:
     return series.select("instrument_id", F.expr("slot_us div 1000").alias("open_time_ms"), "status", F.round("close_price", 6).alias("close_price"), F.round("base_volume", 6).alias("base_volume"))
 
 
-QUERIES = {"p6_found": p6_found, "p6_series": p6_series, "p7_found": p7_found, "p7_totals": p7_totals}
+
+def _messages(spark: SparkSession, folder: str) -> DataFrame:
+    envelope = table(spark, folder, "ws_envelope", "ingest_seq", "segment_no", "payload_hash", "message_id")
+    orders = table(spark, folder, "liquidation", "ingest_seq", "segment_no", "dedup_fingerprint", "message_id")
+
+    def shaped(df: DataFrame, dataset: str, content: str) -> DataFrame:
+        return df.select(
+            F.lit(dataset).alias("dataset"), F.col("ingest_seq").alias("seq"), F.col("segment_no").alias("segment"),
+            dedup.token(dataset, content, dedup.plain_identifier(content)).alias("first"),
+            dedup.token(dataset, "message_id", dedup.plain_identifier("message_id")).alias("second"),
+        )
+
+    return shaped(envelope, "ws_envelope", "payload_hash").unionByName(shaped(orders, "liquidation", "dedup_fingerprint"))
+
+
+def _store(spark: SparkSession, folder: str, rows: DataFrame, datasets: list[str]) -> dedup.MessageStore:
+    """History up to the last eighth of the intake batches, then that eighth as incoming messages."""
+    last = rows.agg(F.max("segment")).first()[0]
+    cuts = [] if not last else [last - last // 8]
+    return dedup.intake(spark, rows, datasets, cuts)
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Surplus deliveries of stream messages and forced orders."""
+    store = _store(spark, folder, _messages(spark, folder), ["ws_envelope", "liquidation"])
+    return store.surplus().select("dataset", F.col("seq").alias("ingest_seq"))
+
+
+PERIOD_US, CUTOFF_US = 5 * MINUTE_US, 30 * MINUTE_US
+
+
+def _orders(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per forced order: copies merged, with the earliest arrival and the kept copy's values."""
+    rows = table(spark, folder, "liquidation", "ingest_seq", "instrument_id", "event_time", "received_at", "knowledge_time", "source_price")
+    messages = _messages(spark, folder).filter("dataset = 'liquidation'")
+    winners = _store(spark, folder, messages, ["liquidation"]).rows().select(F.col("seq").alias("ingest_seq"), "winner")
+    price = F.expr("try_cast(source_price as decimal(38,18))")
+    joined = rows.join(winners, "ingest_seq").select(
+        "winner", "instrument_id", "ingest_seq",
+        F.unix_micros("event_time").alias("event_us"),
+        F.unix_micros(F.coalesce("knowledge_time", "received_at")).alias("arrival_us"),
+        price.alias("price"),
+    )
+    kept = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("ingest_seq"))).alias(c)
+    return joined.groupBy("winner").agg(kept("instrument_id"), kept("event_us"), F.min("arrival_us").alias("arrival_us"), kept("price"))
+
+
+def _order_state(spark: SparkSession, folder: str) -> DataFrame:
+    return lateness.adjust(_orders(spark, folder), ["instrument_id"], F.col("event_us"), F.col("arrival_us"), F.col("price"), PERIOD_US, CUTOFF_US)
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Periods that late orders corrected, and periods with orders beyond the cut-off."""
+    found = lateness.outcomes(_order_state(spark, folder), ["instrument_id"])
+    return found.select("instrument_id", F.expr("period_us div 1000").alias("period_start_ms"), "outcome")
+
+
+def p2_figures(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders, distinct prices, extremes and median price per period, before and after correction."""
+    found = lateness.corrected(_order_state(spark, folder), ["instrument_id"])
+    return found.withColumn("period_start_ms", F.expr("period_us div 1000")).drop("period_us")
+
+
+QUERIES = {"p2_found": p2_found, "p2_figures": p2_figures, "p3_found": p3_found, "p6_found": p6_found, "p6_series": p6_series, "p7_found": p7_found, "p7_totals": p7_totals}
