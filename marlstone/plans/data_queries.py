@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.operators import dedup, diff, grid, lateness
-from marlstone.sources.tables import table
+from marlstone.operators import dedup, diff, grid, lateness, profile
+from marlstone.sources.tables import bounded, table
 
 MINUTE_US = 60_000_000
 
@@ -120,4 +120,57 @@ def p2_figures(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("period_start_ms", F.expr("period_us div 1000")).drop("period_us")
 
 
-QUERIES = {"p2_found": p2_found, "p2_figures": p2_figures, "p3_found": p3_found, "p6_found": p6_found, "p6_series": p6_series, "p7_found": p7_found, "p7_totals": p7_totals}
+CATALOG_BOUND = 10_000
+
+
+def _graded(spark: SparkSession, folder: str) -> DataFrame:
+    """Every result once, with its metric's kind (null if unknown) and whether its value fits."""
+    rows = table(spark, folder, "dq_metric_result", "result_id", "load_no", "metric", "observed_value", "evaluation")
+    known = rows.filter("result_id is not null").dropDuplicates(["result_id"]).unionByName(rows.filter("result_id is null"))
+    catalog = table(spark, folder, "dq_metric_catalog").filter("metric is not null").dropDuplicates(["metric"])
+    kind = F.col("value_kind")
+    fit = profile.fits(F.col("observed_value"), kind, F.col("min_value"), F.col("max_value"), F.col("allowed"))
+    graded = known.join(bounded(catalog, CATALOG_BOUND), "metric", "left").withColumn("fit", fit)
+    return graded.select(
+        "result_id", "load_no", "metric", "evaluation", kind.alias("kind"), F.col("observed_value").alias("value"), "fit",
+        F.when(F.col("fit") & kind.isin("rate", "seconds", "count"), F.col("observed_value").try_cast("double")).alias("number"),
+    )
+
+
+def _tested(graded: DataFrame) -> DataFrame:
+    sized = F.when(F.col("kind") == "label", F.when(F.col("fit"), F.col("value"))).otherwise(profile.level(F.col("number")))
+    cells = graded.filter("kind is not null and load_no is not null").groupBy(
+        "metric", "load_no", F.pmod(F.xxhash64("result_id"), F.lit(profile.FOLDS)).alias("fold"),
+        F.col("value").isNull().alias("missing"), "fit", sized.alias("size"), "evaluation",
+    ).agg(F.count(F.lit(1)).alias("n"))
+    return profile.two_sample(cells, "metric", "load_no", "fold", ["missing", "fit", "size", "evaluation"])
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Misnamed metrics, values that break their metric's form, and shifts from load to load."""
+    graded = _graded(spark, folder)
+    broken = F.when(F.col("kind").isNull(), "unknown_metric").when(F.col("value").isNotNull() & ~F.col("fit"), "bad_value")
+    single = graded.withColumn("finding", broken).filter("finding is not null").select("finding", "metric", "load_no", "result_id")
+    known = graded.filter("kind is not null and load_no is not null")
+    moved = profile.shifts(known, "metric", "load_no", _tested(graded))
+    return single.unionByName(moved.select("finding", "metric", "load_no", F.lit(0).cast("bigint").alias("result_id")))
+
+
+def p4_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """How well a classifier tells each load of a metric from the one before, and by which column."""
+    tested = _tested(_graded(spark, folder))
+    return tested.select("metric", "load_no", *(F.round(c, 6).alias(c) for c in tested.columns if c not in ("metric", "load_no")))
+
+
+def p4_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """Nulls, distinct values and ranges of every column of the quality results, load by load."""
+    return profile.columns_by_load(table(spark, folder, "dq_metric_result"), "load_no")
+
+
+def p4_trade_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for the archive of trades, a day of receipt being a load."""
+    trades = table(spark, folder, "archive_trade").withColumn("day", F.to_date("received_at").cast("string"))
+    return profile.columns_by_load(trades, "day")
+
+
+QUERIES = {"p2_found": p2_found, "p2_figures": p2_figures, "p3_found": p3_found, "p4_found": p4_found, "p4_drift": p4_drift, "p4_profile": p4_profile, "p4_trade_profile": p4_trade_profile, "p6_found": p6_found, "p6_series": p6_series, "p7_found": p7_found, "p7_totals": p7_totals}

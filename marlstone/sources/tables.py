@@ -17,3 +17,8 @@ def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFra
         df = df.select(*columns)
     naive = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
     return df.withColumns({c: F.col(c).cast("timestamp") for c in naive}) if naive else df
+
+
+def bounded(df: DataFrame, most_rows: int) -> DataFrame:
+    """``df`` marked for broadcast if it proves to have at most ``most_rows``, else as it is."""
+    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
