@@ -59,7 +59,7 @@ class GenerationTable:
         caller has to rule out; they are never switched in.
         """
         fs, jvm = self._fs()
-        new = f"gen-{uuid.uuid4().hex}"
+        new = f"gen={uuid.uuid4().hex}"
         rows.select(*(f.name for f in self.schema.fields), F.col("part").cast("bigint").alias("part")).write.partitionBy("part").parquet(f"{self.root}/{new}")
         made = {int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{self.root}/{new}")) if s.getPath().getName().startswith("part=")}
         now = self.manifest()
