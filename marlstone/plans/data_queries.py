@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.operators import dedup, diff, grid, lateness, profile
+from marlstone.operators import dedup, diff, drift, grid, lateness, profile
 from marlstone.sources.tables import bounded, table
 
 MINUTE_US = 60_000_000
@@ -173,4 +173,42 @@ def p4_trade_profile(spark: SparkSession, folder: str) -> DataFrame:
     return profile.columns_by_load(trades, "day")
 
 
-QUERIES = {"p2_found": p2_found, "p2_figures": p2_figures, "p3_found": p3_found, "p4_found": p4_found, "p4_drift": p4_drift, "p4_profile": p4_profile, "p4_trade_profile": p4_trade_profile, "p6_found": p6_found, "p6_series": p6_series, "p7_found": p7_found, "p7_totals": p7_totals}
+ALIAS_BOUND = 10_000
+CANDLE_FIELDS = {
+    "open_time": "time", "open": "number", "high": "number", "low": "number", "close": "number", "base_volume": "number", "quote_volume": "number",
+    "trade_count": "whole", "taker_buy_base_volume": "number", "taker_buy_quote_volume": "number", "is_closed": "flag", "schema_version": "text",
+    "native_symbol": "text", "source_method": "text", "received_at": "time", "clock_offset_ms": "number", "candle_source": "text",
+    "source_volume": "number", "source_volume_unit": "text", "source_turnover": "number", "ingestion_run_id": "text", "aggregation_version": "text",
+}
+
+
+def _candle_files(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    records = table(spark, folder, "raw_candle_record", "source_dataset_id", "file_seq", "payload")
+    aliases = bounded(table(spark, folder, "field_alias").filter("alias is not null").dropDuplicates(["alias"]), ALIAS_BOUND)
+    return records, drift.file_fields(records, "source_dataset_id", "file_seq", "payload", aliases)
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Every change of a field from one file of a source to the next."""
+    records, fields = _candle_files(spark, folder)
+    steps = drift.migrations(records, fields, "source_dataset_id", "file_seq")
+    return steps.select("source_dataset_id", "file_seq", F.col("canonical").alias("canonical_field"), "change_kind")
+
+
+def p5_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """The schema fingerprint and version of every file."""
+    _, fields = _candle_files(spark, folder)
+    return drift.fingerprints(fields, "source_dataset_id", "file_seq")
+
+
+def p5_table(spark: SparkSession, folder: str) -> DataFrame:
+    """All raw candle records, repeated ones once, in the one target schema."""
+    keep = ["source_dataset_id", "file_seq", "record_no"]
+    records = table(spark, folder, "raw_candle_record", *keep, "payload").dropDuplicates()
+    names = table(spark, folder, "field_alias").filter("alias is not null").dropDuplicates(["alias"])
+    if len(pairs := [(r["alias"], r["canonical_field"]) for r in names.limit(ALIAS_BOUND + 1).collect()]) > ALIAS_BOUND:
+        raise ValueError(f"more than {ALIAS_BOUND} aliases")
+    return drift.migrate(records, "payload", keep, pairs, CANDLE_FIELDS, {"schema_version": "2.0.0"})
+
+
+QUERIES = {"p2_found": p2_found, "p2_figures": p2_figures, "p3_found": p3_found, "p4_found": p4_found, "p4_drift": p4_drift, "p4_profile": p4_profile, "p4_trade_profile": p4_trade_profile, "p5_found": p5_found, "p5_versions": p5_versions, "p5_table": p5_table, "p6_found": p6_found, "p6_series": p6_series, "p7_found": p7_found, "p7_totals": p7_totals}
