@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.operators import dedup, diff, drift, grid, lateness, profile
+from marlstone.operators import compaction, dedup, diff, drift, grid, lateness, profile
+from marlstone.session import scratch
 from marlstone.sources.tables import bounded, table
 
 MINUTE_US = 60_000_000
@@ -211,4 +215,54 @@ def p5_table(spark: SparkSession, folder: str) -> DataFrame:
     return drift.migrate(records, "payload", keep, pairs, CANDLE_FIELDS, {"schema_version": "2.0.0"})
 
 
-QUERIES = {"p2_found": p2_found, "p2_figures": p2_figures, "p3_found": p3_found, "p4_found": p4_found, "p4_drift": p4_drift, "p4_profile": p4_profile, "p4_trade_profile": p4_trade_profile, "p5_found": p5_found, "p5_versions": p5_versions, "p5_table": p5_table, "p6_found": p6_found, "p6_series": p6_series, "p7_found": p7_found, "p7_totals": p7_totals}
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The fate of every listed file that doesn't stay as it is."""
+    return compaction.plan(table(spark, folder, "active_artifact")).filter("fate != 'keep'").select("relative_path", "fate")
+
+
+STAGED_ROWS = 20_000
+
+
+def _write_files(spark: SparkSession, folder: str, root: str) -> DataFrame:
+    """The files that hold the archive's trades, one Parquet file per raw_object_ref below ``root``."""
+    trades = table(spark, folder, "archive_trade").filter("raw_object_ref is not null")
+    buckets = max(8, trades.count() // STAGED_ROWS)
+
+    def write(part: pa.Table) -> pa.Table:
+        target, base = fs.FileSystem.from_uri(root)
+        part = part.drop_columns(["__bucket"]).sort_by([("raw_object_ref", "ascending"), ("source_ordinal", "ascending")]).combine_chunks()
+        refs = part.column("raw_object_ref").to_pylist()
+        done, first = [], 0
+        for i in range(1, len(refs) + 1):
+            if i == len(refs) or refs[i] != refs[first]:
+                path = f"{base}/{refs[first]}"
+                target.create_dir(path.rpartition("/")[0])
+                with target.open_output_stream(path) as out:
+                    pq.write_table(part.slice(first, i - first), out, compression="zstd", use_dictionary=False)
+                done.append((refs[first], i - first))
+                first = i
+        return pa.table({"relative_path": pa.array([d[0] for d in done], pa.string()), "n_rows": pa.array([d[1] for d in done], pa.int64())})
+
+    bucket = F.pmod(F.xxhash64("raw_object_ref"), F.lit(buckets)).alias("__bucket")
+    return trades.select("*", bucket).groupBy("__bucket").applyInArrow(write, "relative_path string, n_rows bigint")
+
+
+def p1_compact(spark: SparkSession, folder: str) -> DataFrame:
+    """The small trade files joined block by block; one verified report row per written file.
+
+    The test data has the files' rows but not the files: they are first written to the shared
+    folder, under the paths that the manifest gives them.
+    """
+    root = scratch(spark, "files")
+    root = root if "://" in root else f"file://{root}"
+    written = _write_files(spark, folder, f"{root}/in")
+    written.write.parquet(f"{root}/written")
+    there = spark.read.parquet(f"{root}/written")
+    planned = compaction.plan(table(spark, folder, "active_artifact"))
+    present = planned.drop("n_rows").join(there, "relative_path")
+    report = compaction.execute(present, f"{root}/in", f"{root}/out")
+    report.write.parquet(f"{root}/report")
+    return spark.read.parquet(f"{root}/report")
+
+
+QUERIES = {"p1_found": p1_found, "p1_compact": p1_compact, "p2_found": p2_found, "p2_figures": p2_figures, "p3_found": p3_found, "p4_found": p4_found, "p4_drift": p4_drift, "p4_profile": p4_profile, "p4_trade_profile": p4_trade_profile, "p5_found": p5_found, "p5_versions": p5_versions, "p5_table": p5_table, "p6_found": p6_found, "p6_series": p6_series, "p7_found": p7_found, "p7_totals": p7_totals}
