@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import leakage, tokenize
+from marlstone.llm import leakage, tokenize, truncation
 from marlstone.sources.tables import table
 
 
@@ -41,7 +41,21 @@ def p9_cleaned(spark: SparkSession, folder: str) -> DataFrame:
     return leakage.without_spans(docs, "doc_id", "text", _hits(spark, folder)).withColumnRenamed("doc", "doc_id")
 
 
-QUERIES = {"p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_found": p9_found, "p9_items": p9_items, "p9_cleaned": p9_cleaned}
+def _judged(spark: SparkSession, folder: str) -> DataFrame:
+    return truncation.judged(table(spark, folder, "documents", "doc_id", "text", "source"), "doc_id", "text", "source")
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents whose text was cut off."""
+    return _judged(spark, folder).filter("truncated").select(F.col("doc").alias("doc_id"))
+
+
+def p10_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """How many texts of each source are cut."""
+    return truncation.shares(_judged(spark, folder))
+
+
+QUERIES = {"p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_found": p9_found, "p9_items": p9_items, "p9_cleaned": p9_cleaned, "p10_found": p10_found, "p10_sources": p10_sources}
 
 ORACLE = {
     "p8_decoded": "select doc_id, coalesce(text, '') as text from documents",
