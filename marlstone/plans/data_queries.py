@@ -266,3 +266,65 @@ def p1_compact(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {"p1_found": p1_found, "p1_compact": p1_compact, "p2_found": p2_found, "p2_figures": p2_figures, "p3_found": p3_found, "p4_found": p4_found, "p4_drift": p4_drift, "p4_profile": p4_profile, "p4_trade_profile": p4_trade_profile, "p5_found": p5_found, "p5_versions": p5_versions, "p5_table": p5_table, "p6_found": p6_found, "p6_series": p6_series, "p7_found": p7_found, "p7_totals": p7_totals}
+
+PLAIN_SQL = r"regexp_replace(regexp_replace(replace(relative_path, '\', '/'), '/+', '/', 'g'), '^(\./)+', '')"
+COVERED_SQL = "m as (select instrument_id, epoch_ms(open_time) // 60000 * 60000 as t, max((epoch_us(open_time), close_price, base_volume)) as r from ohlcv_candle where candle_interval = '1m' and is_closed group by 1, 2)"
+#: Copies of messages: identifiers that occur twice link their rows, and links are followed to their end.
+WINNERS_SQL = r"""with recursive r as (
+    select 'ws_envelope' as d, ingest_seq as s, regexp_replace(lower(payload_hash), '^sha256:', '') as a, regexp_replace(lower(message_id), '^sha256:', '') as b from ws_envelope
+    union all select 'liquidation', ingest_seq, regexp_replace(lower(dedup_fingerprint), '^sha256:', ''), regexp_replace(lower(message_id), '^sha256:', '') from liquidation),
+  t as (select d, s, 'a' || a as k from r where a is not null union select d, s, 'b' || b from r where b is not null),
+  e as (select distinct x.d, x.s as s, y.s as o from t x join t y on x.d = y.d and x.k = y.k and x.s <> y.s),
+  reach(d, s, o) as (select d, s, o from e union select reach.d, reach.s, e.o from reach join e on reach.d = e.d and reach.o = e.s),
+  w as (select d, s, least(s, min(o)) as winner from reach group by d, s)"""
+SHARED_SQL = {
+    "trades": """with a as (select instrument_id, lower(trim(native_trade_id)) as native_trade_id, min(price) as p, min(quantity) as q, min(upper(taker_side)) as s, min(epoch_us(event_time) // 1000) as e from archive_trade group by 1, 2),
+  w as (select instrument_id, lower(trim(native_trade_id)) as native_trade_id, min(try_cast(price as decimal(38,18))) as p, min(try_cast(quantity as decimal(38,18))) as q, min(upper(taker_side)) as s, min(event_time_ms) as e from ws_trade group by 1, 2),
+  j as (select coalesce(a.instrument_id, w.instrument_id) as instrument_id, coalesce(a.native_trade_id, w.native_trade_id) as native_trade_id, a.instrument_id is not null as ia, w.instrument_id is not null as iw,
+    coalesce(a.p = w.p, false) as p, coalesce(a.q = w.q, false) as q, coalesce(a.s = w.s, false) as s, coalesce(a.e = w.e, false) as e from a full join w on a.instrument_id = w.instrument_id and a.native_trade_id = w.native_trade_id),
+  f as (select instrument_id, native_trade_id, unnest(case when not iw then ['missing_in_ws'] when not ia then ['missing_in_archive'] else list_filter([case when not p then 'price' end, case when not q then 'quantity' end, case when not s then 'taker_side' end, case when not e then 'event_time' end], lambda x: x is not null) end) as difference from j)""",
+    "results": r"""with d as (select distinct on (result_id) result_id, load_no, metric, observed_value as v from dq_metric_result),
+  g as (select d.*, value_kind as kind, coalesce(case when value_kind in ('rate', 'seconds') then regexp_full_match(v, '([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?') and try_cast(v as double) between min_value and max_value
+    when value_kind = 'count' then regexp_full_match(v, '[0-9]+') and try_cast(v as double) between min_value and max_value when value_kind = 'label' then list_contains(string_split(allowed, '|'), v)
+    when value_kind = 'counts' then regexp_full_match(v, '[ \t\r\n]*\{[ \t\r\n]*("[^"\\]*"[ \t\r\n]*:[ \t\r\n]*-?(0|[1-9][0-9]*)[ \t\r\n]*(,[ \t\r\n]*"[^"\\]*"[ \t\r\n]*:[ \t\r\n]*-?(0|[1-9][0-9]*)[ \t\r\n]*)*)?\}[ \t\r\n]*')
+      and len(list_filter(regexp_extract_all(v, '"([^"\\]*)"[ \t\r\n]*:', 1), lambda k: not list_contains(string_split(allowed, '|'), k))) = 0
+      and len(list_filter(regexp_extract_all(v, ':[ \t\r\n]*(-?[0-9]+)', 1), lambda i: not (try_cast(i as double) between min_value and max_value))) = 0 end, false) as fit from d left join dq_metric_catalog c on d.metric = c.metric),
+  b as (select metric, load_no, count(*) as n, count(*) filter (v is null) as nulls, count(*) filter (fit) as fitting, median(case when fit and kind in ('rate', 'seconds', 'count') then try_cast(v as double) end) as med from g where kind is not null group by 1, 2),
+  p as (select x.metric, x.load_no, x.n, x.nulls, x.fitting, x.med, y.n as n0, y.nulls as nulls0, y.fitting as fitting0, y.med as med0 from b x join b y on x.metric = y.metric and x.load_no = y.load_no + 1),
+  l as (select metric, load_no, v, count(*) as c from g where fit and kind = 'label' group by 1, 2, 3),
+  u as (select metric, load_no, v, sum(c) as c, sum(c0) as c0 from (select metric, load_no, v, c, 0 as c0 from l union all select metric, load_no + 1, v, 0, c from l) group by 1, 2, 3)""",
+}
+ORACLE: dict[str, str] = {
+    "p1_found": f"""with m as (select {PLAIN_SQL} as p, * from active_artifact), l as (select p, arg_max(parquet_sha256, manifest_record_number) as h, arg_max(n_bytes, manifest_record_number) as b, regexp_replace(p, '[^/]*$', '') as d from m group by p),
+  c as (select *, p <> min(p) over (partition by h) as copy from l), n as (select *, count(*) filter (not copy and b < 1048576) over (partition by d) as q from c)
+  select p as relative_path, case when copy then 'copy' else 'merge' end as fate from n where copy or (b < 1048576 and q > 1)""",
+    "p2_found": WINNERS_SQL + """, o as (select coalesce(w.winner, l.ingest_seq) as m, min(coalesce(knowledge_time, received_at)) as arrival, arg_min(instrument_id, ingest_seq) as instrument_id, arg_min(event_time, ingest_seq) as event_time from liquidation l left join w on w.d = 'liquidation' and w.s = l.ingest_seq group by 1),
+  q as (select instrument_id, epoch_ms(event_time) // 300000 * 300000 as period_start_ms, epoch_us(arrival) - (epoch_ms(event_time) // 300000 * 300000 + 300000) * 1000 as delay from o where arrival is not null and event_time is not null)
+  select distinct instrument_id, period_start_ms, case when delay <= 1800000000 then 'corrected' else 'dropped' end as outcome from q where delay > 0""",
+    "p3_found": WINNERS_SQL + " select d as dataset, s as ingest_seq from w where s <> winner",
+    "p4_found": SHARED_SQL["results"] + """ select 'unknown_metric' as finding, metric, load_no, result_id from g where kind is null union all select 'bad_value', metric, load_no, result_id from g where kind is not null and v is not null and not fit
+  union all select 'null_shift', metric, load_no, 0 from p where abs(nulls * n0 - nulls0 * n) * 4 >= n * n0 union all select 'level_shift', metric, load_no, 0 from p where (med >= 2 * med0 or 2 * med <= med0) and (med <> 0 or med0 <> 0)
+  union all select distinct 'label_shift', metric, load_no, 0 from u join p using (metric, load_no) where fitting > 0 and fitting0 > 0 and abs(c * fitting0 - c0 * fitting) * 10 >= 3 * fitting * fitting0""",
+    "p4_profile": "\nunion all ".join(
+        f"select '{c}' as column_name, load_no as load, count(*) as rows, count(*) - count({c}) as nulls, count(distinct {c}) as distinct, min(cast({c} as varchar)) as lowest, max(cast({c} as varchar)) as highest from dq_metric_result group by load_no"
+        for c in ("dataset_class", "exchange", "market_type", "instrument_id", "source_contract_version", "metric", "observed_value", "policy_id", "evaluation", "reason", "result_id", "observations")
+    ).replace(" as distinct,", ' as "distinct",')
+    + """ union all select 'observed_at', load_no, count(*), count(*) - count(observed_at), count(distinct observed_at), min(cast(epoch_us(observed_at) as varchar)), max(cast(epoch_us(observed_at) as varchar)) from dq_metric_result group by load_no""",
+    "p5_found": """with k as (select source_dataset_id as s, file_seq as f, unnest(json_keys(payload)) as k, payload as p from raw_candle_record),
+  v as (select s, f, coalesce(canonical_field, k) as c, k, case json_type(p, '$."' || k || '"') when 'NULL' then null when 'UBIGINT' then 'integer' when 'BIGINT' then 'integer' when 'DOUBLE' then 'decimal' else json_type(p, '$."' || k || '"') end as t from k left join field_alias a on a.alias = k.k),
+  g as (select s, f, c, list_sort(list(distinct k)) as names, list_sort(list(distinct t) filter (t is not null)) as kinds from v group by 1, 2, 3),
+  o as (select s, f, lag(f) over (partition by s order by f) as b from (select distinct source_dataset_id as s, file_seq as f from raw_candle_record)),
+  n as (select g.* from g join o using (s, f) where b is not null), q as (select g.s, o.f, g.c, g.names, g.kinds from g join o on g.s = o.s and g.f = o.b),
+  j as (select coalesce(n.s, q.s) as s, coalesce(n.f, q.f) as f, coalesce(n.c, q.c) as c, n.names as nn, q.names as qn, n.kinds as nk, q.kinds as qk from n full join q on n.s = q.s and n.f = q.f and n.c = q.c)
+  select s as source_dataset_id, f as file_seq, c as canonical_field, 'added' as change_kind from j where qn is null union all select s, f, c, 'removed' from j where nn is null union all select s, f, c, 'renamed' from j where nn <> qn
+  union all select s, f, c, 'type_changed' from j where len(nk) > 0 and len(qk) > 0 and nk <> qk""",
+    "p6_found": f"""with {COVERED_SQL}, r as (select instrument_id, unnest(generate_series(min(t), max(t), 60000)) as t from m group by 1) select instrument_id, t as open_time_ms from r anti join m using (instrument_id, t)""",
+    "p6_series": f"""with {COVERED_SQL}, g as (select instrument_id, unnest(generate_series(min(t), max(t), 60000)) as t from m group by 1),
+  b as (select g.instrument_id, g.t, m.t as pt, m.r as pr from g asof join m on g.instrument_id = m.instrument_id and g.t >= m.t), x as (select b.*, m.t as nt, m.r as nr from b asof join m on b.instrument_id = m.instrument_id and b.t <= m.t)
+  select instrument_id, t as open_time_ms, case when pt = t then 'observed' when nt - pt <= 600000 then 'filled' else 'missing' end as status,
+    case when pt = t then round(cast(pr[2] as double), 6) when nt - pt <= 600000 then round(cast(pr[2] as double) + (cast(nr[2] as double) - cast(pr[2] as double)) * ((t - pt) / (nt - pt)), 6) end as close_price,
+    case when pt = t then round(cast(pr[3] as double), 6) when nt - pt <= 600000 then round(cast(pr[3] as double) + (cast(nr[3] as double) - cast(pr[3] as double)) * ((t - pt) / (nt - pt)), 6) end as base_volume from x""",
+    "p7_found": SHARED_SQL["trades"] + " select instrument_id, native_trade_id, difference from f",
+    "p7_totals": SHARED_SQL["trades"] + """ select instrument_id, count(*) filter (difference = 'missing_in_ws') as ws_missing_count, count(*) filter (difference = 'missing_in_archive') as archive_missing_count,
+  count(*) filter (difference in ('price', 'quantity', 'event_time')) as field_mismatch_count, count(*) filter (difference = 'taker_side') as side_mismatch_count from f group by 1""",
+}

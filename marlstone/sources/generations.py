@@ -27,17 +27,24 @@ class GenerationTable:
         path = jvm.org.apache.hadoop.fs.Path(self.root)
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm
 
-    def manifest(self) -> dict[int, str]:
+    def _load(self) -> dict:
         fs, jvm = self._fs()
         at = jvm.org.apache.hadoop.fs.Path(f"{self.root}/MANIFEST.json")
         if not fs.exists(at):
-            return {}
+            return {"parts": {}, "mark": -1}
         stream = fs.open(at)
         try:
-            text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
-        return {int(k): v for k, v in json.loads(text).items()}
+
+    def manifest(self) -> dict[int, str]:
+        """The current generation of each partition."""
+        return {int(k): v for k, v in self._load()["parts"].items()}
+
+    def mark(self) -> int:
+        """What the last overwrite left as its mark, -1 before any."""
+        return self._load()["mark"]
 
     def read(self, parts: Iterable[int] | None = None) -> DataFrame:
         """The current rows of the named partitions (all, if none are named), with ``part``."""
@@ -52,8 +59,8 @@ class GenerationTable:
             generations.setdefault(now[p], []).append(p)
         return frame.parquet(*(f"{self.root}/{g}/part={p}" for g, ps in generations.items() for p in ps)).select(*(f.name for f in full.fields))
 
-    def overwrite(self, rows: DataFrame, parts: Iterable[int]) -> None:
-        """Replace exactly ``parts`` by ``rows`` (which carry ``part``), atomically.
+    def overwrite(self, rows: DataFrame, parts: Iterable[int], mark: int | None = None) -> None:
+        """Replace exactly ``parts`` by ``rows`` (which carry ``part``), atomically, and leave ``mark``.
 
         A part of ``parts`` without rows becomes empty. Rows of other parts are an error the
         caller has to rule out; they are never switched in.
@@ -62,14 +69,15 @@ class GenerationTable:
         new = f"gen={uuid.uuid4().hex}"
         rows.select(*(f.name for f in self.schema.fields), F.col("part").cast("bigint").alias("part")).write.partitionBy("part").parquet(f"{self.root}/{new}")
         made = {int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{self.root}/{new}")) if s.getPath().getName().startswith("part=")}
-        now = self.manifest()
+        loaded = self._load()
+        now = {int(k): v for k, v in loaded["parts"].items()}
         for p in set(parts):
             now.pop(p, None)
             if p in made:
                 now[p] = new
         temporary, final = (jvm.org.apache.hadoop.fs.Path(f"{self.root}/{n}") for n in (f".MANIFEST-{uuid.uuid4().hex}", "MANIFEST.json"))
         out = fs.create(temporary, True)
-        out.write(bytearray(json.dumps(now).encode()))
+        out.write(bytearray(json.dumps({"parts": now, "mark": loaded["mark"] if mark is None else mark}).encode()))
         out.close()
         context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(temporary.toUri(), self.spark._jsc.hadoopConfiguration())
         overwrite = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
