@@ -91,6 +91,20 @@ def stable_id(prefix: str, fields: Mapping[str, Column], digits: int = 20) -> Co
     return F.concat(F.lit(prefix), F.substring(F.sha2(body, 256), 1, digits))
 
 
+def instrument_id(exchange: Column, native_symbol: Column, market_type: Column, contract_type: Column, base_asset: Column, quote_asset: Column, settle_asset: Column | None = None, expiry: Column | None = None, environment: Column | None = None) -> Column:
+    """The surrogate id of an instrument from its nine immutable fields; ticks and steps are no part of it.
+
+    Venue fields are compared in lower case, symbols and assets in upper case, without outer blanks.
+    """
+    none = F.lit(None).cast("string")
+    low, up = (lambda c: F.lower(F.trim(c))), (lambda c: F.upper(F.trim(c)))
+    return stable_id("ins_", {
+        "exchange": low(exchange), "venue_environment": low(environment) if environment is not None else F.lit("production"), "native_symbol": up(native_symbol),
+        "market_type": low(market_type), "contract_type": low(contract_type), "base_asset": up(base_asset), "quote_asset": up(quote_asset),
+        "settle_asset": up(settle_asset) if settle_asset is not None else none, "expiry": expiry if expiry is not None else none,
+    })
+
+
 def fingerprint(parts: Sequence[Column], separator: str = "|") -> Column:
     """SHA-256 of the parts' texts joined by ``separator``; null parts count as empty."""
     return F.sha2(F.concat_ws(separator, *(F.coalesce(p.cast("string"), F.lit("")) for p in parts)), 256)

@@ -47,6 +47,7 @@ def large_flow(trades: DataFrame, keys: Sequence[str], quantity: str, side: str,
 def recursive_indicators(bars: DataFrame, keys: Sequence[str], time_us: str, high: str, low: str, close: str, n: int = 14) -> DataFrame:
     """EMA, RSI, ATR and ADX (Wilder's smoothing, seeded with the first value) per keys.
 
+    Where neither direction moved, ADX keeps its value (null until a first move); RSI is null until then.
     These recursions run along time, so each key's bars are sorted and computed as one group of
     narrow rows: the bars of a key, not its trades. Rows with nulls in the inputs are left out.
     """
@@ -65,7 +66,7 @@ def recursive_indicators(bars: DataFrame, keys: Sequence[str], time_us: str, hig
         out = pdf[[*keys, time_us]].copy()
         out["ema"] = pdf["c"].ewm(span=n, adjust=False).mean()
         out["rsi"] = 100 * gain / (gain + loss).where(gain + loss > 0)
-        out["atr"], out["adx"] = atr, 100 * smooth(spread.fillna(0.0))
+        out["atr"], out["adx"] = atr, 100 * smooth(spread)
         return out
 
     return rows.groupBy(*keys).applyInPandas(run, fields)
