@@ -13,6 +13,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marlstone.session import scratch
+
 #: A word: a link, a run of letters (single Han characters) or a number with its separators, and the signs that follow it.
 TOKEN = r"(?:https?://\S*|\p{IsHan}|[\p{L}\p{M}&&[^\p{IsHan}]]+(?:[-\x27’_][\p{L}\p{M}&&[^\p{IsHan}]]+)*|\p{N}+(?:[.,:/]\p{N}+)*)(?:[\s\p{Z}]*[^\s\p{Z}\p{L}\p{M}\p{N}]+)*"
 BLANKS = r"[\s\p{Z}\p{Cf}]+\z"
@@ -68,12 +70,12 @@ group by 1, 2, 3
 #: The last trigram of every text; equal texts are one.
 ENDS = """
 select w1, w2, w3, count(distinct text_id) as n
-from (select text_id, coalesce(try_element_at(tokens, -3), '') as w1, coalesce(try_element_at(tokens, -2), '') as w2, element_at(tokens, -1) as w3 from {prepared} where size(tokens) > 0)
+from {finals} where w3 <> ''
 group by 1, 2, 3
 """
 
 FINALS = """
-select doc, source, form, coalesce(try_element_at(tokens, -3), '') as w1, coalesce(try_element_at(tokens, -2), '') as w2, coalesce(try_element_at(tokens, -1), '') as w3
+select doc, source, text_id, form, coalesce(try_element_at(tokens, -3), '') as w1, coalesce(try_element_at(tokens, -2), '') as w2, coalesce(try_element_at(tokens, -1), '') as w3
 from {prepared}
 """
 
@@ -153,9 +155,12 @@ def judged(docs: DataFrame, doc_id: str, text: str, source: str, support: int =
     spark = docs.sparkSession
     rows = docs.selectExpr(f"`{doc_id}` as doc", f"`{text}` as text", f"`{source}` as source")
     prepared = _sql(spark, PREPARED, {"docs": rows})
-    finals = _sql(spark, FINALS, {"prepared": prepared})
-    asked = finals.filter("form = 'ask'")
-    inside, ends = _sql(spark, INSIDE, {"prepared": prepared}), _sql(spark, ENDS, {"prepared": prepared})
+    # texts are read twice, once for their ends and once for what lies inside; all else works on these two tables
+    root = scratch(spark, "truncation")
+    _sql(spark, FINALS, {"prepared": prepared}).write.parquet(f"{root}/finals")
+    _sql(spark, INSIDE, {"prepared": prepared}).write.parquet(f"{root}/inside")
+    finals, inside = spark.read.parquet(f"{root}/finals"), spark.read.parquet(f"{root}/inside")
+    asked, ends = finals.filter("form = 'ask'"), _sql(spark, ENDS, {"finals": finals})
     level = lambda context: _sql(spark, LEVEL, {"finals": asked, "inside": inside, "ends": ends}, context=context, longest=LONGEST_BEGINNING)
     frames = {"finals": finals, "inside": inside, "l3": level("concat(w1, ' ', w2)"), "l2": level("w2"), "l1": level(SIGN)}
     return _sql(spark, DECIDED, frames, sign=SIGN, support=support, rare=rare, usual=usual, fewest=fewest)
