@@ -82,17 +82,19 @@ def _chunked(docs: DataFrame, chunk: int, overlap: int) -> DataFrame:
 def _edges(chunks: DataFrame, pattern: str, chunk: int, overlap: int) -> DataFrame:
     """(key, no, head, tail): boundaries in the overlap with the chunk before, and with the next.
 
-    The tail leaves out boundaries that what follows the chunk could still move.
+    The tail leaves out boundaries that what follows the chunk could still move. Boundaries after
+    a blank are left out too: where a run of blanks is cut depends on what comes after it, so a
+    piece that ended there would be pre-tokenised differently on its own.
     """
     step = chunk - overlap
 
     def boundaries(keys, nos, lasts, starts, texts):
         import regex
 
-        cut = regex.compile(pattern)
+        cut, blank = regex.compile(pattern), regex.compile(r"\s")
         heads, tails = [], []
         for start, text in zip(starts, texts):
-            ends = [start, *(start + m.end() for m in cut.finditer(text))]
+            ends = [start + m.end() for m in cut.finditer(text) if not blank.match(text, m.end() - 1)]
             heads.append([e for e in ends if e < start + overlap])
             tails.append([e for e in ends if start + step <= e <= start + len(text) - LOOKAHEAD])
         return heads, tails
