@@ -57,6 +57,14 @@ def p10_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {"p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_found": p9_found, "p9_items": p9_items, "p9_cleaned": p9_cleaned, "p10_found": p10_found, "p10_sources": p10_sources}
 
+GRAMS_SQL = """with i as (select item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as w from eval_item where text is not null),
+  d as (select doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as w from documents where text is not null),
+  g as (select distinct item_id, array_to_string(list_slice(w, k, k + 11), ' ') as gram from (select item_id, w, unnest(generate_series(1, len(w) - 11)) as k from i)),
+  h as (select distinct doc_id, array_to_string(list_slice(w, k, k + 11), ' ') as gram from (select doc_id, w, unnest(generate_series(1, len(w) - 11)) as k from d)),
+  f as (select distinct doc_id, item_id from h join g using (gram))"""
+
 ORACLE = {
     "p8_decoded": "select doc_id, coalesce(text, '') as text from documents",
+    "p9_found": GRAMS_SQL + " select doc_id, item_id from f",
+    "p9_items": GRAMS_SQL + " select item_id, count(*) as documents from f group by 1",
 }
