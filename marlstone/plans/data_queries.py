@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.operators import compaction, dedup, diff, drift, grid, lateness, profile
-from marlstone.session import scratch
+from marlstone.session import keep, scratch
 from marlstone.sources.tables import bounded, table
 
 MINUTE_US = 60_000_000
@@ -152,11 +152,11 @@ def _tested(graded: DataFrame) -> DataFrame:
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     """Misnamed metrics, values that break their metric's form, and shifts from load to load."""
-    graded = _graded(spark, folder)
+    graded = keep(_graded(spark, folder), "graded")
     broken = F.when(F.col("kind").isNull(), "unknown_metric").when(F.col("value").isNotNull() & ~F.col("fit"), "bad_value")
     single = graded.withColumn("finding", broken).filter("finding is not null").select("finding", "metric", "load_no", "result_id")
     known = graded.filter("kind is not null and load_no is not null")
-    moved = profile.shifts(known, "metric", "load_no", _tested(graded))
+    moved = profile.shifts(known, "metric", "load_no", keep(_tested(graded), "tested"))
     return single.unionByName(moved.select("finding", "metric", "load_no", F.lit(0).cast("bigint").alias("result_id")))
 
 

@@ -61,3 +61,10 @@ def settle(df: DataFrame) -> DataFrame:
     """Cut the lineage through a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def keep(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written once as Parquet to the shared folder, for results that several branches read."""
+    path = scratch(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
