@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marlstone.session import tasks
 from marlstone.sources import parquet_blocks
 
 SMALL_BYTES, TARGET_BYTES, MOST_FILES = 1 << 20, 128 << 20, 4096
@@ -79,7 +80,7 @@ def execute(planned: DataFrame, source_root: str, target_root: str) -> DataFrame
         try:
             for path, n in sorted(zip(pdf["relative_path"], pdf["n_rows"])):
                 with source.open_input_file(f"{base}/{path}") as f:
-                    by_schema.setdefault(parquet_blocks.schema_key(parquet_blocks.footer(f)), []).append((path, n))
+                    by_schema.setdefault(parquet_blocks.schema_bytes(f), []).append((path, n))
             for paths in by_schema.values():
                 name = uuid.uuid5(uuid.NAMESPACE_URL, "\n".join(p for p, _ in paths)).hex
                 final = f"{directory}merged-{number:05d}-{name}.parquet"
@@ -100,4 +101,4 @@ def execute(planned: DataFrame, source_root: str, target_root: str) -> DataFrame
         return pd.DataFrame(rows)
 
     work = planned.filter("fate = 'merge'").select("directory", "bin", "relative_path", "n_rows")
-    return work.groupBy("directory", "bin").applyInPandas(join, REPORT)
+    return work.repartition(tasks(work.sparkSession), "directory", "bin").groupBy("directory", "bin").applyInPandas(join, REPORT)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.operators import compaction, dedup, diff, drift, grid, lateness, profile
-from marlstone.session import keep, scratch
+from marlstone.session import keep, scratch, tasks
 from marlstone.sources.tables import bounded, table
 
 MINUTE_US = 60_000_000
@@ -244,7 +244,7 @@ def _write_files(spark: SparkSession, folder: str, root: str) -> DataFrame:
         return pa.table({"relative_path": pa.array([d[0] for d in done], pa.string()), "n_rows": pa.array([d[1] for d in done], pa.int64())})
 
     bucket = F.pmod(F.xxhash64("raw_object_ref"), F.lit(buckets)).alias("__bucket")
-    return trades.select("*", bucket).groupBy("__bucket").applyInArrow(write, "relative_path string, n_rows bigint")
+    return trades.select("*", bucket).repartition(tasks(spark), "__bucket").groupBy("__bucket").applyInArrow(write, "relative_path string, n_rows bigint")
 
 
 def p1_compact(spark: SparkSession, folder: str) -> DataFrame:

@@ -57,6 +57,15 @@ def scratch(spark: SparkSession, purpose: str) -> str:
     return os.path.join(shared_dir(spark), f"{purpose}-{uuid.uuid4().hex}")
 
 
+def tasks(spark: SparkSession) -> int:
+    """Into how many tasks to spread work that weighs far more than its rows' bytes.
+
+    AQE sizes shuffle partitions by bytes; groups that stand for files or models need a fixed
+    number instead, which ``repartition(n, ...)`` keeps.
+    """
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Cut the lineage through a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)

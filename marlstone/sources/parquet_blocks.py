@@ -130,8 +130,7 @@ def _struct(out: bytearray, fields: dict[int, tuple[int, Any]]) -> None:
     out.append(0)
 
 
-def footer(source: BinaryIO) -> dict[int, tuple[int, Any]]:
-    """The footer of an open Parquet file as {field number: (type, value)}."""
+def _footer_bytes(source: BinaryIO) -> bytes:
     end = source.seek(0, 2)
     if end < 12:
         raise BlockError("too short for a Parquet file")
@@ -141,7 +140,26 @@ def footer(source: BinaryIO) -> dict[int, tuple[int, Any]]:
         raise BlockError("not a plain Parquet file")
     (length,) = struct.unpack("<I", tail[:4])
     source.seek(end - 8 - length)
-    return _Reader(source.read(length)).struct()
+    return source.read(length)
+
+
+def footer(source: BinaryIO) -> dict[int, tuple[int, Any]]:
+    """The footer of an open Parquet file as {field number: (type, value)}."""
+    return _Reader(_footer_bytes(source)).struct()
+
+
+def schema_bytes(source: BinaryIO) -> bytes:
+    """The schema's own bytes, as :func:`schema_key` gives them, without reading the rest of the footer."""
+    reader = _Reader(_footer_bytes(source))
+    last = 0
+    while head := reader.take(1)[0]:
+        last = last + (head >> 4) if head >> 4 else reader.zigzag()
+        first = reader.at
+        if head & 15 not in (BOOL_TRUE, BOOL_FALSE):
+            reader.value(head & 15)
+        if last == SCHEMA:
+            return reader.data[first : reader.at]
+    raise BlockError("a footer without schema")
 
 
 def schema_key(foot: dict[int, tuple[int, Any]]) -> bytes:
