@@ -52,10 +52,13 @@ def plan(manifest: DataFrame, small_bytes: int = SMALL_BYTES, target_bytes: int
     )
 
 
-def _file_system(root: str):
+def file_system(root: str):
+    """(file system, path) of a URI; plain paths and Hadoop's ``file:/`` form are local."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(root)
+    if root.startswith("file:/") and not root.startswith("file://"):
+        root = root.removeprefix("file:")
+    return fs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
 
 
 REPORT = "directory string, bin bigint, output_path string, files bigint, blocks bigint, rows bigint, bytes bigint, listed_rows bigint, problem string"
@@ -72,7 +75,7 @@ def execute(planned: DataFrame, source_root: str, target_root: str) -> DataFrame
     """
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
-        (source, base), (target, out_base) = _file_system(source_root), _file_system(target_root)
+        (source, base), (target, out_base) = file_system(source_root), file_system(target_root)
         rows = []
         directory, number = pdf["directory"].iloc[0], int(pdf["bin"].iloc[0])
         by_schema: dict[bytes, list[tuple[str, int]]] = {}

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -121,7 +120,8 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
 def p2_figures(spark: SparkSession, folder: str) -> DataFrame:
     """Orders, distinct prices, extremes and median price per period, before and after correction."""
     found = lateness.corrected(_order_state(spark, folder), ["instrument_id"])
-    return found.withColumn("period_start_ms", F.expr("period_us div 1000")).drop("period_us")
+    shown = {c: F.round(c, 9) for c in found.columns if c.endswith(("_median", "_min", "_max"))}
+    return found.withColumns(shown).withColumn("period_start_ms", F.expr("period_us div 1000")).drop("period_us")
 
 
 CATALOG_BOUND = 10_000
@@ -229,7 +229,7 @@ def _write_files(spark: SparkSession, folder: str, root: str) -> DataFrame:
     buckets = max(8, trades.count() // STAGED_ROWS)
 
     def write(part: pa.Table) -> pa.Table:
-        target, base = fs.FileSystem.from_uri(root)
+        target, base = compaction.file_system(root)
         part = part.drop_columns(["__bucket"]).sort_by([("raw_object_ref", "ascending"), ("source_ordinal", "ascending")]).combine_chunks()
         refs = part.column("raw_object_ref").to_pylist()
         done, first = [], 0
@@ -254,7 +254,6 @@ def p1_compact(spark: SparkSession, folder: str) -> DataFrame:
     folder, under the paths that the manifest gives them.
     """
     root = scratch(spark, "files")
-    root = root if "://" in root else f"file://{root}"
     written = _write_files(spark, folder, f"{root}/in")
     written.write.parquet(f"{root}/written")
     there = spark.read.parquet(f"{root}/written")
@@ -301,6 +300,11 @@ ORACLE: dict[str, str] = {
     "p2_found": WINNERS_SQL + """, o as (select coalesce(w.winner, l.ingest_seq) as m, min(coalesce(knowledge_time, received_at)) as arrival, arg_min(instrument_id, ingest_seq) as instrument_id, arg_min(event_time, ingest_seq) as event_time from liquidation l left join w on w.d = 'liquidation' and w.s = l.ingest_seq group by 1),
   q as (select instrument_id, epoch_ms(event_time) // 300000 * 300000 as period_start_ms, epoch_us(arrival) - (epoch_ms(event_time) // 300000 * 300000 + 300000) * 1000 as delay from o where arrival is not null and event_time is not null)
   select distinct instrument_id, period_start_ms, case when delay <= 1800000000 then 'corrected' else 'dropped' end as outcome from q where delay > 0""",
+    "p2_figures": WINNERS_SQL + """, o as (select coalesce(w.winner, l.ingest_seq) as m, min(epoch_us(coalesce(knowledge_time, received_at))) as arrival, arg_min(instrument_id, ingest_seq) as instrument_id, arg_min(epoch_us(event_time), ingest_seq) filter (event_time is not null) as e,
+    arg_min(cast(try_cast(source_price as decimal(38,18)) as double), ingest_seq) filter (try_cast(source_price as decimal(38,18)) is not null) as v from liquidation l left join w on w.d = 'liquidation' and w.s = l.ingest_seq group by 1),
+  q as (select instrument_id, e // 300000000 * 300000 as period_start_ms, v, arrival - e // 300000000 * 300000000 - 300000000 as delay from o where arrival is not null and e is not null)
+  select instrument_id, period_start_ms, count(*) as final_n, count(distinct v) as final_distinct, round(min(v), 9) as final_min, round(max(v), 9) as final_max, round(median(v), 9) as final_median, nullif(count(*) filter (delay <= 0), 0) as first_n,
+    case when count(*) filter (delay <= 0) > 0 then count(distinct v) filter (delay <= 0) end as first_distinct, round(min(v) filter (delay <= 0), 9) as first_min, round(max(v) filter (delay <= 0), 9) as first_max, round(median(v) filter (delay <= 0), 9) as first_median from q where delay <= 1800000000 group by 1, 2""",
     "p3_found": WINNERS_SQL + " select d as dataset, s as ingest_seq from w where s <> winner",
     "p4_found": SHARED_SQL["results"] + """ select 'unknown_metric' as finding, metric, load_no, result_id from g where kind is null union all select 'bad_value', metric, load_no, result_id from g where kind is not null and v is not null and not fit
   union all select 'null_shift', metric, load_no, 0 from p where abs(nulls * n0 - nulls0 * n) * 4 >= n * n0 union all select 'level_shift', metric, load_no, 0 from p where (med >= 2 * med0 or 2 * med <= med0) and (med <> 0 or med0 <> 0)
