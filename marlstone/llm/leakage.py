@@ -23,10 +23,12 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
-def _windows(ws: Column, n: int) -> Column:
-    """One 64-bit hash per window of ``n`` words, in order; empty for shorter texts."""
-    hashed = F.transform(ws, lambda w: F.xxhash64(w))
-    starts = F.when(F.size(ws) >= n, F.sequence(F.lit(1), F.size(ws) - n + 1)).otherwise(F.array().cast("array<int>"))
+def _windows(hashed: Column, n: int) -> Column:
+    """One 64-bit hash per window of ``n`` word hashes, in order; empty for shorter texts.
+
+    ``hashed`` must be a column, not an expression: what stands in a lambda is evaluated per window.
+    """
+    starts = F.when(F.size(hashed) >= n, F.sequence(F.lit(1), F.size(hashed) - n + 1)).otherwise(F.array().cast("array<int>"))
     return F.transform(starts, lambda i: F.xxhash64(F.slice(hashed, i, n)))
 
 
@@ -49,7 +51,8 @@ def hits(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str
     small = grams.limit(most_broadcast + 1).count() <= most_broadcast
     share = F.broadcast if small else (lambda x: x)
     split = docs.filter(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc"), words(F.col(text)).alias("w"))
-    probed = split.select("doc", F.posexplode(_windows(F.col("w"), n)).alias("at", "hash"))
+    hashed = split.select("doc", F.transform("w", lambda w: F.xxhash64(w)).alias("h"))
+    probed = hashed.select("doc", F.posexplode(_windows(F.col("h"), n)).alias("at", "hash"))
     candidates = probed.join(share(grams.select("hash").distinct()), "hash", "left_semi").groupBy("doc").agg(F.collect_set("at").alias("ats"))
     texts = split.join(candidates, "doc")
     windows = texts.select("doc", F.explode(F.transform("ats", lambda a: F.struct(a.alias("at"), F.slice("w", a + 1, n).alias("gram")))).alias("c"))
