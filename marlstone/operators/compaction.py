@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
