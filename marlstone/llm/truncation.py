@@ -103,8 +103,10 @@ left join other i on i.context = a.context and i.word = a.w3
 left join last_wanted e on e.context = a.context and e.w3 = a.w3
 """
 
-#: The sign before the last word, if any.
-SIGN = r"regexp_extract(w2, r'([^\p{L}\p{M}\p{N}\s\p{Z}])[\s\p{Z}]*\z', 1)"
+#: The last sign after a word, if any: it stands between this word and the next.
+SIGN = r"regexp_extract({w}, r'([^\p{L}\p{M}\p{N}\s\p{Z}])[\s\p{Z}]*\z', 1)"
+#: What goes before a last word, from much to little: two words, one word and the sign before it, one sign.
+CONTEXTS = {"c3": "concat(w1, ' ', w2)", "c2": f"concat({SIGN.replace('{w}', 'w1')}, ' ', w2)", "c1": SIGN.replace("{w}", "w2")}
 
 DECIDED = """
 select f.doc, f.source, f.form,
@@ -117,10 +119,10 @@ select f.doc, f.source, f.form,
     when l2.inner_n >= {support} and l2.end_n < {rare} * (l2.inner_n + l2.end_n) then true
     else not (l1.end_n >= {fewest} and l1.end_n >= {rare} * (l1.inner_n + l1.end_n))
   end as truncated
-from (select *, {sign} as sign from {finals}) f
-left join {l3} l3 on l3.context = concat(f.w1, ' ', f.w2) and l3.w3 = f.w3
-left join {l2} l2 on l2.context = f.w2 and l2.w3 = f.w3
-left join {l1} l1 on l1.context = f.sign and l1.w3 = f.w3
+from (select *, {c3} as c3, {c2} as c2, {c1} as c1 from {finals}) f
+left join {l3} l3 on l3.context = f.c3 and l3.w3 = f.w3
+left join {l2} l2 on l2.context = f.c2 and l2.w3 = f.w3
+left join {l1} l1 on l1.context = f.c1 and l1.w3 = f.w3
 left join (select w2 as w, sum(n) as n from {inside} where w3 rlike '^9[.,]9' group by 1) d on d.w = f.w2
 left join (select w2 as w, sum(n) as n from {inside} where w3 rlike '^9[.]([^9]|$)' group by 1) s on s.w = f.w2
 """
@@ -148,8 +150,8 @@ def judged(docs: DataFrame, doc_id: str, text: str, source: str, support: int =
     occur after that word), ``ask`` for the counts. There a text is whole if its final trigram
     ends at least ``fewest`` texts and is at most twice as frequent inside, cut if it occurs
     ``support`` times inside and in under ``rare`` of all cases at an end; where trigrams are too
-    few to tell, the last two words and at last the last word with the sign before it decide, the
-    unknown being cut.
+    few to tell, the last two words with the sign before them and at last the last word with the
+    sign before it decide, the unknown being cut.
     Every row gets a verdict, repeated rows too; counts take equal texts once at ends.
     """
     spark = docs.sparkSession
@@ -162,8 +164,8 @@ def judged(docs: DataFrame, doc_id: str, text: str, source: str, support: int =
     finals, inside = spark.read.parquet(f"{root}/finals"), spark.read.parquet(f"{root}/inside")
     asked, ends = finals.filter("form = 'ask'"), _sql(spark, ENDS, {"finals": finals})
     level = lambda context: _sql(spark, LEVEL, {"finals": asked, "inside": inside, "ends": ends}, context=context, longest=LONGEST_BEGINNING)
-    frames = {"finals": finals, "inside": inside, "l3": level("concat(w1, ' ', w2)"), "l2": level("w2"), "l1": level(SIGN)}
-    return _sql(spark, DECIDED, frames, sign=SIGN, support=support, rare=rare, usual=usual, fewest=fewest)
+    frames = {"finals": finals, "inside": inside} | {f"l{c[1]}": level(context) for c, context in CONTEXTS.items()}
+    return _sql(spark, DECIDED, frames, **CONTEXTS, support=support, rare=rare, usual=usual, fewest=fewest)
 
 
 def shares(judgements: DataFrame) -> DataFrame:
