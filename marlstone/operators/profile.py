@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 from marlstone.operators import multiset
 from marlstone.session import tasks
 
-RIDGE, NEWTON_STEPS, FOLDS, BLOCK = 0.5, 7, 2, 64
+RIDGE, FOLDS, BLOCK = 0.5, 2, 64
+#: Most steps of a model and halvings of a step, and the gain in nats below which a step is the last.
+NEWTON_STEPS, HALVINGS, CONVERGED = 200, 40, 1e-12
 NUMBER = r"\A([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 DIGITS = r"\A[0-9]+\z"
 INTEGER_OBJECT = r'\A[ \t\r\n]*\{[ \t\r\n]*("[^"\\]*"[ \t\r\n]*:[ \t\r\n]*-?(0|[1-9][0-9]*)[ \t\r\n]*(,[ \t\r\n]*"[^"\\]*"[ \t\r\n]*:[ \t\r\n]*-?(0|[1-9][0-9]*)[ \t\r\n]*)*)?\}[ \t\r\n]*\z'
@@ -74,17 +76,46 @@ def level(number: Column) -> Column:
 
 
 def _newton(x: np.ndarray, w0: np.ndarray, w1: np.ndarray) -> np.ndarray:
-    """Ridge logistic regressions, one per row of the count matrices, over shared one-hot cells."""
+    """Ridge logistic regressions, one per row of the count matrices, over shared one-hot cells.
+
+    Each starts at the constant that fits its two loads' sizes, from which the ridge pulls back,
+    and takes halved steps where a whole one doesn't help, until no step gains anything: however
+    unequal the loads, no model is worse than its constant. Models with an empty load stay at 0.
+    """
     models, features = w0.shape[0], x.shape[1]
-    theta = np.zeros((models, features))
+    n0, n1 = w0.sum(axis=1), w1.sum(axis=1)
     squares = (x[:, :, None] * x[:, None, :]).reshape(len(x), -1)
     ridge = np.full(features, RIDGE)
     ridge[0] = 1e-6
+    active = np.flatnonzero((n0 > 0) & (n1 > 0))
+    start = np.zeros((models, features))
+    start[active, 0] = np.log(n1[active] / n0[active])
+    theta = start.copy()
+
+    def loss(t: np.ndarray, of: np.ndarray) -> np.ndarray:
+        z = t @ x.T
+        return (w1[of] * np.logaddexp(0, -z) + w0[of] * np.logaddexp(0, z)).sum(axis=1) + (t - start[of]) ** 2 @ ridge / 2
+
     for _ in range(NEWTON_STEPS):
-        p = 1 / (1 + np.exp(-np.clip(theta @ x.T, -30, 30)))
-        slope = ((w0 + w1) * p - w1) @ x + ridge * theta
-        curve = ((w0 + w1) * p * (1 - p)) @ squares
-        theta -= np.linalg.solve(curve.reshape(models, features, features) + np.diag(ridge), slope[:, :, None])[:, :, 0]
+        if not len(active):
+            return theta
+        t, a, b = theta[active], w0[active], w1[active]
+        p = 1 / (1 + np.exp(-np.clip(t @ x.T, -30, 30)))
+        slope = ((a + b) * p - b) @ x + ridge * (t - start[active])
+        curve = ((a + b) * p * (1 - p)) @ squares
+        step = np.linalg.solve(curve.reshape(-1, features, features) + np.diag(ridge), slope[:, :, None])[:, :, 0]
+        gain = (slope * step).sum(axis=1)
+        now, size = loss(t, active), np.ones(len(active))
+        for _ in range(HALVINGS):
+            worse = loss(t - size[:, None] * step, active) > now - 1e-4 * size * gain
+            if not worse.any():
+                break
+            size[worse] /= 2
+        size[worse] = 0
+        theta[active] = t - size[:, None] * step
+        active = active[(gain > CONVERGED) & (size > 0)]
+    if len(active):
+        raise ArithmeticError(f"{len(active)} of {models} models don't converge in {NEWTON_STEPS} steps")
     return theta
 
 

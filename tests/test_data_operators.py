@@ -299,6 +299,14 @@ def test_classifier_names_the_changed_column_and_shifts_are_exact(spark):
     assert profile.two_sample(cells.limit(0), "metric", "load", "fold", ["missing"]).count() == 0
 
 
+def test_loads_of_very_different_size_are_separated(spark):
+    sizes = {"grows": [(20, 0), (1_000_000, 900_000)], "shrinks": [(1_000_000, 900_000), (20, 0)], "third": [(20, 0), (130_000, 39_000)], "one": [(1_000_000, 300_000), (1, 0)], "same": [(20, 0), (1_000_000, 0)]}
+    data = [(m, t, i % 2, missing, n) for m, pair in sizes.items() for t, (n_all, nulls) in enumerate(pair) for i, (missing, n) in enumerate([(False, n_all - nulls), (True, nulls)] * 2) if n]
+    cells = spark.createDataFrame(data, "metric string, load bigint, fold int, missing boolean, n bigint")
+    got = {x["metric"]: x["separation"] for x in profile.two_sample(cells, "metric", "load", "fold", ["missing"]).collect()}
+    assert all(got[m] > 1e-3 for m in sizes if m != "same") and abs(got["same"]) <= 1e-9, got
+
+
 # Drifting schemas -------------------------------------------------------------------------
 
 
