@@ -43,26 +43,28 @@ VERDICT = rf"""
   end
 """
 
+WORDS = rf"regexp_extract_all(regexp_replace(lower(t), r'\p{{N}}+', '9'), r'{TOKEN}', 0) as tokens"
+TEXTS = rf"select doc, source, regexp_replace(text, r'{BLANKS}', '') as t from {{docs}} where text is not null"
+
 PREPARED = rf"""
 select doc, source, text_id, t, line, {VERDICT} as form, tokens
 from (
-  select *, regexp_replace(line, r'\x22(?:[^\x22\\]|\\.)*\x22', '') as bare,
-    regexp_extract_all(regexp_replace(lower(t), r'\p{{N}}+', '9'), r'{TOKEN}', 0) as tokens
+  select *, regexp_replace(line, r'\x22(?:[^\x22\\]|\\.)*\x22', '') as bare, {WORDS}
   from (
     select doc, source, xxhash64(t) as text_id, t, substring_index(t, '\n', -1) as line
-    from (select doc, source, regexp_replace(text, r'{BLANKS}', '') as t from {{docs}} where text is not null)
+    from ({TEXTS})
     where t <> ''
   )
 )
 """
 
-#: Every trigram but the last of each text; places before a text's start are empty words.
-INSIDE = """
+#: Every trigram but the last of each text; equal texts are one, and places before a text's start are empty words.
+INSIDE = rf"""
 select w.w1, w.w2, w.w3, count(*) as n
 from (
   select explode(transform(sequence(1, size(tokens) - 1), i -> named_struct(
     'w1', if(i > 2, element_at(tokens, greatest(i - 2, 1)), ''), 'w2', if(i > 1, element_at(tokens, greatest(i - 1, 1)), ''), 'w3', element_at(tokens, i)))) as w
-  from {prepared} where size(tokens) > 1
+  from (select {WORDS} from (select distinct t from ({TEXTS}) where t <> '')) where size(tokens) > 1
 )
 group by 1, 2, 3
 """
@@ -152,7 +154,7 @@ def judged(docs: DataFrame, doc_id: str, text: str, source: str, support: int =
     ``support`` times inside and in under ``rare`` of all cases at an end; where trigrams are too
     few to tell, the last two words with the sign before them and at last the last word with the
     sign before it decide, the unknown being cut.
-    Every row gets a verdict, repeated rows too; counts take equal texts once at ends.
+    Every row gets a verdict, repeated rows too; counts take equal texts once, inside and at ends.
     """
     spark = docs.sparkSession
     rows = docs.selectExpr(f"`{doc_id}` as doc", f"`{text}` as text", f"`{source}` as source")
@@ -160,7 +162,7 @@ def judged(docs: DataFrame, doc_id: str, text: str, source: str, support: int =
     # texts are read twice, once for their ends and once for what lies inside; all else works on these two tables
     root = scratch(spark, "truncation")
     _sql(spark, FINALS, {"prepared": prepared}).write.parquet(f"{root}/finals")
-    _sql(spark, INSIDE, {"prepared": prepared}).write.parquet(f"{root}/inside")
+    _sql(spark, INSIDE, {"docs": rows}).write.parquet(f"{root}/inside")
     finals, inside = spark.read.parquet(f"{root}/finals"), spark.read.parquet(f"{root}/inside")
     asked, ends = finals.filter("form = 'ask'"), _sql(spark, ENDS, {"finals": finals})
     level = lambda context: _sql(spark, LEVEL, {"finals": asked, "inside": inside, "ends": ends}, context=context, longest=LONGEST_BEGINNING)

@@ -116,6 +116,16 @@ def test_counts_decide_where_the_form_does_not(spark):
     assert shares == {"a": (60, 0), "heads": (8, 0), "tags": (8, 0), "b": (6, 6)}
 
 
+def test_reposts_of_one_text_count_once(spark):
+    twice = "Loads were sent to the old mill. Later more loads were sent to the old mill"
+    rows = [(i, f"{'abcdefgh'[i]}{i} files for the old mill", "heads") for i in range(8)]
+    rows += [(100 + i, twice, "reposts") for i in range(2000)]
+    rows += [(5000, "Price rows restored for BETA", "heads"), (5001, "Some rows restored for BETA", "heads"), (5002, "Old rows restored for BETA", "heads")]
+    rows += [(6000 + i, "He had rows restored for BETA before noon.", "reposts") for i in range(2000)]
+    got = truncation.judged(spark.createDataFrame(rows, "id long, text string, source string"), "id", "text", "source")
+    assert got.filter("truncated").count() == 0 and got.count() == len(rows)
+
+
 def test_no_texts_at_all(spark):
     empty = spark.createDataFrame([], "id long, text string, source string")
     assert truncation.judged(empty, "id", "text", "source").count() == 0 and truncation.shares(truncation.judged(empty, "id", "text", "source")).count() == 0
