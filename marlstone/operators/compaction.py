@@ -104,3 +104,13 @@ def execute(planned: DataFrame, source_root: str, target_root: str) -> DataFrame
 
     work = planned.filter("fate = 'merge'").select("directory", "bin", "relative_path", "n_rows")
     return work.repartition(tasks(work.sparkSession), "directory", "bin").groupBy("directory", "bin").applyInPandas(join, REPORT)
+
+
+def absent(planned: DataFrame, there: DataFrame) -> DataFrame:
+    """A report row with a problem for every planned file with rows, whatever its fate, whose path isn't in ``there``."""
+    lost = planned.filter("n_rows > 0").join(there, "relative_path", "left_anti")
+    zero, none = F.lit(0).cast("bigint"), F.lit(None).cast("string")
+    problem = F.concat(F.lit("missing file ("), "fate", F.lit("): "), "relative_path")
+    return lost.select(
+        "directory", "bin", none.alias("output_path"), F.lit(1).cast("bigint").alias("files"), *(zero.alias(c) for c in ("blocks", "rows", "bytes")), F.col("n_rows").alias("listed_rows"), problem.alias("problem")
+    )

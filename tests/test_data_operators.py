@@ -104,6 +104,19 @@ def test_execute_copies_blocks_and_reports_what_it_cannot_join(spark, tmp_path):
     assert spark.read.parquet(*(f"file://{out}/{r['output_path']}" for r in ok if r["directory"] == "x/")).count() == 10
 
 
+def test_compaction_holds_files_against_the_manifest_and_reports_lost_ones(spark, tmp_path, monkeypatch):
+    from marlstone.plans import data_queries
+
+    ref = lambda i: f"normalized/individual_trade/{i}.parquet"
+    trades = spark.createDataFrame([(ref(i), k) for i in range(4) for k in range(2)] + [(f"x/individual_trade/{i}", 0) for i in range(2)], "raw_object_ref string, source_ordinal bigint")
+    made = [(ref(i), i, "c", f"h{i}", 0 if i == 5 else 2, 10, 0) for i in range(6)] + [(f"x/individual_trade/{i}", 10 + i, "c", f"x{i}", 7, 10, 0) for i in range(2)] + [("other/1", 20, "ohlcv", "o", 9, 10, 0)]
+    tables = {"archive_trade": trades, "active_artifact": spark.createDataFrame(made, MANIFEST)}
+    monkeypatch.setattr(data_queries, "table", lambda spark, folder, name, *columns: tables[name])
+    report = data_queries.p1_compact(spark, "").collect()
+    assert [(r["files"], r["rows"], r["listed_rows"]) for r in report if r["problem"] is None] == [(4, 8, 8)]
+    assert sorted((r["listed_rows"], "14 rows" in r["problem"], r["problem"].endswith(ref(4))) for r in report if r["problem"]) == [(2, False, True), (14, True, False)]
+
+
 # Copies of messages -----------------------------------------------------------------------
 
 
