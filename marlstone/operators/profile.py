@@ -28,30 +28,44 @@ DIGITS = r"\A[0-9]+\z"
 INTEGER_OBJECT = r'\A[ \t\r\n]*\{[ \t\r\n]*("[^"\\]*"[ \t\r\n]*:[ \t\r\n]*-?(0|[1-9][0-9]*)[ \t\r\n]*(,[ \t\r\n]*"[^"\\]*"[ \t\r\n]*:[ \t\r\n]*-?(0|[1-9][0-9]*)[ \t\r\n]*)*)?\}[ \t\r\n]*\z'
 
 
-def columns_by_load(df: DataFrame, load: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """(column_name, load, rows, nulls, distinct, lowest, highest), exact, values compared as text.
+def _plain(df: DataFrame, c: str) -> Column:
+    """Nested values as JSON, timestamps as microseconds since 1970, all others as they are."""
+    kind = df.schema[c].dataType.typeName()
+    return F.to_json(c) if kind in ("array", "map", "struct") else F.unix_micros(c) if kind == "timestamp" else F.col(c)
 
-    Null loads form a load of their own; columns that are entirely null have distinct 0 and no
-    range; nested values are profiled by their JSON text, timestamps by their microseconds since
-    1970; an empty table yields no rows.
-    """
-    names = list(columns) if columns else [c for c in df.columns if c != load]
-    kind = {c: df.schema[c].dataType.typeName() for c in names}
 
-    def plain(c: str) -> Column:
-        if kind[c] in ("array", "map", "struct"):
-            return F.to_json(c)
-        return (F.unix_micros(c) if kind[c] == "timestamp" else F.col(c)).cast("string")
+def columns_by_load(df: DataFrame, load: str, columns: Sequence[str] | None = None, text_ranges: bool = False) -> DataFrame:
+    """(column_name, load, rows, nulls, distinct, lowest, highest), exact.
 
-    cells = df.select(F.col(load).alias("load"), F.explode(F.array(*(F.struct(F.lit(c).alias("column_name"), plain(c).alias("value")) for c in names))).alias("c"))
+    Ranges are those of the column's own type, given as text; with ``text_ranges`` values are
+    compared as text. Null loads form a load of their own; columns that are entirely null have
+    distinct 0 and no range; nested values are profiled by their JSON text, timestamps by their
+    microseconds since 1970; an empty table yields no rows.
+    """
+    names = list(columns) if columns else [c for c in df.columns if c != load]
+    cells = df.select(F.col(load).alias("load"), F.explode(F.array(*(F.struct(F.lit(c).alias("column_name"), _plain(df, c).cast("string").alias("value")) for c in names))).alias("c"))
     counts = cells.groupBy("c.column_name", "load", "c.value").agg(F.count(F.lit(1)).alias("n"))
-    return counts.groupBy("column_name", "load").agg(
+    figures = counts.groupBy("column_name", "load").agg(
         F.sum("n").cast("bigint").alias("rows"),
         F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).cast("bigint").alias("nulls"),
         F.count("value").alias("distinct"),
         F.min("value").alias("lowest"),
         F.max("value").alias("highest"),
     )
+    if text_ranges:
+        return figures
+    ranges = column_ranges(df, load, names).select(F.col("column_name").alias("__c"), F.col("load").alias("__l"), F.col("lowest").alias("__low"), F.col("highest").alias("__high"))
+    joined = figures.join(ranges, (F.col("column_name") == F.col("__c")) & F.col("load").eqNullSafe(F.col("__l")))
+    return joined.select("column_name", "load", "rows", "nulls", "distinct", F.col("__low").alias("lowest"), F.col("__high").alias("highest"))
+
+
+def column_ranges(df: DataFrame, load: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """(column_name, load, lowest, highest): ranges found in each column's own type, then given as text."""
+    names = list(columns) if columns else [c for c in df.columns if c != load]
+    ends = [f(_plain(df, c)).cast("string").alias(f"__{mark}{i}") for i, c in enumerate(names) for mark, f in (("low", F.min), ("high", F.max))]
+    wide = df.groupBy(F.col(load).alias("load")).agg(*ends)
+    cells = F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(f"__low{i}").alias("lowest"), F.col(f"__high{i}").alias("highest")) for i, c in enumerate(names)))
+    return wide.select("load", F.explode(cells).alias("c")).select("c.column_name", "load", "c.lowest", "c.highest")
 
 
 def fits(value: Column, kind: Column, low: Column, high: Column, allowed: Column) -> Column:

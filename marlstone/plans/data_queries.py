@@ -167,8 +167,13 @@ def p4_drift(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p4_profile(spark: SparkSession, folder: str) -> DataFrame:
-    """Nulls, distinct values and ranges of every column of the quality results, load by load."""
-    return profile.columns_by_load(table(spark, folder, "dq_metric_result"), "load_no")
+    """Nulls, distinct values and ranges (as texts; p4_ranges has typed ones) of every column of the quality results, load by load."""
+    return profile.columns_by_load(table(spark, folder, "dq_metric_result"), "load_no", text_ranges=True)
+
+
+def p4_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """Ranges of every column of the quality results in its own type, load by load."""
+    return profile.column_ranges(table(spark, folder, "dq_metric_result"), "load_no")
 
 
 def p4_trade_profile(spark: SparkSession, folder: str) -> DataFrame:
@@ -267,7 +272,7 @@ def p1_compact(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{root}/report")
 
 
-QUERIES = {"p1_found": p1_found, "p1_compact": p1_compact, "p2_found": p2_found, "p2_figures": p2_figures, "p3_found": p3_found, "p4_found": p4_found, "p4_drift": p4_drift, "p4_profile": p4_profile, "p4_trade_profile": p4_trade_profile, "p5_found": p5_found, "p5_versions": p5_versions, "p5_table": p5_table, "p6_found": p6_found, "p6_series": p6_series, "p7_found": p7_found, "p7_totals": p7_totals}
+QUERIES = {"p1_found": p1_found, "p1_compact": p1_compact, "p2_found": p2_found, "p2_figures": p2_figures, "p3_found": p3_found, "p4_found": p4_found, "p4_drift": p4_drift, "p4_profile": p4_profile, "p4_ranges": p4_ranges, "p4_trade_profile": p4_trade_profile, "p5_found": p5_found, "p5_versions": p5_versions, "p5_table": p5_table, "p6_found": p6_found, "p6_series": p6_series, "p7_found": p7_found, "p7_totals": p7_totals}
 
 PLAIN_SQL = r"regexp_replace(regexp_replace(replace(relative_path, '\', '/'), '/+', '/', 'g'), '^(\./)+', '')"
 COVERED_SQL = "m as (select instrument_id, epoch_ms(open_time) // 60000 * 60000 as t, max((epoch_us(open_time), close_price, base_volume)) as r from ohlcv_candle where candle_interval = '1m' and is_closed group by 1, 2)"
@@ -317,6 +322,10 @@ ORACLE: dict[str, str] = {
         for c in ("dataset_class", "exchange", "market_type", "instrument_id", "source_contract_version", "metric", "observed_value", "policy_id", "evaluation", "reason", "result_id", "observations")
     ).replace(" as distinct,", ' as "distinct",')
     + """ union all select 'observed_at', load_no, count(*), count(*) - count(observed_at), count(distinct observed_at), min(cast(epoch_us(observed_at) as varchar)), max(cast(epoch_us(observed_at) as varchar)) from dq_metric_result group by load_no""",
+    "p4_ranges": "\nunion all ".join(
+        f"select '{c}' as column_name, load_no as load, cast(min({v}) as varchar) as lowest, cast(max({v}) as varchar) as highest from dq_metric_result group by load_no"
+        for c, v in [(c, c) for c in ("dataset_class", "exchange", "market_type", "instrument_id", "source_contract_version", "metric", "observed_value", "policy_id", "evaluation", "reason", "result_id", "observations")] + [("observed_at", "epoch_us(observed_at)")]
+    ),
     "p5_found": """with k as (select source_dataset_id as s, file_seq as f, unnest(json_keys(payload)) as k, payload as p from raw_candle_record),
   v as (select s, f, coalesce(canonical_field, k) as c, k, case json_type(p, '$."' || k || '"') when 'NULL' then null when 'UBIGINT' then 'integer' when 'BIGINT' then 'integer' when 'DOUBLE' then 'decimal' else json_type(p, '$."' || k || '"') end as t from k left join field_alias a on a.alias = k.k),
   g as (select s, f, c, list_sort(list(distinct k)) as names, list_sort(list(distinct t) filter (t is not null)) as kinds from v group by 1, 2, 3),

@@ -280,6 +280,14 @@ def test_column_profile(spark):
     assert got["c", 1] == (2, 1, 1, "x", "x") and got["l", 1] == (2, 0, 1, "[1]", "[1]") and got["n", None] == (1, 1, 0, None, None)
 
 
+def test_ranges_are_those_of_the_columns_type(spark):
+    df = spark.createDataFrame([(1, 9_998, "9"), (1, 10_001, "10"), (1, 502, None), (None, 7, "b")], "load int, n bigint, c string").withColumn("d", F.col("n").cast("decimal(38,2)"))
+    ends = lambda **how: {(r["column_name"], r["load"]): (r["lowest"], r["highest"]) for r in profile.columns_by_load(df, "load", **how).collect()}
+    got = ends()
+    assert got["n", 1] == ("502", "10001") and got["d", 1] == ("502.00", "10001.00") and got["c", 1] == ("10", "9") and got["n", None] == ("7", "7") and len(got) == 6
+    assert ends(text_ranges=True)["n", 1] == ("10001", "9998")
+
+
 @pytest.mark.parametrize("kind, good, bad", [
     ("rate", ["0", "0.5", "1e-3", ".5", "1"], ["-0", "+0.5", " 0.5", "0.5\n", "1.1", "0,5", "5%", "NaN", "", "0.0.1", "Infinity"]),
     ("count", ["0", "12"], ["-1", "1.0", "0x1F", "1e2", "", "99999999"]),
