@@ -84,10 +84,10 @@ def details(keyed: DataFrame, most: int = 50) -> DataFrame:
     return keyed.select("key", F.concat_ws(",", kinds).alias("kinds")).filter("kinds <> ''").orderBy("key").limit(most)
 
 
-def ratios(df: DataFrame, slot: str, group: str, left: str, right: str, value: str) -> DataFrame:
-    """Slots where both groups have a value: their ratio's minimum, median, maximum, and slots in number."""
-    mean = df.filter(F.col(group).isin(left, right)).groupBy(slot).agg(
+def ratios(df: DataFrame, slot: str, group: str, left: str, right: str, value: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Slots where both groups have a value, per ``keys``: their ratio's minimum, median, maximum, and slots in number."""
+    mean = df.filter(F.col(group).isin(left, right)).groupBy(*keys, slot).agg(
         F.avg(F.when(F.col(group) == left, F.col(value))).alias("a"), F.avg(F.when(F.col(group) == right, F.col(value))).alias("b")
     )
-    both = mean.filter("a is not null and b is not null and b <> 0").select((F.col("a") / F.col("b")).alias("r"))
-    return both.agg(F.count("r").alias("slots"), F.min("r").alias("lowest"), F.median("r").alias("median"), F.max("r").alias("highest"))
+    both = mean.filter("a is not null and b is not null and b <> 0").select(*keys, (F.col("a") / F.col("b")).alias("r"))
+    return both.groupBy(*keys).agg(F.count("r").alias("slots"), F.min("r").alias("lowest"), F.median("r").alias("median"), F.max("r").alias("highest"))

@@ -444,6 +444,16 @@ def venue_ratio(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(found, "lowest", "median", "highest", digits=9)
 
 
+@query("""with m as (select market_type, native_symbol, epoch_us(event_time) // 300000000 as slot, avg(cast(price as double)) filter (exchange = 'binance') as a, avg(cast(price as double)) filter (exchange = 'bybit') as b from archive_trade group by 1, 2, 3)
+  select market_type, native_symbol, count(*) as slots, round(min(a / b), 9) as lowest, round(median(a / b), 9) as median, round(max(a / b), 9) as highest from m where a is not null and b is not null and b <> 0 group by 1, 2""")
+def venue_ratios(spark: SparkSession, folder: str) -> DataFrame:
+    """venue_ratio for every market and symbol."""
+    rows = table(spark, folder, "archive_trade", "exchange", "market_type", "native_symbol", "event_time", "price")
+    slot = F.expr("unix_micros(event_time) div 300000000")
+    found = reconcile.ratios(rows.select("exchange", "market_type", "native_symbol", slot.alias("slot"), F.col("price").cast("double").alias("price")), "slot", "exchange", "binance", "bybit", "price", ["market_type", "native_symbol"])
+    return rounded(found, "lowest", "median", "highest", digits=9)
+
+
 # Point in time ----------------------------------------------------------------------------
 
 

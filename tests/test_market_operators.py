@@ -232,3 +232,13 @@ def test_streams(spark, rows, tmp_path):
     assert sum(r[3] + r[4] for r in before) == 20 and any(r[4] for r in before)
     keeper.apply(whole, 0)  # a batch that comes again changes nothing
     assert rows(keeper.state()) == before
+
+
+def test_venue_ratios_cover_every_market_and_symbol(spark, monkeypatch):
+    from marlstone.plans import market_queries
+
+    data = [(e, m, s, "2024-01-01 00:00:00", p) for m in ("spot", "perpetual") for s in ("BTCUSDT", "ETHUSDT") for e, p in (("binance", 2.0), ("bybit", 1.0))]
+    trades = spark.createDataFrame(data, "exchange string, market_type string, native_symbol string, event_time string, price double").withColumn("event_time", F.to_timestamp("event_time"))
+    monkeypatch.setattr(market_queries, "table", lambda *a: trades)
+    got = market_queries.QUERIES["venue_ratios"](spark, "").collect()
+    assert len(got) == 4 and all((r["slots"], r["median"]) == (1, 2.0) for r in got)
