@@ -14,11 +14,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.operators import multiset
-from marlstone.session import tasks
+from marlstone.session import keep, tasks
 
 RIDGE, FOLDS, BLOCK = 0.5, 2, 64
 #: Most steps of a model and halvings of a step, and the gain in nats below which a step is the last.
@@ -175,7 +175,7 @@ def two_sample(cells: DataFrame, group: str, load: str, fold: str, features: Seq
         block, loads = key[1], set(pdf[load])
         later = sorted(t for t in loads if t - 1 in loads and t // BLOCK == block)
         if not later:
-            return pd.DataFrame({c.split()[0].strip("`"): [] for c in schema.split(", ")})
+            return pd.DataFrame({c.split()[0].strip("`"): [] for c in schema.split(", ")}, dtype=object)  # Arrow can't make texts of numbers
         combos, cell = np.unique(pdf[names].to_numpy(str), axis=0, return_inverse=True)
         cell = cell.reshape(-1)
         parts = [np.unique(combos[:, i], return_inverse=True) for i in range(len(names))]
@@ -201,6 +201,39 @@ def two_sample(cells: DataFrame, group: str, load: str, fold: str, features: Seq
     return placed.repartition(tasks(placed.sparkSession), group, "__block").groupBy(group, "__block").applyInPandas(lambda key, pdf: train(key, pdf), schema)
 
 
+def categories(df: DataFrame, c: str) -> tuple[Column, Column]:
+    """Two bounded categories of a column's values, null for null: powers of two of numbers and of texts that are numbers, the hour of times, and two of 32 hashes of all else, so that values that share one hash differ in the other."""
+    kind = df.schema[c].dataType.typeName()
+    none = F.lit(None).cast("string")
+    if kind in ("timestamp", "timestamp_ntz"):
+        return F.hour(c).cast("string"), none
+    value = _plain(df, c)
+    number = F.lit(None).cast("double") if kind in ("boolean", "date", "array", "map", "struct") else value.try_cast("double")
+    power = F.least(F.greatest(F.floor(F.log2(F.abs(number))), F.lit(-64)), F.lit(64)).cast("string")
+    size = F.when(number == 0, "0").when(number.isNotNull(), F.concat(F.when(number < 0, "-").otherwise("+"), power))
+    hashed = F.xxhash64(value.cast("string"))
+    one = F.concat(F.lit("#"), F.pmod(hashed, F.lit(32)).cast("string"))
+    other = F.pmod(F.shiftright(hashed, 32), F.lit(32)).cast("string")
+    return F.when(value.isNotNull(), F.coalesce(size, one)), F.when(value.isNotNull() & size.isNull(), other)
+
+
+def drift_by_column(df: DataFrame, load: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """(column_name, load, separation, auc): classifier test of every column in every load against the load before it.
+
+    Loads are taken in their order, null ones left out. Columns are tested one by one on bounded
+    categories, null being one of them, so that the work doesn't grow with distinct values;
+    changes inside a category, or only in how columns go together, aren't seen.
+    """
+    names = list(columns) if columns else [c for c in df.columns if c != load]
+    fold = F.pmod(F.xxhash64(*(_plain(df, c) for c in names)), F.lit(FOLDS)).alias("fold")
+    values = [F.struct(F.lit(c).alias("column_name"), one.alias("bin"), other.alias("hash")) for c in names for one, other in [categories(df, c)]]
+    cells = df.filter(F.col(load).isNotNull()).select(F.col(load).alias("load"), fold, F.explode(F.array(*values)).alias("c"))
+    counts = keep(cells.groupBy("c.column_name", "load", "fold", "c.bin", "c.hash").agg(F.count(F.lit(1)).alias("n")), "bins")
+    order = counts.select("load").distinct().withColumn("__no", F.row_number().over(Window.orderBy("load")).cast("bigint"))  # few rows: one a load
+    tested = two_sample(counts.join(order, "load"), "column_name", "__no", "fold", ["bin", "hash"])
+    return tested.join(order, "__no").select("column_name", "load", "separation", "auc")
+
+
 def shifts(graded: DataFrame, group: str, load: str, tested: DataFrame, least_separation: float = 1e-9) -> DataFrame:
     """(finding, group, load) of exact shifts between consecutive loads that the classifier separates.
 

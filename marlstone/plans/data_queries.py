@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
@@ -182,6 +184,31 @@ def p4_trade_profile(spark: SparkSession, folder: str) -> DataFrame:
     return profile.columns_by_load(trades, "day")
 
 
+#: What a load of each large table is: a day of receipt, or the table's own number.
+LOADS = {
+    "dq_metric_result": "load_no", "archive_trade": "to_date(received_at)", "ws_trade": "to_date(received_at)", "ws_envelope": "to_date(received_at)",
+    "liquidation": "to_date(received_at)", "ohlcv_candle": "to_date(retrieved_at)", "active_artifact": "to_date(published_at)",
+}
+
+
+def p4_table_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """Nulls, distinct values and typed ranges of every column of the large tables, load by load."""
+    parts = []
+    for name, load in LOADS.items():
+        rows = table(spark, folder, name).withColumn("__load", F.expr(load).cast("string"))
+        parts.append(profile.columns_by_load(rows, "__load").select(F.lit(name).alias("table_name"), "*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def p4_column_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """How well a classifier tells each load of every large table from the one before, by every column."""
+    parts = []
+    for name, load in LOADS.items():
+        found = profile.drift_by_column(table(spark, folder, name).withColumn("__load", F.expr(load)), "__load")
+        parts.append(found.select(F.lit(name).alias("table_name"), "column_name", F.col("load").cast("string").alias("load"), F.round("separation", 6).alias("separation"), F.round("auc", 6).alias("auc")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 ALIAS_BOUND = 10_000
 CANDLE_FIELDS = {
     "open_time": "time", "open": "number", "high": "number", "low": "number", "close": "number", "base_volume": "number", "quote_volume": "number",
@@ -272,7 +299,7 @@ def p1_compact(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{root}/report")
 
 
-QUERIES = {"p1_found": p1_found, "p1_compact": p1_compact, "p2_found": p2_found, "p2_figures": p2_figures, "p3_found": p3_found, "p4_found": p4_found, "p4_drift": p4_drift, "p4_profile": p4_profile, "p4_ranges": p4_ranges, "p4_trade_profile": p4_trade_profile, "p5_found": p5_found, "p5_versions": p5_versions, "p5_table": p5_table, "p6_found": p6_found, "p6_series": p6_series, "p7_found": p7_found, "p7_totals": p7_totals}
+QUERIES = {"p1_found": p1_found, "p1_compact": p1_compact, "p2_found": p2_found, "p2_figures": p2_figures, "p3_found": p3_found, "p4_found": p4_found, "p4_drift": p4_drift, "p4_profile": p4_profile, "p4_ranges": p4_ranges, "p4_table_profile": p4_table_profile, "p4_column_drift": p4_column_drift, "p4_trade_profile": p4_trade_profile, "p5_found": p5_found, "p5_versions": p5_versions, "p5_table": p5_table, "p6_found": p6_found, "p6_series": p6_series, "p7_found": p7_found, "p7_totals": p7_totals}
 
 PLAIN_SQL = r"regexp_replace(regexp_replace(replace(relative_path, '\', '/'), '/+', '/', 'g'), '^(\./)+', '')"
 COVERED_SQL = "m as (select instrument_id, epoch_ms(open_time) // 60000 * 60000 as t, max((epoch_us(open_time), close_price, base_volume)) as r from ohlcv_candle where candle_interval = '1m' and is_closed group by 1, 2)"

@@ -288,6 +288,17 @@ def test_ranges_are_those_of_the_columns_type(spark):
     assert ends(text_ranges=True)["n", 1] == ("10001", "9998")
 
 
+def test_every_column_of_every_large_table_is_tested_for_drift(spark, monkeypatch):
+    from marlstone.plans import data_queries
+
+    assert {"dq_metric_result", "archive_trade", "ws_trade", "ws_envelope", "liquidation", "ohlcv_candle", "active_artifact"} == set(data_queries.LOADS)
+    assert {"p4_column_drift", "p4_table_profile"} <= set(data_queries.QUERIES)
+    data = [(load, "bybit" if load == 7 and i % 2 else "binance", None if load == 9 and i % 2 else "r", i, [i % 3], None) for load in (3, 7, 9) for i in range(200)]
+    df = spark.createDataFrame(data, "load int, exchange string, reason string, size int, flags array<int>, none string")
+    got = {(r["column_name"], r["load"]): r["separation"] for r in profile.drift_by_column(df, "load").collect()}
+    assert len(got) == 10 and {k for k, v in got.items() if v > 1} == {("exchange", 7), ("exchange", 9), ("reason", 9)}, got
+
+
 @pytest.mark.parametrize("kind, good, bad", [
     ("rate", ["0", "0.5", "1e-3", ".5", "1"], ["-0", "+0.5", " 0.5", "0.5\n", "1.1", "0,5", "5%", "NaN", "", "0.0.1", "Infinity"]),
     ("count", ["0", "12"], ["-1", "1.0", "0x1F", "1e2", "", "99999999"]),
