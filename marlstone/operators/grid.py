@@ -42,6 +42,7 @@ def regular(
 ) -> DataFrame:
     """The regular series: (source, slot_us, status, values...) from first to last covered slot.
 
+    Readings are snapped to the start of their slot first; weights and gaps use these snapped times.
     status is ``observed`` (a reading lies in the slot), ``filled`` (interpolated between the
     neighbours, which lie at most ``gap_limit_us`` apart) or ``missing`` (values are null).
     Without a limit every gap is filled; a null value on either side leaves that value null.
