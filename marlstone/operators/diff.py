@@ -1,9 +1,9 @@
 """Differences between two copies of a dataset, cell by cell.
 
-Both sides become key-field-value cells with signed counts (+1 left, -1 right); whatever
-does not cancel is a difference. Repeated rows of a side merge on the map side before
-anything moves, so a key that holds a third of all rows costs one row per task. Rows then
-meet by key, and the cells are made, cancelled and gathered in that one stage.
+Both sides become key-field-value cells with signed counts, +1 for the left side and -1 for the
+right; cells or keys whose counts don't sum to zero are the differences. Repeated rows of a side
+merge on the map side before anything moves, so a key that holds a third of all rows costs one
+row per task. Rows then meet by key, and the cells are made, summed and gathered in that one stage.
 """
 
 from __future__ import annotations
@@ -14,15 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MISSING_LEFT, MISSING_RIGHT = "missing_left", "missing_right"
+#: The number of the cell that stands for the key itself.
+PRESENCE = -1
 
 
 def _shape(df: DataFrame, key: Mapping[str, Column], fields: Mapping[str, Column], sign: int) -> DataFrame:
-    return df.select(
-        *(c.alias(n) for n, c in key.items()),
-        *(c.alias(f"__f_{n}") for n, c in fields.items()),
-        F.lit(int(sign > 0)).alias("__left"),
-        F.lit(int(sign < 0)).alias("__right"),
-    )
+    return df.select(*(c.alias(n) for n, c in key.items()), *(c.alias(f"__f_{n}") for n, c in fields.items()), F.lit(sign).alias("__sign"))
 
 
 def signed_cells(
@@ -33,24 +30,20 @@ def signed_cells(
     left_fields: Mapping[str, Column],
     right_fields: Mapping[str, Column],
 ) -> DataFrame:
-    """(key..., field, value, __left, __right): on which sides each cell exists.
+    """(key..., field, value, balance): the sum of every cell's signs, a side counting once.
 
-    The cell with field -1 says on which sides the key itself exists. Partitioned by key.
+    The cell with field -1 stands for the key itself. A null value is a cell like any other.
+    Partitioned by key.
     """
     if list(left_key) != list(right_key) or list(left_fields) != list(right_fields):
         raise ValueError("both sides need the same key and field names in the same order")
     keys, names = list(left_key), list(left_fields)
     both = _shape(left, left_key, left_fields, 1).unionByName(_shape(right, right_key, right_fields, -1))
-    rows = both.groupBy(*keys, *(f"__f_{n}" for n in names)).agg(F.max("__left").alias("__left"), F.max("__right").alias("__right"))
+    rows = both.distinct()
     cell = lambda i, value: F.struct(F.lit(i).alias("field"), value.cast("string").alias("value"))
-    cells = F.explode(F.array(cell(-1, F.lit("")), *(cell(i, F.col(f"__f_{n}")) for i, n in enumerate(names))))
-    return (
-        rows.repartition(*keys)
-        .select(*keys, "__left", "__right", cells.alias("__c"))
-        .select(*keys, "__left", "__right", "__c.field", "__c.value")
-        .groupBy(*keys, "field", "value")
-        .agg(F.max("__left").alias("__left"), F.max("__right").alias("__right"))
-    )
+    cells = F.explode(F.array(cell(PRESENCE, F.lit("")), *(cell(i, F.col(f"__f_{n}")) for i, n in enumerate(names))))
+    unpivoted = rows.repartition(*keys).select(*keys, "__sign", cells.alias("__c")).select(*keys, "__sign", "__c.field", "__c.value")
+    return unpivoted.distinct().groupBy(*keys, "field", "value").agg(F.sum("__sign").alias("balance"))
 
 
 def differences(
@@ -65,24 +58,21 @@ def differences(
 ) -> DataFrame:
     """One row (key..., difference) per key missing on a side or per differing field.
 
-    Fields are compared by the values the given columns yield. Null differs from any value,
-    null included. Repeated rows count once. If a side holds several values of a field for one
+    Fields are compared by the values the given columns yield. Null differs from any value and
+    equals null. Repeated rows count once. If a side holds several values of a field for one
     key, the field differs unless each of them exists on the other side. A null in the key is a
     value like any other (null meets null). Empty sides are fine: all keys of the other side
     are then missing. Other columns of the inputs are never looked at.
     """
     keys, names = list(left_key), list(left_fields)
     cells = signed_cells(left, right, left_key, right_key, left_fields, right_fields)
-    uncancelled = (F.col("field") >= 0) & ((F.col("__left") != F.col("__right")) | F.col("value").isNull())
-    presence = F.col("field") == -1
-    per_key = cells.filter(presence | uncancelled).groupBy(*keys).agg(
-        F.max(F.when(presence, F.col("__left"))).alias("__in_left"),
-        F.max(F.when(presence, F.col("__right"))).alias("__in_right"),
+    per_key = cells.filter("balance <> 0").groupBy(*keys).agg(
+        F.max(F.when(F.col("field") == PRESENCE, F.col("balance"))).alias("__only"),
         *(F.max(F.when(F.col("field") == i, 1)).alias(f"__d_{n}") for i, n in enumerate(names)),
     )
     kinds = (
-        F.when(F.col("__in_right") == 0, F.array(F.lit(missing_right)))
-        .when(F.col("__in_left") == 0, F.array(F.lit(missing_left)))
+        F.when(F.col("__only") > 0, F.array(F.lit(missing_right)))
+        .when(F.col("__only") < 0, F.array(F.lit(missing_left)))
         .otherwise(F.array_compact(F.array(*(F.when(F.col(f"__d_{n}") == 1, F.lit(n)) for n in names))))
     )
     return per_key.select(*keys, F.explode(kinds).alias("difference"))

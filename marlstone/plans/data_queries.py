@@ -312,11 +312,12 @@ WINNERS_SQL = r"""with recursive r as (
   reach(d, s, o) as (select d, s, o from e union select reach.d, reach.s, e.o from reach join e on reach.d = e.d and reach.o = e.s),
   w as (select d, s, least(s, min(o)) as winner from reach group by d, s)"""
 SHARED_SQL = {
-    "trades": """with a as (select instrument_id, lower(trim(native_trade_id)) as native_trade_id, min(price) as p, min(quantity) as q, min(upper(taker_side)) as s, min(epoch_us(event_time) // 1000) as e from archive_trade group by 1, 2),
-  w as (select instrument_id, lower(trim(native_trade_id)) as native_trade_id, min(try_cast(price as decimal(38,18))) as p, min(try_cast(quantity as decimal(38,18))) as q, min(upper(taker_side)) as s, min(event_time_ms) as e from ws_trade group by 1, 2),
-  j as (select coalesce(a.instrument_id, w.instrument_id) as instrument_id, coalesce(a.native_trade_id, w.native_trade_id) as native_trade_id, a.instrument_id is not null as ia, w.instrument_id is not null as iw,
-    coalesce(a.p = w.p, false) as p, coalesce(a.q = w.q, false) as q, coalesce(a.s = w.s, false) as s, coalesce(a.e = w.e, false) as e from a full join w on a.instrument_id = w.instrument_id and a.native_trade_id = w.native_trade_id),
-  f as (select instrument_id, native_trade_id, unnest(case when not iw then ['missing_in_ws'] when not ia then ['missing_in_archive'] else list_filter([case when not p then 'price' end, case when not q then 'quantity' end, case when not s then 'taker_side' end, case when not e then 'event_time' end], lambda x: x is not null) end) as difference from j)""",
+    "trades": """with a as (select distinct instrument_id as i, lower(trim(native_trade_id)) as k, price as p, quantity as q, upper(taker_side) as s, epoch_us(event_time) // 1000 as e from archive_trade),
+  w as (select distinct instrument_id as i, lower(trim(native_trade_id)) as k, try_cast(price as decimal(38,18)) as p, try_cast(quantity as decimal(38,18)) as q, upper(taker_side) as s, event_time_ms as e from ws_trade),
+  b as (select i, k, a.p as p1, w.p as p2, a.q as q1, w.q as q2, a.s as s1, w.s as s2, a.e as e1, w.e as e2 from a join w using (i, k)),
+  f as (select i as instrument_id, k as native_trade_id, 'missing_in_ws' as difference from a anti join w using (i, k) union select i, k, 'missing_in_archive' from w anti join a using (i, k)
+    union select i, k, 'price' from b where p1 is distinct from p2 union select i, k, 'quantity' from b where q1 is distinct from q2
+    union select i, k, 'taker_side' from b where s1 is distinct from s2 union select i, k, 'event_time' from b where e1 is distinct from e2)""",
     "results": r"""with d as (select distinct on (result_id) result_id, load_no, metric, observed_value as v from dq_metric_result),
   g as (select d.*, value_kind as kind, coalesce(case when value_kind in ('rate', 'seconds') then regexp_full_match(v, '([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?') and try_cast(v as double) between min_value and max_value
     when value_kind = 'count' then regexp_full_match(v, '[0-9]+') and try_cast(v as double) between min_value and max_value when value_kind = 'label' then list_contains(string_split(allowed, '|'), v)
