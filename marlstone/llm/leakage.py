@@ -13,6 +13,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marlstone.session import keep
+from marlstone.sources.tables import bounded
+
 WORD = r"[\p{L}\p{N}]+"
 WORDS_SHARED = 12
 MOST_BROADCAST = 1_000_000
@@ -44,19 +47,20 @@ def hits(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str
 
     A document holds an item's passage if ``n`` consecutive words are equal. Null and empty
     texts hold nothing; items of fewer than ``n`` words can't be found. Copies of a document
-    under one id count once; documents or items without id can't be told and are left out. The hash set is broadcast up to ``most_broadcast`` grams, a set
-    beyond that meets the windows in a shuffle.
+    under one id count once; documents or items without id can't be told and are left out.
+
+    The hash set is broadcast if it proves to hold at most ``most_broadcast`` grams and few enough
+    bytes, else it meets the windows in a shuffle. So are the windows that hit: the texts to be
+    verified are then picked out of a second scan, where only these are split into words again.
     """
-    grams = item_grams(items, item_id, item_text, n)
-    small = grams.limit(most_broadcast + 1).count() <= most_broadcast
-    share = F.broadcast if small else (lambda x: x)
-    split = docs.filter(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc"), words(F.col(text)).alias("w"))
-    hashed = split.select("doc", F.transform("w", lambda w: F.xxhash64(w)).alias("h"))
+    grams = keep(item_grams(items, item_id, item_text, n), "grams")
+    texts = docs.filter(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(F.col(doc_id).alias("doc"), F.col(text).alias("t"))
+    hashed = texts.select("doc", F.transform(words(F.col("t")), lambda w: F.xxhash64(w)).alias("h"))
     probed = hashed.select("doc", F.posexplode(_windows(F.col("h"), n)).alias("at", "hash"))
-    candidates = probed.join(share(grams.select("hash").distinct()), "hash", "left_semi").groupBy("doc").agg(F.collect_set("at").alias("ats"))
-    texts = split.join(candidates, "doc")
-    windows = texts.select("doc", F.explode(F.transform("ats", lambda a: F.struct(a.alias("at"), F.slice("w", a + 1, n).alias("gram")))).alias("c"))
-    found = windows.select("doc", "c.at", "c.gram").join(share(grams.select("gram", "items")), "gram")
+    candidates = keep(probed.join(bounded(grams.select("hash").distinct(), most_broadcast), "hash", "left_semi").groupBy("doc").agg(F.collect_set("at").alias("ats")), "hits")
+    chosen = texts.join(bounded(candidates, most_broadcast), "doc").select("doc", words(F.col("t")).alias("w"), "ats")
+    windows = chosen.select("doc", F.explode(F.transform("ats", lambda a: F.struct(a.alias("at"), F.slice("w", a + 1, n).alias("gram")))).alias("c"))
+    found = windows.select("doc", "c.at", "c.gram").join(bounded(grams.select("gram", "items"), most_broadcast), "gram")
     return found.select("doc", F.explode("items").alias("item"), "at").distinct()
 
 

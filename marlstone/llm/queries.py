@@ -63,8 +63,19 @@ GRAMS_SQL = """with i as (select item_id, regexp_extract_all(lower(text), '[\\p{
   h as (select distinct doc_id, array_to_string(list_slice(w, k, k + 11), ' ') as gram from (select doc_id, w, unnest(generate_series(1, len(w) - 11)) as k from d)),
   f as (select distinct doc_id, item_id from h join g using (gram))"""
 
+#: Words and what lies between them, put together again without the words of any window that hits.
+CLEANED_SQL = """with i as (select regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as w from eval_item where text is not null),
+  g as (select distinct array_to_string(list_slice(w, k, k + 11), ' ') as gram from (select w, unnest(generate_series(1, len(w) - 11)) as k from i)),
+  d as (select doc_id, text, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as w from documents where text is not null),
+  h as (select doc_id, k, array_to_string(list_slice(w, k, k + 11), ' ') as gram from (select doc_id, w, unnest(generate_series(1, len(w) - 11)) as k from d)),
+  r as (select doc_id, list(distinct k) as ks from h semi join g using (gram) group by doc_id),
+  p as (select d.doc_id, regexp_extract_all(text, '[\\p{L}\\p{N}]+') as words, regexp_split_to_array(text, '[\\p{L}\\p{N}]+') as between, list_distinct(flatten(list_transform(ks, lambda k: generate_series(k, k + 11)))) as gone from d join r using (doc_id))
+  select doc_id, between[1] || array_to_string(list_transform(generate_series(1, len(words)), lambda x: case when list_contains(gone, x) then '' else words[x] end || case when list_contains(gone, x) and list_contains(gone, x + 1) then '' else between[x + 1] end), '') as text,
+    len(gone) as removed_words from p"""
+
 ORACLE = {
     "p8_decoded": "select doc_id, coalesce(text, '') as text from documents",
     "p9_found": GRAMS_SQL + " select doc_id, item_id from f",
+    "p9_cleaned": CLEANED_SQL,
     "p9_items": GRAMS_SQL + " select item_id, count(*) as documents from f group by 1",
 }
