@@ -1,14 +1,17 @@
 """Differences between two copies of a dataset, cell by cell.
 
 Both sides become key-field-value cells with signed counts, +1 for the left side and -1 for the
-right; cells or keys whose counts don't sum to zero are the differences. Repeated rows of a side
-merge on the map side before anything moves, so a key that holds a third of all rows costs one
-row per task. Rows then meet by key, and the cells are made, summed and gathered in that one stage.
+right; cells or keys whose counts don't sum to zero are the differences. Equal rows meet first,
+merged on the map side, so that a key that holds a third of all rows costs one row per task. Rows
+that stand on both sides cancel as a whole: cells are made only for keys that have a row on one
+side alone, and are summed by key, field and value, so that no key needs to fit in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,20 +33,22 @@ def signed_cells(
     left_fields: Mapping[str, Column],
     right_fields: Mapping[str, Column],
 ) -> DataFrame:
-    """(key..., field, value, balance): the sum of every cell's signs, a side counting once.
+    """(key..., field, value, balance) of all keys with a row on one side alone: the sum of each cell's signs, a side counting once.
 
     The cell with field -1 stands for the key itself. A null value is a cell like any other.
-    Partitioned by key.
     """
     if list(left_key) != list(right_key) or list(left_fields) != list(right_fields):
         raise ValueError("both sides need the same key and field names in the same order")
     keys, names = list(left_key), list(left_fields)
     both = _shape(left, left_key, left_fields, 1).unionByName(_shape(right, right_key, right_fields, -1))
-    rows = both.distinct()
+    rows = both.groupBy(*keys, *(f"__f_{n}" for n in names)).agg(F.max("__sign").alias("__high"), F.min("__sign").alias("__low"))
+    lone = rows.filter(F.col("__high") == F.col("__low")).select(*(F.col(k).alias(f"__k_{k}") for k in keys)).distinct()
+    related = rows.join(lone, reduce(and_, (F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys)), "left_semi")
     cell = lambda i, value: F.struct(F.lit(i).alias("field"), value.cast("string").alias("value"))
-    cells = F.explode(F.array(cell(PRESENCE, F.lit("")), *(cell(i, F.col(f"__f_{n}")) for i, n in enumerate(names))))
-    unpivoted = rows.repartition(*keys).select(*keys, "__sign", cells.alias("__c")).select(*keys, "__sign", "__c.field", "__c.value")
-    return unpivoted.distinct().groupBy(*keys, "field", "value").agg(F.sum("__sign").alias("balance"))
+    cells = F.array(cell(PRESENCE, F.lit("")), *(cell(i, F.col(f"__f_{n}")) for i, n in enumerate(names)))
+    signs = F.explode(F.array_distinct(F.array("__high", "__low"))).alias("__sign")
+    unpivoted = related.select(*keys, signs, cells.alias("__cells")).select(*keys, "__sign", F.explode("__cells").alias("__c")).select(*keys, "__sign", "__c.field", "__c.value")
+    return unpivoted.groupBy(*keys, "field", "value").agg(F.sum_distinct("__sign").alias("balance"))
 
 
 def differences(
