@@ -16,6 +16,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marlstone.session import keep
+
 MISSING_LEFT, MISSING_RIGHT = "missing_left", "missing_right"
 #: The number of the cell that stands for the key itself.
 PRESENCE = -1
@@ -41,7 +43,7 @@ def signed_cells(
         raise ValueError("both sides need the same key and field names in the same order")
     keys, names = list(left_key), list(left_fields)
     both = _shape(left, left_key, left_fields, 1).unionByName(_shape(right, right_key, right_fields, -1))
-    rows = both.groupBy(*keys, *(f"__f_{n}" for n in names)).agg(F.max("__sign").alias("__high"), F.min("__sign").alias("__low"))
+    rows = keep(both.groupBy(*keys, *(f"__f_{n}" for n in names)).agg(F.max("__sign").alias("__high"), F.min("__sign").alias("__low")), "rows")
     lone = rows.filter(F.col("__high") == F.col("__low")).select(*(F.col(k).alias(f"__k_{k}") for k in keys)).distinct()
     related = rows.join(lone, reduce(and_, (F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys)), "left_semi")
     cell = lambda i, value: F.struct(F.lit(i).alias("field"), value.cast("string").alias("value"))
