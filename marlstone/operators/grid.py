@@ -1,7 +1,8 @@
 """Irregular readings onto a regular grid, by an as-of merge that looks both ways.
 
 Per source, grid points and readings merge in time order; each grid point takes the nearest
-reading on either side and, within a gap limit, the time-weighted mean of the two. Sources
+reading on either side and, within a gap limit, the mean of the two weighted by the distances to
+the times at which they were really taken. Sources
 are cut into time blocks so that one source, however large, spreads over many tasks; what a
 block needs from its neighbours is its last earlier and first later reading, which a small
 table of block edges supplies.
@@ -18,17 +19,15 @@ BLOCK_STEPS = 1440
 
 
 def slots(readings: DataFrame, source: str, time_us: Column, step_us: int, values: Sequence[str] = ()) -> DataFrame:
-    """One reading per (source, grid slot): the latest within the slot by time, then by values.
+    """(source, slot_us, first, last) of every grid slot with a reading: its earliest and latest reading (at, values...).
 
-    Rows without source or time carry no position and are left out.
+    Of several readings at one time the one with the largest values counts. Rows without source
+    or time carry no position and are left out.
     """
-    at = time_us
-    rows = readings.select(F.col(source), at.alias("__at"), *values).filter(F.col(source).isNotNull() & F.col("__at").isNotNull())
+    rows = readings.select(F.col(source), time_us.alias("__at"), *values).filter(F.col(source).isNotNull() & F.col("__at").isNotNull())
     slot = (F.col("__at") - F.pmod(F.col("__at"), F.lit(step_us))).alias("slot_us")
-    if not values:
-        return rows.groupBy(source, slot).agg(F.max("__at").alias("at_us"))
-    best = F.max(F.struct("__at", *values)).alias("__best")
-    return rows.groupBy(source, slot).agg(best).select(source, "slot_us", F.col("__best.__at").alias("at_us"), *(F.col(f"__best.{v}").alias(v) for v in values))
+    found = rows.groupBy(source, slot).agg(F.max(F.struct((-F.col("__at")).alias("at"), *values)).alias("f"), F.max(F.struct(F.col("__at").alias("at"), *values)).alias("last"))
+    return found.select(source, "slot_us", F.struct((-F.col("f.at")).alias("at"), *(F.col(f"f.{v}").alias(v) for v in values)).alias("first"), "last")
 
 
 def regular(
@@ -42,18 +41,20 @@ def regular(
 ) -> DataFrame:
     """The regular series: (source, slot_us, status, values...) from first to last covered slot.
 
-    Readings are snapped to the start of their slot first; weights and gaps use these snapped times.
-    status is ``observed`` (a reading lies in the slot), ``filled`` (interpolated between the
-    neighbours, which lie at most ``gap_limit_us`` apart) or ``missing`` (values are null).
-    Without a limit every gap is filled; a null value on either side leaves that value null.
-    Of several readings in a slot the latest counts, ties go to the larger values. Sources
-    without any usable reading yield no rows; so does an empty table.
+    A slot's value is that at its start, on the line between the last reading before or at it and
+    the first one at or after it, in real times. status is ``observed`` (a reading lies in the
+    slot), ``filled`` (none does, and the two neighbours lie at most ``gap_limit_us`` apart) or
+    ``missing`` (they lie further apart: values are null). An observed slot whose neighbours
+    lie further apart, or with none before it, has its own first reading's values. Without a
+    limit every gap is filled; a null value on either side leaves that value null. Of several
+    readings at one time the largest values count. Sources without any usable reading yield no
+    rows; so does an empty table.
     """
     block_us = step_us * block_steps
     block = lambda c: F.floor(c / F.lit(block_us)).cast("bigint")
+    slot_of = lambda c: c - F.pmod(c, F.lit(step_us))
     seen = slots(readings, source, time_us, step_us, values).withColumn("__block", block(F.col("slot_us")))
-    point = F.struct(F.col("slot_us").alias("slot"), *values)
-    edges = seen.groupBy(source, "__block").agg(F.min(point).alias("__first"), F.max(point).alias("__last"))
+    edges = seen.groupBy(source, "__block").agg(F.min_by("first", "slot_us").alias("__first"), F.max_by("last", "slot_us").alias("__last"))
     by_block = Window.partitionBy(source).orderBy("__block")
     near = edges.withColumns({
         "__before": F.lag("__last").over(by_block),
@@ -62,9 +63,10 @@ def regular(
     })
     # a block owns its own slots and the reading-free blocks that follow it
     spans = near.withColumn("__b", F.explode(F.when(F.col("__next_block").isNull(), F.array("__block")).otherwise(F.sequence("__block", F.col("__next_block") - 1))))
-    low = F.greatest(F.col("__first.slot"), F.col("__b") * block_us)
-    own_low = F.when(F.col("__b") != F.col("__block"), F.col("__b") * block_us).when(F.col("__before").isNull(), low).otherwise(F.col("__block") * block_us)
-    high = F.when(F.col("__next_block").isNull(), F.col("__last.slot")).otherwise((F.col("__b") + 1) * block_us - step_us)
+    own_low = F.when(F.col("__b") != F.col("__block"), F.col("__b") * block_us).when(F.col("__before").isNull(), slot_of(F.col("__first.at"))).otherwise(F.col("__block") * block_us)
+    high = F.when(F.col("__next_block").isNull(), slot_of(F.col("__last.at"))).otherwise((F.col("__b") + 1) * block_us - step_us)
+    point = edges.schema["__first"].dataType
+    none = F.lit(None).cast(point)
     grid = spans.select(
         source,
         F.col("__b").alias("__block"),
@@ -72,25 +74,27 @@ def regular(
         F.when(F.col("__b") == F.col("__block"), F.col("__before")).otherwise(F.col("__last")).alias("__before"),
         F.col("__after"),
         F.lit(0).alias("__real"),
-        *(F.lit(None).cast(seen.schema[v].dataType).alias(v) for v in values),
+        none.alias("first"),
+        none.alias("last"),
     )
-    lone = edges.select("__first").schema["__first"].dataType
-    merged = seen.select(source, "__block", "slot_us", F.lit(None).cast(lone).alias("__before"), F.lit(None).cast(lone).alias("__after"), F.lit(1).alias("__real"), *values).unionByName(grid)
-    # the as-of merge: within (source, block) in time order, readings before grid points of the same slot
+    merged = seen.select(source, "__block", "slot_us", none.alias("__before"), none.alias("__after"), F.lit(1).alias("__real"), "first", "last").unionByName(grid)
+    # the as-of merge: within (source, block) in time order, a slot's readings before its grid point
     order = Window.partitionBy(source, "__block").orderBy("slot_us", F.col("__real").desc())
-    back = order.rowsBetween(Window.unboundedPreceding, 0)
+    back, earlier = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(Window.unboundedPreceding, -1)
     reverse = Window.partitionBy(source, "__block").orderBy(F.col("slot_us").desc(), F.col("__real").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    real = F.when(F.col("__real") == 1, point)
-    both = merged.withColumns({"__p": F.last(real, ignorenulls=True).over(back), "__n": F.last(real, ignorenulls=True).over(reverse)}).filter("__real = 0")
-    both = both.withColumns({"__p": F.coalesce("__p", "__before"), "__n": F.coalesce("__n", "__after")})
-    width = F.col("__n.slot") - F.col("__p.slot")
-    observed = F.col("__p.slot") == F.col("slot_us")
-    fillable = F.lit(True) if gap_limit_us is None else width <= gap_limit_us
-    status = F.when(observed, "observed").when(fillable, "filled").otherwise("missing")
-    share = (F.col("slot_us") - F.col("__p.slot")) / width
+    met = merged.withColumn("__until", F.last("last", ignorenulls=True).over(earlier))
+    here = F.when(F.col("__real") == 1, F.struct("slot_us", "first", "last", F.col("__until").alias("until")))
+    both = met.withColumns({"__h": F.last(here, ignorenulls=True).over(back), "__n": F.last("first", ignorenulls=True).over(reverse)}).filter("__real = 0")
+    observed = F.coalesce(F.col("__h.slot_us") == F.col("slot_us"), F.lit(False))
+    before = F.when(observed & (F.col("__h.first.at") == F.col("slot_us")), F.col("__h.first")).when(observed, F.coalesce("__h.until", "__before")).otherwise(F.coalesce("__h.last", "__before"))
+    both = both.select(source, "slot_us", observed.alias("__observed"), before.alias("__p"), F.coalesce("__n", "__after").alias("__n"))
+    width = F.col("__n.at") - F.col("__p.at")
+    near_enough = F.coalesce(F.lit(True) if gap_limit_us is None else width <= gap_limit_us, F.lit(False)) & F.col("__p").isNotNull()
+    status = F.when(F.col("__observed"), "observed").when(near_enough, "filled").otherwise("missing")
+    share = (F.col("slot_us") - F.col("__p.at")) / width
     between = lambda v: F.col(f"__p.{v}").cast("double") + (F.col(f"__n.{v}").cast("double") - F.col(f"__p.{v}").cast("double")) * share
-    filled = lambda v: F.when(observed, F.col(f"__p.{v}").cast("double")).when(fillable, between(v))
-    return both.select(source, "slot_us", status.alias("status"), *(filled(v).alias(v) for v in values))
+    value = lambda v: F.when(width == 0, F.col(f"__p.{v}").cast("double")).when(near_enough, between(v)).when(F.col("__observed"), F.col(f"__n.{v}").cast("double"))
+    return both.select(source, "slot_us", status.alias("status"), *(value(v).alias(v) for v in values))
 
 
 def uncovered(readings: DataFrame, source: str, time_us: Column, step_us: int) -> DataFrame:

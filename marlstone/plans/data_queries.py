@@ -363,11 +363,14 @@ ORACLE: dict[str, str] = {
   select s as source_dataset_id, f as file_seq, c as canonical_field, 'added' as change_kind from j where qn is null union all select s, f, c, 'removed' from j where nn is null union all select s, f, c, 'renamed' from j where nn <> qn
   union all select s, f, c, 'type_changed' from j where len(nk) > 0 and len(qk) > 0 and nk <> qk""",
     "p6_found": f"""with {COVERED_SQL}, r as (select instrument_id, unnest(generate_series(min(t), max(t), 60000)) as t from m group by 1) select instrument_id, t as open_time_ms from r anti join m using (instrument_id, t)""",
-    "p6_series": f"""with {COVERED_SQL}, g as (select instrument_id, unnest(generate_series(min(t), max(t), 60000)) as t from m group by 1),
-  b as (select g.instrument_id, g.t, m.t as pt, m.r as pr from g asof join m on g.instrument_id = m.instrument_id and g.t >= m.t), x as (select b.*, m.t as nt, m.r as nr from b asof join m on b.instrument_id = m.instrument_id and b.t <= m.t)
-  select instrument_id, t as open_time_ms, case when pt = t then 'observed' when nt - pt <= 600000 then 'filled' else 'missing' end as status,
-    case when pt = t then round(cast(pr[2] as double), 6) when nt - pt <= 600000 then round(cast(pr[2] as double) + (cast(nr[2] as double) - cast(pr[2] as double)) * ((t - pt) / (nt - pt)), 6) end as close_price,
-    case when pt = t then round(cast(pr[3] as double), 6) when nt - pt <= 600000 then round(cast(pr[3] as double) + (cast(nr[3] as double) - cast(pr[3] as double)) * ((t - pt) / (nt - pt)), 6) end as base_volume from x""",
+    "p6_series": """with r as (select instrument_id as i, epoch_us(open_time) as u, max((close_price, base_volume)) as v from ohlcv_candle where candle_interval = '1m' and is_closed group by 1, 2),
+  c as (select distinct i, u // 60000000 * 60000000 as t from r), g as (select i, unnest(generate_series(min(t), max(t), 60000000)) as t from c group by 1),
+  b as (select g.i, g.t, r.u as pt, r.v as pv from g asof left join r on g.i = r.i and g.t >= r.u), x as (select b.*, r.u as nt, r.v as nv from b asof left join r on b.i = r.i and b.t <= r.u),
+  s as (select x.*, c.t is not null as observed, coalesce(nt - pt <= 600000000, false) as near from x left join c using (i, t)),
+  n as (select *, cast(pv[1] as double) as p1, cast(pv[2] as double) as p2, cast(nv[1] as double) as n1, cast(nv[2] as double) as n2, (t - pt) / (nt - pt) as f from s)
+  select i as instrument_id, t // 1000 as open_time_ms, case when observed then 'observed' when near then 'filled' else 'missing' end as status,
+    round(case when nt = pt then p1 when near then p1 + (n1 - p1) * f when observed then n1 end, 6) as close_price,
+    round(case when nt = pt then p2 when near then p2 + (n2 - p2) * f when observed then n2 end, 6) as base_volume from n""",
     "p7_found": SHARED_SQL["trades"] + " select instrument_id, native_trade_id, difference from f",
     "p7_totals": SHARED_SQL["trades"] + """ select instrument_id, count(*) filter (difference = 'missing_in_ws') as ws_missing_count, count(*) filter (difference = 'missing_in_archive') as archive_missing_count,
   count(*) filter (difference in ('price', 'quantity', 'event_time')) as field_mismatch_count, count(*) filter (difference = 'taker_side') as side_mismatch_count from f group by 1""",

@@ -259,6 +259,17 @@ def test_grid_fills_across_blocks_and_marks_long_gaps(spark, rows):
     assert grid.regular(df.limit(0), "s", F.col("t"), 1, ["v"]).count() == 0
 
 
+def test_grid_values_lie_on_the_line_between_real_reading_times(spark):
+    data = [("a", t, float(t)) for t in (0, 50, 260, 305, 900, 905)] + [("b", 30, 30.0), ("b", 59, 59.0), ("b", 59, 1.0), ("b", 130, 130.0)]
+    df = spark.createDataFrame(data, "s string, t bigint, v double")
+    for block in (1, 2, 50):
+        got = {(r["s"], r["slot_us"]): (r["status"], r["v"] and round(r["v"], 9)) for r in grid.regular(df, "s", F.col("t"), 60, ["v"], gap_limit_us=210, block_steps=block).collect()}
+        assert got == {
+            ("a", 0): ("observed", 0.0), ("a", 60): ("filled", 60.0), ("a", 120): ("filled", 120.0), ("a", 180): ("filled", 180.0), ("a", 240): ("observed", 240.0), ("a", 300): ("observed", 300.0),
+            **{("a", t): ("missing", None) for t in range(360, 900, 60)}, ("a", 900): ("observed", 900.0), ("b", 0): ("observed", 30.0), ("b", 60): ("filled", 60.0), ("b", 120): ("observed", 120.0),
+        }, (block, got)
+
+
 @settings(max_examples=6, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(-40, 200)), min_size=1, max_size=20), st.integers(1, 9))
 def test_uncovered_equals_brute_force(spark, data, block):
