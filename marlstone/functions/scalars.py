@@ -85,6 +85,30 @@ def product(a: Column, b: Column) -> Column:
     return (a.cast("decimal(19,9)") * b.cast("decimal(19,9)")).cast("decimal(38,18)")
 
 
+def middle(low: Column, high: Column) -> Column:
+    """The exact mean of two decimal(38,18) of up to 18 digits before the point, as decimal(38,19)."""
+    narrow = lambda c: c.cast("decimal(36,18)")  # noqa: E731  (wider sums and quotients would lose digits)
+    return ((narrow(low) + narrow(high)) / F.lit(2).cast("decimal(1,0)")).cast("decimal(38,19)")
+
+
+def mean_half_even(total: Column, count: Column) -> Column:
+    """total / count rounded once to 18 digits after the point, ties to the even digit, as decimal(38,18).
+
+    The quotient has 20 digits, itself rounded; where these end in a tie, the remainder tells on
+    which side the true quotient lies. Exact for means of up to 8 digits before the point and counts
+    below a thousand million; beyond, the tie is taken as one. No count yields null.
+    """
+    of = F.nullif(count, F.lit(0)).cast("decimal(10,0)")
+    q = (total.cast("decimal(36,18)") / of).cast("decimal(38,20)")
+    unit, half = F.lit("0.000000000000000001").cast("decimal(38,18)"), F.lit("0.00000000000000000050").cast("decimal(38,20)")
+    down = F.when(q < 0, F.ceil(q, F.lit(18))).otherwise(F.floor(q, F.lit(18))).cast("decimal(38,18)")
+    away = (down + F.when(q < 0, -unit).otherwise(unit)).cast("decimal(38,18)")
+    again, whole = (q.try_cast("decimal(28,20)") * of.try_cast("decimal(9,0)")).try_cast("decimal(37,20)"), total.try_cast("decimal(37,20)")
+    rest = F.when(q < 0, again - whole).otherwise(whole - again)
+    tied = F.abs(q - down) == half
+    return F.when(tied & (rest > 0), away).when(tied & (rest < 0), down).otherwise(F.bround(q, 18)).cast("decimal(38,18)")
+
+
 def stable_id(prefix: str, fields: Mapping[str, Column], digits: int = 20) -> Column:
     """``prefix`` and the first hex digits of the SHA-256 of the fields' JSON, keys sorted, nulls kept."""
     body = F.to_json(F.struct(*(fields[k].alias(k) for k in sorted(fields))), {"ignoreNullFields": "false"})

@@ -19,8 +19,8 @@ def trade_buckets(trades: DataFrame, keys: Sequence[str], seconds: Sequence[int]
     ``trades`` needs event_us, price, quantity, side and the order columns source_ordinal and
     native_trade_id; open and close follow (event_us, source_ordinal, native_trade_id). Rows
     without time, price or quantity are left out; sides other than BUY and SELL count in the
-    totals only. All grains come from one pass. The median size, if asked for, is exact and
-    derived from counts of distinct sizes.
+    totals only. All grains come from one pass. The mean size and, if asked for, the median size
+    (from counts of distinct sizes) are exact, rounded once to 18 digits, ties to the even digit.
     """
     quote = scalars.product(F.col("price"), F.col("quantity"))
     rows = trades.filter("event_us is not null and price is not null and quantity is not null").select(
@@ -49,10 +49,10 @@ def trade_buckets(trades: DataFrame, keys: Sequence[str], seconds: Sequence[int]
     out = out.withColumns({
         "base_delta": F.col("buy_base") - F.col("sell_base"),
         "quote_delta": F.col("buy_quote") - F.col("sell_quote"),
-        "avg_size": F.bround((F.col("base_volume") / F.col("trade_count")).cast("decimal(38,18)"), 18),
+        "avg_size": scalars.mean_half_even(F.col("base_volume"), F.col("trade_count")),
     })
     if median:
-        sizes = multiset.figures(multiset.counted(rows, by, "quantity"), by, "quantity", "n").select(*by, F.col("median").alias("median_size"))
+        sizes = multiset.figures(multiset.counted(rows, by, "quantity"), by, "quantity", "n").select(*by, F.bround("median", 18).cast("decimal(38,18)").alias("median_size"))
         out = out.join(sizes, by)
     return out
 

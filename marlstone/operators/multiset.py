@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marlstone.functions.scalars import middle
+
 
 def counted(df: DataFrame, keys: Sequence[str], value: str, **counts: Column) -> DataFrame:
     """The multiset of ``value`` per ``keys``; each of ``counts`` is summed (default: one a row)."""
@@ -23,8 +25,11 @@ def figures(multiset: DataFrame, keys: Sequence[str], value: str, count: str, pr
 
     Rows whose count is zero or negative don't exist for the result. Null values count in
     ``n`` alone. Keys without any positive count are absent. The median of an even number of
-    values is the mean of the middle two, as double.
+    values is the mean of the middle two: an exact decimal(38,19) of decimals, else a double.
+    Extremes keep the decimals' type and are doubles otherwise.
     """
+    exact = multiset.schema[value].dataType.typeName() == "decimal"
+    shown = (lambda c: c) if exact else (lambda c: c.cast("double"))
     w = Window.partitionBy(*keys).orderBy(F.col(value).asc_nulls_last())
     whole = Window.partitionBy(*keys)
     known = F.when(F.col(value).isNotNull(), F.col(count)).otherwise(0)
@@ -34,11 +39,12 @@ def figures(multiset: DataFrame, keys: Sequence[str], value: str, count: str, pr
     })
     low, high = F.floor((F.col("__of") + 1) / 2), F.floor(F.col("__of") / 2) + 1
     inside = lambda k: (F.col("__upto") >= k) & (F.col("__upto") - known < k) & F.col(value).isNotNull()
-    middle = (F.max(F.when(inside(low), F.col(value).cast("double"))) + F.max(F.when(inside(high), F.col(value).cast("double")))) / 2
+    at = lambda k: F.max(F.when(inside(k), shown(F.col(value))))
+    median = middle(at(low), at(high)) if exact else (at(low) + at(high)) / 2
     return live.groupBy(*keys).agg(
         F.sum(count).cast("bigint").alias(f"{prefix}n"),
         F.count(value).cast("bigint").alias(f"{prefix}distinct"),
-        F.min(value).cast("double").alias(f"{prefix}min"),
-        F.max(value).cast("double").alias(f"{prefix}max"),
-        middle.alias(f"{prefix}median"),
+        shown(F.min(value)).alias(f"{prefix}min"),
+        shown(F.max(value)).alias(f"{prefix}max"),
+        median.alias(f"{prefix}median"),
     )

@@ -122,7 +122,7 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
 def p2_figures(spark: SparkSession, folder: str) -> DataFrame:
     """Orders, distinct prices, extremes and median price per period, before and after correction."""
     found = lateness.corrected(_order_state(spark, folder), ["instrument_id"])
-    shown = {c: F.round(c, 9) for c in found.columns if c.endswith(("_median", "_min", "_max"))}
+    shown = {c: F.col(c).cast("decimal(38,19)").cast("string") for c in found.columns if c.endswith(("_median", "_min", "_max"))}
     return found.withColumns(shown).withColumn("period_start_ms", F.expr("period_us div 1000")).drop("period_us")
 
 
@@ -337,10 +337,12 @@ ORACLE: dict[str, str] = {
   q as (select instrument_id, epoch_ms(event_time) // 300000 * 300000 as period_start_ms, epoch_us(arrival) - (epoch_ms(event_time) // 300000 * 300000 + 300000) * 1000 as delay from o where arrival is not null and event_time is not null)
   select distinct instrument_id, period_start_ms, case when delay <= 1800000000 then 'corrected' else 'dropped' end as outcome from q where delay > 0""",
     "p2_figures": WINNERS_SQL + """, o as (select coalesce(w.winner, l.ingest_seq) as m, min(epoch_us(coalesce(knowledge_time, received_at))) as arrival, arg_min(instrument_id, ingest_seq) as instrument_id, arg_min(epoch_us(event_time), ingest_seq) filter (event_time is not null) as e,
-    arg_min(cast(try_cast(source_price as decimal(38,18)) as double), ingest_seq) filter (try_cast(source_price as decimal(38,18)) is not null) as v from liquidation l left join w on w.d = 'liquidation' and w.s = l.ingest_seq group by 1),
-  q as (select instrument_id, e // 300000000 * 300000 as period_start_ms, v, arrival - e // 300000000 * 300000000 - 300000000 as delay from o where arrival is not null and e is not null)
-  select instrument_id, period_start_ms, count(*) as final_n, count(distinct v) as final_distinct, round(min(v), 9) as final_min, round(max(v), 9) as final_max, round(median(v), 9) as final_median, nullif(count(*) filter (delay <= 0), 0) as first_n,
-    case when count(*) filter (delay <= 0) > 0 then count(distinct v) filter (delay <= 0) end as first_distinct, round(min(v) filter (delay <= 0), 9) as first_min, round(max(v) filter (delay <= 0), 9) as first_max, round(median(v) filter (delay <= 0), 9) as first_median from q where delay <= 1800000000 group by 1, 2""",
+    arg_min(try_cast(source_price as decimal(38,18)), ingest_seq) filter (try_cast(source_price as decimal(38,18)) is not null) as v from liquidation l left join w on w.d = 'liquidation' and w.s = l.ingest_seq group by 1),
+  q as (select instrument_id, e // 300000000 * 300000 as period_start_ms, v, arrival - e // 300000000 * 300000000 - 300000000 as delay from o where arrival is not null and e is not null),
+  s as (select instrument_id, period_start_ms, count(*) as final_n, list_sort(list(v) filter (v is not null)) as a, nullif(count(*) filter (delay <= 0), 0) as first_n, list_sort(list(v) filter (v is not null and delay <= 0)) as b from q where delay <= 1800000000 group by 1, 2),
+  z as (select *, (cast(a[(len(a) + 1) // 2] as decimal(37,18)) + a[len(a) // 2 + 1]) * 0.5 as am, (cast(b[(len(b) + 1) // 2] as decimal(37,18)) + b[len(b) // 2 + 1]) * 0.5 as bm from s)
+  select instrument_id, period_start_ms, final_n, coalesce(len(list_distinct(a)), 0) as final_distinct, cast(cast(a[1] as decimal(38,19)) as varchar) as final_min, cast(cast(a[-1] as decimal(38,19)) as varchar) as final_max, cast(cast(am as decimal(38,19)) as varchar) as final_median,
+    first_n, case when first_n > 0 then coalesce(len(list_distinct(b)), 0) end as first_distinct, cast(cast(b[1] as decimal(38,19)) as varchar) as first_min, cast(cast(b[-1] as decimal(38,19)) as varchar) as first_max, cast(cast(bm as decimal(38,19)) as varchar) as first_median from z""",
     "p3_found": WINNERS_SQL + " select d as dataset, s as ingest_seq from w where s <> winner",
     "p4_found": SHARED_SQL["results"] + """ select 'unknown_metric' as finding, metric, load_no, result_id from g where kind is null union all select 'bad_value', metric, load_no, result_id from g where kind is not null and v is not null and not fit
   union all select 'null_shift', metric, load_no, 0 from p where abs(nulls * n0 - nulls0 * n) * 4 >= n * n0 union all select 'level_shift', metric, load_no, 0 from p where (med >= 2 * med0 or 2 * med <= med0) and (med <> 0 or med0 <> 0)

@@ -86,12 +86,17 @@ def bucket_rollup_1h(spark: SparkSession, folder: str) -> DataFrame:
     return _shown(buckets.rollup(buckets.trade_buckets(tape(spark, folder), ["instrument_id"], [60]), ["instrument_id"], HOUR))
 
 
-@query(f"""with {TAPE} select instrument_id, event_us - event_us % 3600000000 as bucket_start_us, count(*) as trade_count, round(median(cast(quantity as double)), 6) as median_size,
-  round(cast(sum(quantity) as double) / count(*), 6) as avg_size from tape group by 1, 2""")
+UNITS_SQL = """cast({x} // 1000000000000000000 as varchar) || '.' || lpad(cast({x} % 1000000000000000000 as varchar), 18, '0')"""
+
+
+@query(f"""with {TAPE}, h as (select instrument_id, event_us - event_us % 3600000000 as bucket_start_us, list_sort(list(cast(cast(quantity as decimal(19,9)) * 1000000000 as hugeint) * 1000000000)) as a from tape group by 1, 2),
+  s as (select *, len(a) as n, a[(len(a) + 1) // 2] + a[len(a) // 2 + 1] as m, list_sum(a) as t from h),
+  r as (select instrument_id, bucket_start_us, n as trade_count, m // 2 + case when m % 2 = 1 and m // 2 % 2 = 1 then 1 else 0 end as m, cast(t as hugeint) // n + case when 2 * (cast(t as hugeint) % n) > n or 2 * (cast(t as hugeint) % n) = n and cast(t as hugeint) // n % 2 = 1 then 1 else 0 end as a from s)
+  select instrument_id, bucket_start_us, trade_count, {UNITS_SQL.replace("{x}", "m")} as median_size, {UNITS_SQL.replace("{x}", "a")} as avg_size from r""")
 def bucket_sizes_1h(spark: SparkSession, folder: str) -> DataFrame:
-    """Exact median and mean trade size per hour."""
+    """Exact median and mean trade size per hour, to 18 digits."""
     made = buckets.trade_buckets(tape(spark, folder), ["instrument_id"], [HOUR], median=True)
-    return made.select("instrument_id", "bucket_start_us", "trade_count", dbl("median_size").alias("median_size"), dbl("avg_size").alias("avg_size"))
+    return made.select("instrument_id", "bucket_start_us", "trade_count", F.col("median_size").cast("string").alias("median_size"), F.col("avg_size").cast("string").alias("avg_size"))
 
 
 @query(f"""with {TAPE} select instrument_id, count(*) as trades, round(cast(sum(quantity) as double), 6) as base, true as conserved from tape group by 1""")

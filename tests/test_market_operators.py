@@ -1,6 +1,7 @@
 """Market-data operators: golden cases, hard inputs and invariants."""
 
 import datetime as dt
+import decimal
 import json
 import zipfile
 from decimal import Decimal
@@ -20,17 +21,28 @@ D = Decimal
 
 
 def test_two_trades_in_a_bucket(spark):
-    rows = spark.createDataFrame([("i", 1_000_000, D(10), D(2), "BUY", 0, "1"), ("i", 3_000_000, D(11), D(1), "SELL", 1, "2"), ("i", None, D(1), D(1), "BUY", 2, "3"), ("i", 9_000_000, D(5), D(1), None, 3, "4")], TRADES)
+    rows = spark.createDataFrame([("i", 600_000, D(7), D(4), "BUY", 0, "1"), ("i", 4_200_000, D(6), D(3), "SELL", 1, "2"), ("i", None, D(1), D(1), "BUY", 2, "3"), ("i", 9_000_000, D(5), D(1), None, 3, "4")], TRADES)
     got = {r["bucket_start_us"]: r for r in buckets.trade_buckets(rows, ["k"], [5], median=True).collect()}
     b = got[0]
-    assert (b["trade_count"], b["base_volume"], b["quote_volume"], b["base_delta"], b["quote_delta"]) == (2, 3, 31, 1, 9)
-    assert (b["open"], b["high"], b["low"], b["close"], b["avg_size"], b["median_size"], b["max_size"]) == (10, 11, 10, 11, D("1.5"), 1.5, 2)
+    assert (b["trade_count"], b["base_volume"], b["quote_volume"], b["base_delta"], b["quote_delta"]) == (2, 7, 46, 1, 10)
+    assert (b["open"], b["high"], b["low"], b["close"], b["avg_size"], b["median_size"], b["max_size"]) == (7, 7, 6, 6, D("3.5"), D("3.5"), 4)
     assert got[5_000_000]["buy_count"] == got[5_000_000]["sell_count"] == 0 and len(got) == 2
     assert buckets.trade_buckets(rows.limit(0), ["k"]).count() == 0
     p = buckets.input_problems(rows, ["k"]).first()
     assert (p["rows"], p["without_time"], p["unknown_side"], p["tied_order"]) == (4, 1, 1, 0)
 
 
+def test_sizes_round_once_and_to_the_even_digit(spark):
+    cases = [("5e-18", 2), ("7e-18", 2), ("1e-18", 3), ("2e-18", 3), ("-5e-18", 2), ("-7e-18", 2), ("10", 3), ("0", 7), ("1.0000000000000000005e9", 1)]
+    cases += [("0.000000000000000001", 199), ("0.000000000000000100", 199), ("12345678.000000000000000001", 2)]
+    data = [(D(t).quantize(D("1e-18")), n) for t, n in cases] + [(D(1), 0), (None, 2)]
+    got = [r[0] for r in spark.createDataFrame(data, "t decimal(38,18), n bigint").select(scalars.mean_half_even(F.col("t"), F.col("n"))).collect()]
+    with decimal.localcontext(decimal.Context(prec=80, rounding=decimal.ROUND_HALF_EVEN)):
+        assert got == [(t / n).quantize(D("1e-18")) if n and t is not None else None for t, n in data]
+    pairs = spark.createDataFrame([(D("2e-18"), D("3e-18")), (D("3e-18"), D("4e-18")), (D(1), D(4))], "a decimal(38,18), b decimal(38,18)")
+    assert [r[0] for r in pairs.select(F.bround(scalars.middle(F.col("a"), F.col("b")), 18)).collect()] == [D("2e-18"), D("4e-18"), D("2.5")]
+
+
 def test_rollup_equals_direct_buckets(spark, rows):
     data = [("ab"[i % 2], i * 700_000, D(100 + i % 7), D(1 + i % 3), ("BUY", "SELL", "UNKNOWN")[i % 3], i, str(i)) for i in range(400)]
     df = spark.createDataFrame(data, TRADES)
@@ -141,12 +153,12 @@ def test_quality(spark, rows):
 def test_retention(spark, rows):
     now = F.lit("2021-04-30 00:00:00").cast("timestamp")
     day = lambda n: dt.datetime(2021, 4, 30) - dt.timedelta(days=n)
-    objects = spark.createDataFrame([(f"d/{n}.parquet", day(n)) for n in (10, 29, 30, 31)] + [("held/x", day(99)), ("e/held.parquet", day(99)), ("n", None)], "ref string, modified timestamp")
-    aged = retention.aged(objects, spark.createDataFrame([("z/31.parquet", day(31))], "ref string, coverage_end timestamp"), F.col("modified"))
-    assert dict(rows(aged.select("ref", "age_basis")))["d/31.parquet"] == "MANIFEST_NAME"
+    objects = spark.createDataFrame([(f"d/{n}.parquet", day(n)) for n in (3, 44, 45, 46)] + [("held/x", day(99)), ("e/held.parquet", day(99)), ("n", None)], "ref string, modified timestamp")
+    aged = retention.aged(objects, spark.createDataFrame([("z/46.parquet", day(46))], "ref string, coverage_end timestamp"), F.col("modified"))
+    assert dict(rows(aged.select("ref", "age_basis")))["d/46.parquet"] == "MANIFEST_NAME"
     holds = spark.createDataFrame([("held/",), ("e/held.parquet",), ("held",)], "hold string")
-    got = dict(rows(retention.candidates(aged, holds, now, 30).select("ref", "decision")))
-    assert got == {"d/10.parquet": "KEEP", "d/29.parquet": "KEEP", "d/30.parquet": "KEEP", "d/31.parquet": "DELETE", "held/x": "HELD", "e/held.parquet": "HELD", "n": "KEEP"}
+    got = dict(rows(retention.candidates(aged, holds, now, 45).select("ref", "decision")))
+    assert got == {"d/3.parquet": "KEEP", "d/44.parquet": "KEEP", "d/45.parquet": "KEEP", "d/46.parquet": "DELETE", "held/x": "HELD", "e/held.parquet": "HELD", "n": "KEEP"}
 
 
 def test_features(spark):
