@@ -105,7 +105,7 @@ def mean_half_even(total: Column, count: Column) -> Column:
     away = (down + F.when(q < 0, -unit).otherwise(unit)).cast("decimal(38,18)")
     again, whole = (q.try_cast("decimal(28,20)") * of.try_cast("decimal(9,0)")).try_cast("decimal(37,20)"), total.try_cast("decimal(37,20)")
     rest = F.when(q < 0, again - whole).otherwise(whole - again)
-    tied = F.abs(q - down) == half
+    tied = F.coalesce((F.abs(q.try_cast("decimal(37,20)") - down.try_cast("decimal(35,18)"))).cast("decimal(38,20)") == half, F.lit(False))  # narrowed, or the difference would lose digits
     return F.when(tied & (rest > 0), away).when(tied & (rest < 0), down).otherwise(F.bround(q, 18)).cast("decimal(38,18)")
 
 
