@@ -100,9 +100,9 @@ def mean_half_even(total: Column, count: Column) -> Column:
     """
     of = F.nullif(count, F.lit(0)).cast("decimal(10,0)")
     q = (total.cast("decimal(36,18)") / of).cast("decimal(38,20)")
-    unit, half = F.lit("0.000000000000000001").cast("decimal(38,18)"), F.lit("0.00000000000000000050").cast("decimal(38,20)")
+    unit, half = F.lit("0.000000000000000001").cast("decimal(18,18)"), F.lit("0.00000000000000000050").cast("decimal(38,20)")
     down = F.when(q < 0, F.ceil(q, F.lit(18))).otherwise(F.floor(q, F.lit(18))).cast("decimal(38,18)")
-    away = (down + F.when(q < 0, -unit).otherwise(unit)).cast("decimal(38,18)")
+    away = (down.cast("decimal(36,18)") + F.when(q < 0, -unit).otherwise(unit)).cast("decimal(38,18)")
     again, whole = (q.try_cast("decimal(28,20)") * of.try_cast("decimal(9,0)")).try_cast("decimal(37,20)"), total.try_cast("decimal(37,20)")
     rest = F.when(q < 0, again - whole).otherwise(whole - again)
     tied = F.coalesce((F.abs(q.try_cast("decimal(37,20)") - down.try_cast("decimal(35,18)"))).cast("decimal(38,20)") == half, F.lit(False))  # narrowed, or the difference would lose digits
