@@ -143,34 +143,39 @@ def _graded(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _tested(graded: DataFrame) -> DataFrame:
-    sized = F.when(F.col("kind") == "label", F.when(F.col("fit"), F.col("value"))).otherwise(profile.level(F.col("number")))
-    cells = graded.filter("kind is not null and load_no is not null").groupBy(
-        "metric", "load_no", F.pmod(F.xxhash64("result_id"), F.lit(profile.FOLDS)).alias("fold"),
-        F.col("value").isNull().alias("missing"), "fit", sized.alias("size"), "evaluation",
-    ).agg(F.count(F.lit(1)).alias("n"))
-    return profile.two_sample(cells, "metric", "load_no", "fold", ["missing", "fit", "size", "evaluation"])
-
-
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     """Misnamed metrics, values that break their metric's form, and shifts from load to load."""
     graded = keep(_graded(spark, folder), "graded")
     broken = F.when(F.col("kind").isNull(), "unknown_metric").when(F.col("value").isNotNull() & ~F.col("fit"), "bad_value")
     single = graded.withColumn("finding", broken).filter("finding is not null").select("finding", "metric", "load_no", "result_id")
-    known = graded.filter("kind is not null and load_no is not null")
-    moved = profile.shifts(known, "metric", "load_no", keep(_tested(graded), "tested"))
+    moved = profile.shifts(graded.filter("kind is not null and load_no is not null"), "metric", "load_no")
     return single.unionByName(moved.select("finding", "metric", "load_no", F.lit(0).cast("bigint").alias("result_id")))
 
 
 def p4_drift(spark: SparkSession, folder: str) -> DataFrame:
     """How well a classifier tells each load of a metric from the one before, and by which column."""
-    tested = _tested(_graded(spark, folder))
+    graded = _graded(spark, folder).filter("kind is not null and load_no is not null")
+    sized = F.when(F.col("kind") == "label", F.when(F.col("fit"), F.col("value"))).otherwise(profile.level(F.col("number")))
+    cells = graded.groupBy("metric", "load_no", F.col("value").isNull().alias("missing"), "fit", sized.alias("size"), "evaluation").agg(F.count(F.lit(1)).alias("n"))
+    tested = profile.two_sample(cells, "metric", "load_no", ["missing", "fit", "size", "evaluation"])
     return tested.select("metric", "load_no", *(F.round(c, 6).alias(c) for c in tested.columns if c not in ("metric", "load_no")))
 
 
+#: What texts of a column must look like (fixed values of the data's formats).
+PATTERNS = {
+    "instrument_id": r"\Ains_[0-9a-f]{20}\z", "parquet_sha256": r"\A[0-9a-f]{64}\z", "payload_hash": r"\A[0-9a-f]{64}\z", "message_id": r"\A[0-9a-f]{64}\z", "dedup_fingerprint": r"\A[0-9a-f]{64}\z",
+    "schema_version": r"\A[0-9]+\.[0-9]+\.[0-9]+\z", "taker_side": r"\A(BUY|SELL|UNKNOWN)\z", "candle_interval": r"\A[0-9]+[smhd]\z", "relative_path": r"\A[^\\]+\z",
+    "price": r"\A[0-9]+(\.[0-9]+)?\z", "quantity": r"\A[0-9]+(\.[0-9]+)?\z", "evaluation": r"\A(PASS|FAIL|UNKNOWN|NOT_APPLICABLE)\z",
+}
+
+
+def _profiled(rows: DataFrame, load: str) -> DataFrame:
+    return profile.columns_by_load(rows, load, patterns={c: p for c, p in PATTERNS.items() if c in rows.columns})
+
+
 def p4_profile(spark: SparkSession, folder: str) -> DataFrame:
-    """Nulls, distinct values and ranges (as texts; p4_ranges has typed ones) of every column of the quality results, load by load."""
-    return profile.columns_by_load(table(spark, folder, "dq_metric_result"), "load_no", text_ranges=True)
+    """Nulls, distinct values, ranges and pattern violations of every column of the quality results, load by load."""
+    return _profiled(table(spark, folder, "dq_metric_result"), "load_no")
 
 
 def p4_ranges(spark: SparkSession, folder: str) -> DataFrame:
@@ -181,7 +186,7 @@ def p4_ranges(spark: SparkSession, folder: str) -> DataFrame:
 def p4_trade_profile(spark: SparkSession, folder: str) -> DataFrame:
     """The same for the archive of trades, a day of receipt being a load."""
     trades = table(spark, folder, "archive_trade").withColumn("day", F.to_date("received_at").cast("string"))
-    return profile.columns_by_load(trades, "day")
+    return _profiled(trades, "day")
 
 
 #: What a load of each large table is: a day of receipt, or the table's own number.
@@ -196,7 +201,7 @@ def p4_table_profile(spark: SparkSession, folder: str) -> DataFrame:
     parts = []
     for name, load in LOADS.items():
         rows = table(spark, folder, name).withColumn("__load", F.expr(load).cast("string"))
-        parts.append(profile.columns_by_load(rows, "__load").select(F.lit(name).alias("table_name"), "*"))
+        parts.append(_profiled(rows, "__load").select(F.lit(name).alias("table_name"), "*"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -311,6 +316,21 @@ WINNERS_SQL = r"""with recursive r as (
   e as (select distinct x.d, x.s as s, y.s as o from t x join t y on x.d = y.d and x.k = y.k and x.s <> y.s),
   reach(d, s, o) as (select d, s, o from e union select reach.d, reach.s, e.o from reach join e on reach.d = e.d and reach.o = e.s),
   w as (select d, s, least(s, min(o)) as winner from reach group by d, s)"""
+RESULT_COLUMNS = ("result_id", "dataset_class", "exchange", "market_type", "instrument_id", "source_contract_version", "metric", "observed_value", "observations", "policy_id", "evaluation", "reason", "observed_at")
+TRADE_COLUMNS = (
+    "instrument_id", "exchange", "market_type", "contract_type", "native_symbol", "dataset_class", "source_dataset_id", "native_trade_id", "source_ordinal", "event_time", "source_timestamp", "source_timestamp_unit", "price", "quantity",
+    "quote_quantity", "taker_side", "is_buyer_maker", "is_best_match", "is_rpi_trade", "received_at", "knowledge_time", "knowledge_time_basis", "raw_object_ref", "schema_version", "dq_flags",
+)
+
+
+def _profile_sql(name: str, load: str, columns: tuple[str, ...]) -> str:
+    """One select per column: counts, and ranges in the column's own type given as text."""
+    value = lambda c: f"epoch_us({c})" if c.endswith(("_at", "_time")) else f"cast(to_json({c}) as varchar)" if c == "dq_flags" else c
+    off = lambda c: f"count(*) filter (not regexp_matches(cast({c} as varchar), '{PATTERNS[c]}'))" if c in PATTERNS else "cast(null as bigint)"
+    one = lambda c: f"""select '{c}' as column_name, {load} as load, count(*) as rows, count(*) - count({c}) as nulls, count(distinct {value(c)}) as "distinct", cast(min({value(c)}) as varchar) as lowest, cast(max({value(c)}) as varchar) as highest, {off(c)} as violations from {name} group by {load}"""
+    return "\nunion all ".join(map(one, columns))
+
+
 SHARED_SQL = {
     "trades": """with a as (select distinct instrument_id as i, lower(trim(native_trade_id)) as k, price as p, quantity as q, upper(taker_side) as s, epoch_us(event_time) // 1000 as e from archive_trade),
   w as (select distinct instrument_id as i, lower(trim(native_trade_id)) as k, try_cast(price as decimal(38,18)) as p, try_cast(quantity as decimal(38,18)) as q, upper(taker_side) as s, event_time_ms as e from ws_trade),
@@ -347,11 +367,8 @@ ORACLE: dict[str, str] = {
     "p4_found": SHARED_SQL["results"] + """ select 'unknown_metric' as finding, metric, load_no, result_id from g where kind is null union all select 'bad_value', metric, load_no, result_id from g where kind is not null and v is not null and not fit
   union all select 'null_shift', metric, load_no, 0 from p where abs(nulls * n0 - nulls0 * n) * 4 >= n * n0 union all select 'level_shift', metric, load_no, 0 from p where (med >= 2 * med0 or 2 * med <= med0) and (med <> 0 or med0 <> 0)
   union all select distinct 'label_shift', metric, load_no, 0 from u join p using (metric, load_no) where fitting > 0 and fitting0 > 0 and abs(c * fitting0 - c0 * fitting) * 10 >= 3 * fitting * fitting0""",
-    "p4_profile": "\nunion all ".join(
-        f"select '{c}' as column_name, load_no as load, count(*) as rows, count(*) - count({c}) as nulls, count(distinct {c}) as distinct, min(cast({c} as varchar)) as lowest, max(cast({c} as varchar)) as highest from dq_metric_result group by load_no"
-        for c in ("dataset_class", "exchange", "market_type", "instrument_id", "source_contract_version", "metric", "observed_value", "policy_id", "evaluation", "reason", "result_id", "observations")
-    ).replace(" as distinct,", ' as "distinct",')
-    + """ union all select 'observed_at', load_no, count(*), count(*) - count(observed_at), count(distinct observed_at), min(cast(epoch_us(observed_at) as varchar)), max(cast(epoch_us(observed_at) as varchar)) from dq_metric_result group by load_no""",
+    "p4_profile": _profile_sql("dq_metric_result", "load_no", RESULT_COLUMNS),
+    "p4_trade_profile": _profile_sql("archive_trade", "strftime(received_at, '%Y-%m-%d')", TRADE_COLUMNS),
     "p4_ranges": "\nunion all ".join(
         f"select '{c}' as column_name, load_no as load, cast(min({v}) as varchar) as lowest, cast(max({v}) as varchar) as highest from dq_metric_result group by load_no"
         for c, v in [(c, c) for c in ("dataset_class", "exchange", "market_type", "instrument_id", "source_contract_version", "metric", "observed_value", "policy_id", "evaluation", "reason", "result_id", "observations")] + [("observed_at", "epoch_us(observed_at)")]
