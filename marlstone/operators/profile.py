@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from marlstone.operators import multiset
 from marlstone.session import keep, tasks
 
-RIDGE, FOLDS, BLOCK = 0.5, 2, 64
+RIDGE, FOLDS, BLOCK = 0.5, 2, 256
 #: Most steps of a model and halvings of a step, and the gain in nats below which a step is the last.
-NEWTON_STEPS, HALVINGS, CONVERGED = 200, 40, 1e-12
+NEWTON_STEPS, HALVINGS, CONVERGED = 200, 40, 1e-10
 #: The cross-fitted discrimination from which a pair of loads is a candidate for a shift.
 CANDIDATE_AUC = 0.55
 NUMBER = r"\A([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\z"

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: How many numbers of an order one block spans.
+BLOCK = 100_000
+
 
 def gaps(df: DataFrame, keys: Sequence[str], time_us: str, step_us: int) -> DataFrame:
     """(keys..., gap_start_us, gap_end_us, missing): holes between consecutive times, ends excluded.
@@ -27,11 +30,31 @@ def intervals(df: DataFrame, keys: Sequence[str], time_us: str) -> DataFrame:
     return df.withColumn("interval_minutes", F.bround((F.col(time_us) - before) / 60_000_000.0, 0).cast("bigint"))
 
 
-def out_of_order(df: DataFrame, keys: Sequence[str], order: str, value: Column) -> DataFrame:
-    """Rows whose ``value`` isn't above that of the row before in ``order`` (nulls included)."""
-    before = F.lag(value).over(Window.partitionBy(*keys).orderBy(order))
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
-    return df.withColumns({"__v": value, "__before": before, "__place": place}).filter("__place > 1 and not coalesce(__v > __before, false)").drop("__v", "__before", "__place")
+def with_previous(df: DataFrame, keys: Sequence[str], order: str, values: Mapping[str, Column], name: str = "__previous", block: int = BLOCK) -> DataFrame:
+    """``df`` with a struct ``name`` of ``values`` of the row before in the whole-number ``order``, null on a key's first row.
+
+    Keys are cut into blocks of ``block`` numbers, so that one key, however large, spreads over
+    many tasks; only the last row of each block travels to the next block that has any. Null keys
+    are a key; rows without order come first and stand in a block of their own.
+    """
+    own = F.struct(F.col(order).alias("__order"), *(v.alias(n) for n, v in values.items()))
+    at = F.coalesce(F.floor(F.col(order) / block).cast("bigint"), F.lit(-(2**62)))
+    rows = df.withColumns({"__own": own, "__block": at})
+    ends = rows.groupBy(*keys, "__block").agg(F.max_by("__own", F.coalesce(order, F.lit(-(2**62)))).alias("__end"))
+    carried = ends.withColumn("__carry", F.lag("__end").over(Window.partitionBy(*keys).orderBy("__block"))).drop("__end")
+    carried = carried.select("__carry", F.col("__block").alias("__b"), *(F.col(k).alias(f"__k_{k}") for k in keys))
+    same = F.col("__block") == F.col("__b")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+    inside = F.lag("__own").over(Window.partitionBy(*keys, "__block").orderBy(order))
+    met = rows.withColumn("__inside", inside).join(carried, same)
+    return met.withColumn(name, F.coalesce("__inside", "__carry")).select(*df.columns, name)
+
+
+def out_of_order(df: DataFrame, keys: Sequence[str], order: str, value: Column, block: int = BLOCK) -> DataFrame:
+    """Rows whose ``value`` isn't above that of the row before in the whole-number ``order`` (nulls included)."""
+    seen = with_previous(df.withColumn("__v", value), keys, order, {"v": F.col("__v")}, block=block)
+    return seen.filter("__previous is not null and not coalesce(__v > __previous.v, false)").drop("__v", "__previous")
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -39,13 +62,19 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
 
 
-def continuity(df: DataFrame, keys: Sequence[str], number: str, after: Column, before: Column) -> DataFrame:
-    """Per keys whether every whole number strictly between two bounds occurs: found, needed, proven.
+def continuity(df: DataFrame, bounds: DataFrame, keys: Sequence[str], number: str, after: str, before: str) -> DataFrame:
+    """Per row of ``bounds`` whether every whole number strictly between its two bounds occurs: (keys..., found, needed, proven).
 
-    ``after`` and ``before`` must be constant or functions of the keys. Repeated numbers count once.
+    ``bounds`` has one row per key. Repeated numbers count once; keys without a number inside
+    their bounds are proven only if none is needed, and never if a bound is unknown. Numbers
+    are made distinct before they are counted, so one key's numbers need not fit in one task.
     """
-    inside = df.withColumns({"__a": after, "__b": before}).filter((F.col(number) > F.col("__a")) & (F.col(number) < F.col("__b")))
-    return inside.groupBy(*keys).agg(F.count_distinct(number).alias("found"), F.max(F.col("__b") - F.col("__a") - 1).alias("needed")).withColumn("proven", F.col("found") == F.col("needed"))
+    ends = bounds.select(*keys, F.col(after).alias("__a"), F.col(before).alias("__b"))
+    numbers = df.select(*keys, F.col(number).alias("__n")).filter("__n is not null").distinct()
+    inside = numbers.join(ends, list(keys)).filter("__n > __a and __n < __b").groupBy(*keys).agg(F.count(F.lit(1)).alias("found"))
+    needed = F.when(F.col("__a").isNotNull() & F.col("__b").isNotNull(), F.greatest(F.col("__b") - F.col("__a") - 1, F.lit(0)))
+    out = ends.join(inside, list(keys), "left").select(*keys, F.coalesce("found", F.lit(0)).cast("bigint").alias("found"), needed.alias("needed"))
+    return out.withColumn("proven", F.coalesce(F.col("found") == F.col("needed"), F.lit(False)))
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -224,32 +224,32 @@ CANDLE_FIELDS = {
 
 
 def _candle_files(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The files with their versions, and each file's fields."""
     records = table(spark, folder, "raw_candle_record", "source_dataset_id", "file_seq", "payload")
     aliases = bounded(table(spark, folder, "field_alias").filter("alias is not null").dropDuplicates(["alias"]), ALIAS_BOUND)
-    return records, drift.file_fields(records, "source_dataset_id", "file_seq", "payload", aliases)
+    fields = keep(drift.file_fields(records, "source_dataset_id", "file_seq", "payload", aliases), "fields")
+    return keep(drift.chain(records, fields, "source_dataset_id", "file_seq"), "chain"), fields
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
-    """Every change of a field from one file of a source to the next."""
-    records, fields = _candle_files(spark, folder)
-    steps = drift.migrations(records, fields, "source_dataset_id", "file_seq")
+    """Every change of a field from one file of a source to the next: the migration steps between versions."""
+    steps = drift.migrations(*_candle_files(spark, folder), "source_dataset_id", "file_seq")
     return steps.select("source_dataset_id", "file_seq", F.col("canonical").alias("canonical_field"), "change_kind")
 
 
 def p5_versions(spark: SparkSession, folder: str) -> DataFrame:
     """The schema fingerprint and version of every file."""
-    _, fields = _candle_files(spark, folder)
-    return drift.fingerprints(fields, "source_dataset_id", "file_seq")
+    return _candle_files(spark, folder)[0].select("source_dataset_id", "file_seq", "fingerprint", "version")
 
 
 def p5_table(spark: SparkSession, folder: str) -> DataFrame:
-    """All raw candle records, repeated ones once, in the one target schema."""
-    keep = ["source_dataset_id", "file_seq", "record_no"]
-    records = table(spark, folder, "raw_candle_record", *keep, "payload").dropDuplicates()
-    names = table(spark, folder, "field_alias").filter("alias is not null").dropDuplicates(["alias"])
-    if len(pairs := [(r["alias"], r["canonical_field"]) for r in names.limit(ALIAS_BOUND + 1).collect()]) > ALIAS_BOUND:
-        raise ValueError(f"more than {ALIAS_BOUND} aliases")
-    return drift.migrate(records, "payload", keep, pairs, CANDLE_FIELDS, {"schema_version": "2.0.0"})
+    """All raw candle records, repeated ones once, routed by their file's version into the one target schema."""
+    kept = ["source_dataset_id", "file_seq", "record_no"]
+    routes = drift.rules(*_candle_files(spark, folder), "source_dataset_id", "file_seq")
+    records = table(spark, folder, "raw_candle_record", *kept, "payload").dropDuplicates()
+    found = drift.migrate(records, "payload", kept, bounded(routes, ALIAS_BOUND), kept[:2], CANDLE_FIELDS, {"schema_version": "2.0.0"})
+    plain = {f: F.unix_micros(f) if kind == "time" else F.col(f).cast("string") for f, kind in CANDLE_FIELDS.items() if kind in ("time", "number")}
+    return found.withColumns(plain)
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -349,6 +349,25 @@ SHARED_SQL = {
   l as (select metric, load_no, v, count(*) as c from g where fit and kind = 'label' group by 1, 2, 3),
   u as (select metric, load_no, v, sum(c) as c, sum(c0) as c0 from (select metric, load_no, v, c, 0 as c0 from l union all select metric, load_no + 1, v, 0, c from l) group by 1, 2, 3)""",
 }
+KIND_SQL = "case json_type(p, '$.\"' || k || '\"') when 'NULL' then null when 'UBIGINT' then 'integer' when 'BIGINT' then 'integer' when 'DOUBLE' then 'decimal' when 'VARCHAR' then 'string' else lower(json_type(p, '$.\"' || k || '\"')) end"
+FILE_FIELDS_SQL = f"""k as (select source_dataset_id as s, file_seq as f, unnest(json_keys(payload)) as k, payload as p from raw_candle_record),
+  v as (select s, f, coalesce(canonical_field, k) as c, k, {KIND_SQL} as t from k left join field_alias a on a.alias = k.k),
+  g as (select s, f, c, list_sort(list(distinct k)) as names, list_sort(list(distinct t) filter (t is not null)) as kinds from v group by 1, 2, 3),
+  x as (select s, f, sha256(string_agg(c || ':' || array_to_string(names, ',') || ':' || coalesce(array_to_string(kinds, ','), ''), chr(10) order by c)) as fingerprint from g group by 1, 2),
+  y as (select *, coalesce(fingerprint <> lag(fingerprint) over (partition by s order by f), true) as opens from x),
+  n as (select s as source_dataset_id, f as file_seq, fingerprint, cast(sum(opens::int) over (partition by s order by f) as bigint) as version from y)"""
+
+
+def _cell_sql(field: str, kind: str) -> str:
+    """A field's value under any of its spellings; the first in order that has one."""
+    text = f"coalesce(p->>'$.{field}', (select min_by(p->>('$.\"' || alias || '\"'), alias) filter (p->>('$.\"' || alias || '\"') is not null) from field_alias where canonical_field = '{field}'){', ' + repr('2.0.0') if field == 'schema_version' else ''})"
+    cast = {
+        "text": "{t}", "number": "cast(try_cast({t} as decimal(38,18)) as varchar)", "whole": "try_cast(try_cast({t} as decimal(38,6)) as bigint)", "flag": "case when lower({t}) in ('true', '1') then true when lower({t}) in ('false', '0') then false end",
+        "time": "coalesce(try_cast({t} as bigint) * 1000, epoch_us(try_cast({t} as timestamptz)))",
+    }[kind]
+    return cast.replace("{t}", text) + f' as "{field}"'
+
+
 ORACLE: dict[str, str] = {
     "p1_found": f"""with m as (select {PLAIN_SQL} as p, * from active_artifact), l as (select p, arg_max(parquet_sha256, manifest_record_number) as h, arg_max(n_bytes, manifest_record_number) as b, regexp_replace(p, '[^/]*$', '') as d from m group by p),
   c as (select *, p <> min(p) over (partition by h) as copy from l), n as (select *, count(*) filter (not copy and b < 1048576) over (partition by d) as q from c)
@@ -381,6 +400,8 @@ ORACLE: dict[str, str] = {
   j as (select coalesce(n.s, q.s) as s, coalesce(n.f, q.f) as f, coalesce(n.c, q.c) as c, n.names as nn, q.names as qn, n.kinds as nk, q.kinds as qk from n full join q on n.s = q.s and n.f = q.f and n.c = q.c)
   select s as source_dataset_id, f as file_seq, c as canonical_field, 'added' as change_kind from j where qn is null union all select s, f, c, 'removed' from j where nn is null union all select s, f, c, 'renamed' from j where nn <> qn
   union all select s, f, c, 'type_changed' from j where len(nk) > 0 and len(qk) > 0 and nk <> qk""",
+    "p5_versions": f"with {FILE_FIELDS_SQL} select * from n",
+    "p5_table": f"with {FILE_FIELDS_SQL}, d as (select distinct source_dataset_id, file_seq, record_no, payload as p from raw_candle_record) select source_dataset_id, file_seq, record_no, version, {', '.join(_cell_sql(f, k) for f, k in CANDLE_FIELDS.items())} from d left join n using (source_dataset_id, file_seq)",
     "p6_found": f"""with {COVERED_SQL}, r as (select instrument_id, unnest(generate_series(min(t), max(t), 60000)) as t from m group by 1) select instrument_id, t as open_time_ms from r anti join m using (instrument_id, t)""",
     "p6_series": """with r as (select instrument_id as i, epoch_us(open_time) as u, max((close_price, base_volume)) as v from ohlcv_candle where candle_interval = '1m' and is_closed group by 1, 2),
   c as (select distinct i, u // 60000000 * 60000000 as t from r), g as (select i, unnest(generate_series(min(t), max(t), 60000000)) as t from c group by 1),

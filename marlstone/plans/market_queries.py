@@ -242,12 +242,15 @@ def order_violations(spark: SparkSession, folder: str) -> DataFrame:
     return sequence.out_of_order(rows, ["instrument_id"], "ingest_seq", F.unix_micros("event_time")).select("instrument_id", "ingest_seq")
 
 
-@query("""with t as (select instrument_id, try_cast(native_trade_id as bigint) as n from archive_trade where exchange = 'binance'), r as (select instrument_id, min(n) as a, max(n) as b from t group by 1)
-  select instrument_id, count(distinct n) as found, max(b - a - 1) as needed, count(distinct n) = max(b - a - 1) as proven from t join r using (instrument_id) where n > a and n < b group by 1""")
+@query("""with t as (select distinct instrument_id, exchange, try_cast(native_trade_id as bigint) as n from archive_trade), w as (select instrument_id, min(try_cast(trim(native_trade_id) as bigint)) - 2 as a, max(try_cast(trim(native_trade_id) as bigint)) + 1 as b from ws_trade group by 1),
+  f as (select instrument_id, count(*) as found from t join w using (instrument_id) where n > a and n < b group by 1)
+  select instrument_id, coalesce(found, 0) as found, case when b > a then greatest(b - a - 1, 0) end as needed, coalesce(coalesce(found, 0) = case when b > a then greatest(b - a - 1, 0) end, false) as proven from w left join f using (instrument_id)""")
 def id_continuity(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "archive_trade", "instrument_id", "exchange", "native_trade_id").filter("exchange = 'binance'").select("instrument_id", F.col("native_trade_id").try_cast("bigint").alias("n"))
-    ends = rows.groupBy("instrument_id").agg(F.min("n").alias("a"), F.max("n").alias("b"))
-    return sequence.continuity(rows.join(ends, "instrument_id"), ["instrument_id"], "n", F.col("a"), F.col("b"))
+    """Whether the archive proves to hold every id that the stream spans; where ids aren't numbers, nothing is proven."""
+    number = lambda c: F.trim(c).try_cast("bigint")
+    archive = table(spark, folder, "archive_trade", "instrument_id", "native_trade_id").select("instrument_id", F.col("native_trade_id").try_cast("bigint").alias("n"))
+    stream = table(spark, folder, "ws_trade", "instrument_id", "native_trade_id").groupBy("instrument_id").agg((F.min(number("native_trade_id")) - 2).alias("a"), (F.max(number("native_trade_id")) + 1).alias("b"))
+    return sequence.continuity(archive, stream, ["instrument_id"], "n", "a", "b")
 
 
 @query("""select candle_interval, source_method, count(*) as rows, count(*) filter (epoch_us(open_time) % 60000000 <> 0) as misaligned, count(*) filter (not (low_price <= least(open_price, close_price) and high_price >= greatest(open_price, close_price))) as bad_range,

@@ -361,9 +361,15 @@ def test_migrations_and_the_routed_table(spark, rows):
     df = spark.createDataFrame(data, "src string, no bigint, p string").withColumn("alias", F.lit(0))
     aliases = spark.createDataFrame([("v", "base"), ("volume", "base")], "alias string, canonical_field string")
     fields = drift.file_fields(df, "src", "no", "p", aliases)
-    got = {tuple(r)[:4] for r in drift.migrations(df, fields, "src", "no").filter("src is not null").collect()}
+    chain = drift.chain(df, fields, "src", "no")
+    got = {(r["src"], r["no"], r["canonical"], r["change_kind"]) for r in drift.migrations(chain, fields, "src", "no").collect()}
     assert got == {("s", 3, "base", "renamed"), ("s", 3, "k", "removed"), ("s", 3, "a", "type_changed"), ("s", 4, "a", "type_changed"), ("s", 5, "a", "removed"), ("s", 5, "base", "removed")}
-    out = drift.migrate(df.filter("src = 's' and no < 5"), "p", ["no"], [("v", "base"), ("volume", "base")], {"base": "number", "a": "whole"}, {"base": "7"})
-    assert [(n, float(b), a) for n, b, a in rows(out)] == [(1, 2.5, 1), (1, 7.0, 2), (3, 1.0, 1), (4, 7.0, None)]
-    versions = {(r["src"], r["no"]): r["version"] for r in drift.fingerprints(fields, "src", "no").collect()}
-    assert versions["s", 1] == 1 and versions["s", 4] == 3
+    more = df.unionByName(df.filter("no = 4").withColumn("no", F.lit(20_004).cast("bigint")))  # the same schema in a later block of files
+    numbered = {(r["src"], r["no"]): (r["version"], r["opened"], r["previous"]) for r in drift.chain(more, drift.file_fields(more, "src", "no", "p", aliases), "src", "no").collect()}
+    assert numbered == {("s", 1): (1, 1, None), ("s", 3): (2, 3, 1), ("s", 4): (3, 4, 3), ("s", 5): (4, 5, 4), ("s", 20_004): (5, 20_004, 5), ("u", 9): (1, 9, None)}
+    routes = drift.rules(chain, fields, "src", "no")
+    out = drift.migrate(df.filter("src = 's' and no < 5"), "p", ["no"], routes, ["src", "no"], {"base": "number", "a": "whole"}, {"base": "7"})
+    assert [(n, v, float(b), a) for n, v, b, a in rows(out)] == [(1, 1, 2.5, 1), (1, 1, 7.0, 2), (3, 2, 1.0, 1), (4, 3, 7.0, None)]
+    lost = drift.migrate(df.filter("src is null or no is null or no = 5"), "p", ["src", "no"], routes, ["src", "no"], {"base": "number"}, {"base": "7"})
+    assert sorted((r["version"] or 0, float(r["base"])) for r in lost.collect()) == [(0, 7.0), (0, 7.0), (4, 7.0)]
+    assert drift.chain(df.limit(0), drift.file_fields(df.limit(0), "src", "no", "p", aliases), "src", "no").count() == 0

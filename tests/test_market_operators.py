@@ -83,9 +83,12 @@ def test_sequences(spark, rows):
     log = spark.createDataFrame([("x", 1, "a"), ("x", 3, "c"), ("x", 3, "b"), (None, 2, None)], "k string, seq bigint, v string")
     assert rows(sequence.latest(log, ["k"], ["seq"])) == sorted([("x", 3, "c"), (None, 2, None)], key=repr)
     ids = spark.createDataFrame([("p", i) for i in (1, 2, 2, 3, 4)] + [("q", 1), ("q", 2), ("q", 4)], "k string, n bigint")
-    assert {r["k"]: r["proven"] for r in sequence.continuity(ids, ["k"], "n", F.lit(1), F.lit(4)).collect()} == {"p": True, "q": False}
+    bounds = spark.createDataFrame([("p", 1, 4), ("q", 1, 4), ("none", 1, 4), ("next", 7, 8), ("open", None, 3)], "k string, low bigint, high bigint")
+    proofs = {r["k"]: (r["found"], r["needed"], r["proven"]) for r in sequence.continuity(ids, bounds, ["k"], "n", "low", "high").collect()}
+    assert proofs == {"p": (2, 2, True), "q": (1, 2, False), "none": (0, 2, False), "next": (0, 0, True), "open": (0, None, False)}
     seqs = spark.createDataFrame([("a", 1, 5), ("a", 2, 5), ("a", 3, None), ("a", 4, 9), ("b", 1, None)], "k string, o int, v int")
-    assert [r["o"] for r in sequence.out_of_order(seqs, ["k"], "o", F.col("v")).orderBy("o").collect()] == [2, 3, 4]
+    for block in (1, 3, 100):
+        assert [r["o"] for r in sequence.out_of_order(seqs, ["k"], "o", F.col("v"), block).orderBy("o").collect()] == [2, 3, 4]
 
 
 @pytest.mark.parametrize("block", [1, 7, 10**9])
