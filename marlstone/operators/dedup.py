@@ -1,9 +1,10 @@
 """Exactly one copy of messages that were delivered at least once.
 
-Accepted messages lie in historical partitions (ranges of the intake batches) beside an
-identifier index that says in which partition, and under which winner, each identifier
-occurs. An incoming batch looks its identifiers up, and only the partitions that hold a
-related row are read, recomputed together with the incoming rows and atomically overwritten.
+Accepted messages lie in historical partitions (ranges of the intake batches). Beside them a
+stored index, bucketed by identifier, says in which partitions each identifier occurs, and in
+which each group of copies lies. An incoming batch looks its identifiers up in the index; only
+the partitions that hold a related row are opened, recomputed together with the incoming rows
+and atomically overwritten. All others aren't read; they only get the batch's own rows added.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marlstone.operators.components import smallest_member
-from marlstone.session import scratch
+from marlstone.session import keep_at, remove, scratch
 from marlstone.sources.generations import GenerationTable
 
 ROWS = T.StructType([
@@ -24,7 +25,8 @@ ROWS = T.StructType([
     T.StructField("second", T.BinaryType()),
     T.StructField("winner", T.LongType()),
 ])
-MOST_DATASETS = 16
+INDEX = T.StructType([T.StructField("token", T.BinaryType()), T.StructField("at", T.LongType())])
+MOST_DATASETS, BUCKETS, MOST_GENERATIONS = 16, 32, 8
 
 
 def plain_identifier(c: str) -> Column:
@@ -37,25 +39,60 @@ def token(dataset: str, kind: str, identifier: Column) -> Column:
     return F.unhex(F.md5(F.concat(F.lit(f"{dataset}\x1f{kind}\x1f"), identifier)))
 
 
+def _tokens(rows: DataFrame, *more: str) -> DataFrame:
+    return rows.select(*more, F.explode(F.array("first", "second")).alias("token")).filter("token is not null")
+
+
+def _bucket(token: str) -> Column:
+    return F.pmod(F.xxhash64(token), F.lit(BUCKETS)).cast("bigint")
+
+
+def _group_token(winner: str) -> Column:
+    """The token that all rows of one group of copies share."""
+    return F.unhex(F.md5(F.concat(F.lit("\x1fwinner\x1f"), F.col(winner).cast("string"))))
+
+
+def winners(rows: DataFrame) -> DataFrame:
+    """``rows`` (node, first, second, winner, ...) with the lowest node of their group as winner, and grouped: whether others are in it.
+
+    Rows are in one group if they share a token or their earlier winner, also through a chain of
+    rows. A row without shared tokens is its own winner.
+    """
+    earlier = rows.filter("winner != node").select(F.explode(F.array("node", "winner")).alias("node"), _group_token("winner").alias("token"))
+    tokens = _tokens(rows, "node").unionByName(earlier)
+    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("token")
+    labels = smallest_member(tokens.join(shared, "token", "left_semi"), "node", "token")
+    return rows.join(labels, "node", "left").withColumns({"winner": F.coalesce("label", "winner"), "grouped": F.col("label").isNotNull()}).drop("label")
+
+
 class MessageStore:
     """Messages by intake partition, each with the lowest sequence number among its copies.
 
     Incoming rows need dataset (one of ``datasets``), seq (unique within the dataset, from 0 up
     to 2**58), segment (intake batch; null counts as batch 0) and the tokens first and second.
     Two rows are copies if they agree in a token, also through a chain of rows. A row without
-    tokens is its own only copy.
+    tokens is its own only copy. One writer at a time: a second one ends in a Conflict.
     """
 
     def __init__(self, spark: SparkSession, root: str, datasets: list[str], segments_per_part: int = 256):
         if not 0 < len(datasets) <= MOST_DATASETS:
             raise ValueError(f"a store holds 1 to {MOST_DATASETS} datasets")
         self.spark, self.root, self.datasets, self.segments = spark, root, datasets, segments_per_part
-        self.table = GenerationTable(spark, f"{root}/messages", ROWS)
-
-    @staticmethod
-    def _index(rows: DataFrame) -> DataFrame:
-        """The identifier index: which identifier lies in which partition under which winner."""
-        return rows.select("winner", "part", F.explode(F.array("first", "second")).alias("token")).filter("token is not null")
+        self.table, self.index = GenerationTable(spark, f"{root}/messages", ROWS), GenerationTable(spark, f"{root}/index", INDEX)
+
+    def _lookup(self, wanted: DataFrame) -> set[int]:
+        """The partitions that hold any of the tokens: numbers of intake ranges, not data."""
+        buckets = {r["b"] for r in wanted.select(_bucket("token").alias("b")).distinct().collect()} if self.index.version() else set()
+        found = self.index.read(buckets).join(wanted, "token", "left_semi")
+        return {r["at"] for r in found.select("at").distinct().collect()} if buckets else set()
+
+    def _enter(self, rows: DataFrame) -> None:
+        """Add (token, partition) entries; buckets in too many pieces are put together."""
+        entries = rows.distinct()
+        scattered = {p for p, gs in self.index.manifest().items() if len(gs) >= MOST_GENERATIONS}
+        if scattered:
+            entries = entries.unionByName(self.index.read(scattered).select("token", "at")).distinct()
+        self.index.publish(entries.withColumn("part", _bucket("token")).repartition("part"), scattered)
 
     def ingest(self, incoming: DataFrame) -> None:
         """Take one batch in. Rows already stored (same dataset and seq) must not come again."""
@@ -66,24 +103,26 @@ class MessageStore:
             F.floor(F.coalesce("segment", F.lit(0)) / self.segments).cast("bigint").alias("part"),
         ).write.parquet(arrived)
         batch = self.spark.read.parquet(arrived).select("node", "first", "second", F.col("node").alias("winner"), "part")
-        kept = set(self.table.manifest())
-        parts = lambda df: {r["part"] for r in df.select("part").distinct().collect()}  # noqa: E731  (intake ranges, not data)
-        new_parts, related = parts(batch), set()
-        if kept:
-            wanted = self._index(batch).select("token").distinct()
-            index = self._index(self.table.read())
-            groups = index.join(wanted, "token", "left_semi").select("winner").distinct()
-            related = parts(self.table.read().select("winner", "part").join(groups, "winner", "left_semi"))
-        touched = related | (new_parts & kept)
-        everything = self.table.read(touched).unionByName(batch) if touched else batch
-        # An earlier result is one more link: every row of a group shares the token of its winner.
-        winner_token = F.unhex(F.md5(F.concat(F.lit("\x1fwinner\x1f"), F.col("winner").cast("string"))))
-        grouped = everything.filter("winner != node").select(F.explode(F.array("node", "winner")).alias("node"), winner_token.alias("token"))
-        tokens = everything.select("node", F.explode(F.array("first", "second")).alias("token")).filter("token is not null").unionByName(grouped)
-        shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("token")
-        labels = smallest_member(tokens.join(shared, "token", "left_semi"), "node", "token")
-        settled = everything.join(labels, "node", "left").withColumn("winner", F.coalesce("label", "winner")).drop("label")
-        self.table.overwrite(settled, touched | new_parts)
+        wanted = _tokens(batch).distinct()
+        related = self._lookup(wanted)
+        if related:
+            # a related row may be one of a group whose other rows lie elsewhere
+            met = _tokens(self.table.read(related), "winner").join(wanted, "token", "left_semi")
+            related |= self._lookup(met.select(_group_token("winner").alias("token")).distinct())
+        everything = self.table.read(related).unionByName(batch) if related else batch
+        made = f"{self.root}/settled-{uuid.uuid4().hex}"
+        settled = keep_at(winners(everything), made)
+        # entries that a lost writer leaves behind name partitions needlessly, never wrongly: the index goes first
+        groups = settled.filter("grouped").select(_group_token("winner").alias("token"), F.col("part").alias("at"))
+        self._enter(_tokens(batch, F.col("part").alias("at")).select("token", "at").unionByName(groups))
+        self.table.publish(settled, related)
+        for path in (arrived, made):
+            remove(self.spark, path)
+
+    def vacuum(self) -> None:
+        """Delete superseded generations of messages and index."""
+        self.table.vacuum()
+        self.index.vacuum()
 
     def rows(self) -> DataFrame:
         """Everything taken in so far: dataset, seq, winner (the seq of the kept copy)."""

@@ -77,16 +77,12 @@ def _messages(spark: SparkSession, folder: str) -> DataFrame:
     return shaped(envelope, "ws_envelope", "payload_hash").unionByName(shaped(orders, "liquidation", "dedup_fingerprint"))
 
 
-def _store(spark: SparkSession, folder: str, rows: DataFrame, datasets: list[str]) -> dedup.MessageStore:
-    """History up to the last eighth of the intake batches, then that eighth as incoming messages."""
-    last = rows.agg(F.max("segment")).first()[0]
-    cuts = [] if not last else [last - last // 8]
-    return dedup.intake(spark, rows, datasets, cuts)
-
-
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     """Surplus deliveries of stream messages and forced orders."""
-    store = _store(spark, folder, _messages(spark, folder), ["ws_envelope", "liquidation"])
+    rows = _messages(spark, folder)
+    # history up to the last eighth of the intake batches, then that eighth as incoming messages
+    last = rows.agg(F.max("segment")).first()[0]
+    store = dedup.intake(spark, rows, ["ws_envelope", "liquidation"], [last - last // 8] if last else [])
     return store.surplus().select("dataset", F.col("seq").alias("ingest_seq"))
 
 
@@ -95,22 +91,26 @@ PERIOD_US, CUTOFF_US = 5 * MINUTE_US, 30 * MINUTE_US
 
 def _orders(spark: SparkSession, folder: str) -> DataFrame:
     """One row per forced order: copies merged, with the earliest arrival and the kept copy's values."""
-    rows = table(spark, folder, "liquidation", "ingest_seq", "instrument_id", "event_time", "received_at", "knowledge_time", "source_price")
-    messages = _messages(spark, folder).filter("dataset = 'liquidation'")
-    winners = _store(spark, folder, messages, ["liquidation"]).rows().select(F.col("seq").alias("ingest_seq"), "winner")
-    price = F.expr("try_cast(source_price as decimal(38,18))")
-    joined = rows.join(winners, "ingest_seq").select(
-        "winner", "instrument_id", "ingest_seq",
+    rows = table(spark, folder, "liquidation", "ingest_seq", "instrument_id", "event_time", "received_at", "knowledge_time", "source_price", "dedup_fingerprint", "message_id")
+    shaped = rows.select(
+        F.col("ingest_seq").alias("node"), F.col("ingest_seq").alias("winner"), "instrument_id",
         F.unix_micros("event_time").alias("event_us"),
         F.unix_micros(F.coalesce("knowledge_time", "received_at")).alias("arrival_us"),
-        price.alias("price"),
+        F.expr("try_cast(source_price as decimal(38,18))").alias("price"),
+        dedup.token("liquidation", "dedup_fingerprint", dedup.plain_identifier("dedup_fingerprint")).alias("first"),
+        dedup.token("liquidation", "message_id", dedup.plain_identifier("message_id")).alias("second"),
     )
-    kept = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("ingest_seq"))).alias(c)
-    return joined.groupBy("winner").agg(kept("instrument_id"), kept("event_us"), F.min("arrival_us").alias("arrival_us"), kept("price"))
+    found = dedup.winners(shaped)
+    kept = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("node"))).alias(c)
+    return found.groupBy("winner").agg(kept("instrument_id"), kept("event_us"), F.min("arrival_us").alias("arrival_us"), kept("price"))
 
 
 def _order_state(spark: SparkSession, folder: str) -> DataFrame:
-    return lateness.adjust(_orders(spark, folder), ["instrument_id"], F.col("event_us"), F.col("arrival_us"), F.col("price"), PERIOD_US, CUTOFF_US)
+    """The multiset state of the orders that came in time, adjusted by those that came late."""
+    orders = keep(_orders(spark, folder), "orders")
+    late = F.col("arrival_us") > F.col("event_us") - F.pmod("event_us", F.lit(PERIOD_US)) + PERIOD_US
+    state = lambda rows: lateness.adjust(rows, ["instrument_id"], F.col("event_us"), F.col("arrival_us"), F.col("price"), PERIOD_US, CUTOFF_US)
+    return lateness.merge(state(orders.filter(~late)), state(orders.filter(late)), ["instrument_id"])
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:

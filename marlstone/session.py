@@ -72,8 +72,18 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def keep(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written once as Parquet to the shared folder, for results that several branches read."""
-    path = scratch(df.sparkSession, purpose)
+def keep_at(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to ``path`` as Parquet and read from there."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def keep(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written once as Parquet to the shared folder, for results that several branches read."""
+    return keep_at(df, scratch(df.sparkSession, purpose))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

@@ -179,6 +179,32 @@ def test_later_links_reach_back_and_leave_other_partitions_alone(spark, rows):
     assert after[3] == before[3] and all(after[p] != before[p] for p in (0, 1, 2))
 
 
+def test_unrelated_partitions_are_never_opened(spark, rows):
+    import shutil
+
+    store = dedup.MessageStore(spark, scratch(spark, "t"), ["d"], segments_per_part=1)
+    make = lambda data: _tokens(spark.createDataFrame([(*d, "", "") for d in data], IDS))
+    store.ingest(make([("d", 20 + i, i, f"a{i}", f"b{i}") for i in range(6)]))
+    folders = {p: f"{store.table.root}/{gs[0]}/part={p}".removeprefix("file://") for p, gs in store.table.manifest().items()}
+    for p in (0, 1, 4, 5):
+        shutil.move(folders[p], f"{folders[p]}.away".replace("part=", "away-"))
+    store.ingest(make([("d", 40, 5, "a2", None), ("d", 41, 9, "new", "b3")]))
+    for p in (0, 1, 4, 5):
+        shutil.move(f"{folders[p]}.away".replace("part=", "away-"), folders[p])
+    assert rows(store.surplus()) == [("d", 40), ("d", 41)] and len(store.table.manifest()[5]) == 2  # a row was added beside the unread ones
+    store.vacuum()
+    assert rows(store.surplus()) == [("d", 40), ("d", 41)] and store.table.vacuum() == 0
+
+
+def test_scattered_index_buckets_are_put_together(spark, rows, monkeypatch):
+    monkeypatch.setattr(dedup, "MOST_GENERATIONS", 2)
+    monkeypatch.setattr(dedup, "BUCKETS", 2)
+    store = dedup.MessageStore(spark, scratch(spark, "t"), ["d"], segments_per_part=1)
+    for i in range(5):
+        store.ingest(_tokens(spark.createDataFrame([("d", i, i, f"a{i // 2}", f"c{i}", "", "")], IDS)))
+    assert rows(store.surplus()) == [("d", 1), ("d", 3)] and all(len(gs) <= 2 for gs in store.index.manifest().values())
+
+
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", "d", None]), st.sampled_from(["x", "y", "z", None]), st.integers(0, 5)), max_size=25), st.integers(0, 5))
 def test_message_store_equals_union_find(spark, data, cut):
@@ -196,10 +222,41 @@ def test_generation_table_switches_all_or_nothing(spark, rows):
     held = t.read()
     t.overwrite(make(("c", 2)), [2, 3])
     assert rows(t.read()) == [("a", 1), ("c", 2)] and rows(held) == [("a", 1), ("b", 2)] and t.mark() == 7
+    t.publish(make(("d", 2), ("e", 5)))
+    assert rows(t.read()) == [("a", 1), ("c", 2), ("d", 2), ("e", 5)] and t.version() == 3
+    t.overwrite(make(("c", 2)), [2, 5])
     t.overwrite(make(("x", 9)).limit(0), [1])
     assert rows(t.read([1, 2])) == [("c", 2)]
 
 
+def test_two_writers_of_one_table(spark, rows, monkeypatch):
+    from marlstone.sources import generations
+
+    root, schema = scratch(spark, "g"), T.StructType([T.StructField("v", T.StringType())])
+    one, two = GenerationTable(spark, root, schema), GenerationTable(spark, root, schema)
+    make = lambda *x: spark.createDataFrame(x, "v string, part bigint")
+    one.overwrite(make(("a", 1), ("b", 2)), [1, 2])
+    commit, raced = one._commit, []
+
+    def race(number, content):
+        if not raced:
+            raced.append(1)
+            two.publish(make(("other", raced_part)), [raced_part])
+        return commit(number, content)
+
+    monkeypatch.setattr(one, "_commit", race)
+    raced_part = 2
+    one.overwrite(make(("c", 1)), [1])  # another partition: both changes stand
+    assert rows(two.read()) == [("c", 1), ("other", 2)]
+    raced.clear()
+    raced_part = 1
+    with pytest.raises(generations.Conflict):
+        one.overwrite(make(("d", 1)), [1])
+    assert rows(one.read()) == [("other", 1), ("other", 2)]
+    assert one.vacuum() == 2 and rows(one.read()) == [("other", 1), ("other", 2)]
+
+
+
 # Late records and multisets ---------------------------------------------------------------
 
 
