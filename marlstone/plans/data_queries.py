@@ -9,8 +9,9 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marlstone.functions import scalars
 from marlstone.operators import compaction, dedup, diff, drift, grid, lateness, profile
-from marlstone.session import keep, scratch, tasks
+from marlstone.session import keep, keep_at, scratch, tasks
 from marlstone.sources.tables import bounded, table
 
 MINUTE_US = 60_000_000
@@ -284,24 +285,34 @@ def _write_files(spark: SparkSession, folder: str, root: str) -> DataFrame:
     return trades.select("*", bucket).repartition(tasks(spark), "__bucket").groupBy("__bucket").applyInArrow(write, "relative_path string, n_rows bigint")
 
 
+def _compacted(spark: SparkSession, folder: str, root: str) -> DataFrame:
+    """The report of joining the small trade files below ``root``/in into files below ``root``/out."""
+    there = keep_at(_write_files(spark, folder, f"{root}/in"), f"{root}/written")
+    kind = scalars.dataset_class(F.col("dataset_class"), F.col("relative_path"), {}, [("individual_trade", "individual_trade")])
+    planned = compaction.plan(table(spark, folder, "active_artifact"), kind=kind)
+    listed = planned.filter("relative_path like '%individual_trade%'").select("relative_path", "directory", "kind", "bin", "fate", "n_rows")
+    report = compaction.execute(planned.join(there, "relative_path", "left_semi"), f"{root}/in", f"{root}/out")
+    return keep_at(report.unionByName(compaction.absent(listed, there)), f"{root}/report")
+
+
 def p1_compact(spark: SparkSession, folder: str) -> DataFrame:
-    """The small trade files joined block by block; one verified report row per written file.
+    """Per directory the small trade files joined block by block, and what the joined files hold when they are read again.
 
     The test data has the files' rows but not the files: they are first written to the shared
     folder, under the paths that the manifest gives them. The manifest's own row counts are what
-    the joined files are held against; a trade file that the manifest lists with rows but that
-    isn't there gets a row of its own, with a problem.
+    the joined files are held against; trade files that the manifest lists with rows but that
+    aren't there count as missing.
     """
     root = scratch(spark, "files")
-    written = _write_files(spark, folder, f"{root}/in")
-    written.write.parquet(f"{root}/written")
-    there = spark.read.parquet(f"{root}/written")
-    planned = compaction.plan(table(spark, folder, "active_artifact"))
-    listed = planned.filter("relative_path like '%individual_trade%'").select("relative_path", "directory", "bin", "fate", "n_rows")
-    report = compaction.execute(planned.join(there, "relative_path", "left_semi"), f"{root}/in", f"{root}/out")
-    report = report.unionByName(compaction.absent(listed, there))
-    report.write.parquet(f"{root}/report")
-    return spark.read.parquet(f"{root}/report")
+    report = _compacted(spark, folder, root)
+    done = report.groupBy("directory").agg(
+        *(F.sum(F.when(F.col("problem").isNull(), F.col(c)).otherwise(0)).cast("bigint").alias(c) for c in ("files", "blocks", "rows", "listed_rows")),
+        F.count_if(F.col("problem").isNotNull()).alias("missing"), F.count("output_path").alias("outputs"),
+    )
+    home = F.regexp_replace(F.substring_index(F.col("_metadata.file_path"), f"{root.rpartition('/')[2]}/out/", -1), r"[^/]*\z", "")
+    joined = spark.read.schema("source_ordinal bigint").option("recursiveFileLookup", True).parquet(f"{root}/out") if done.filter("outputs > 0").limit(1).count() else spark.createDataFrame([], "source_ordinal bigint").withColumn("_metadata", F.struct(F.lit("").alias("file_path")))
+    read = joined.groupBy(home.alias("directory")).agg(F.count(F.lit(1)).alias("read_rows"), F.sum("source_ordinal").alias("read_ordinals"))
+    return done.join(read, "directory", "left").select("directory", "files", "blocks", "rows", "listed_rows", "missing", F.coalesce("read_rows", F.lit(0)).cast("bigint").alias("read_rows"), F.coalesce("read_ordinals", F.lit(0)).cast("bigint").alias("read_ordinals"))
 
 
 QUERIES = {"p1_found": p1_found, "p1_compact": p1_compact, "p2_found": p2_found, "p2_figures": p2_figures, "p3_found": p3_found, "p4_found": p4_found, "p4_drift": p4_drift, "p4_profile": p4_profile, "p4_ranges": p4_ranges, "p4_table_profile": p4_table_profile, "p4_column_drift": p4_column_drift, "p4_trade_profile": p4_trade_profile, "p5_found": p5_found, "p5_versions": p5_versions, "p5_table": p5_table, "p6_found": p6_found, "p6_series": p6_series, "p7_found": p7_found, "p7_totals": p7_totals}
@@ -372,6 +383,12 @@ ORACLE: dict[str, str] = {
     "p1_found": f"""with m as (select {PLAIN_SQL} as p, * from active_artifact), l as (select p, arg_max(parquet_sha256, manifest_record_number) as h, arg_max(n_bytes, manifest_record_number) as b, regexp_replace(p, '[^/]*$', '') as d from m group by p),
   c as (select *, p <> min(p) over (partition by h) as copy from l), n as (select *, count(*) filter (not copy and b < 1048576) over (partition by d) as q from c)
   select p as relative_path, case when copy then 'copy' else 'merge' end as fate from n where copy or (b < 1048576 and q > 1)""",
+    "p1_compact": f"""with m as (select {PLAIN_SQL} as p, * from active_artifact), l as (select p, arg_max(parquet_sha256, manifest_record_number) as h, arg_max(n_bytes, manifest_record_number) as b, arg_max(n_rows, manifest_record_number) as n, regexp_replace(p, '[^/]*$', '') as directory from m group by p),
+  c as (select *, coalesce(p <> min(p) over (partition by h), false) as copy from l), q as (select *, coalesce(not copy and b < 1048576, false) as small, count(*) filter (not copy and b < 1048576) over (partition by directory) as k from c),
+  t as (select raw_object_ref as p, count(*) as rows, sum(source_ordinal) as ordinals from archive_trade where raw_object_ref is not null group by 1),
+  j as (select q.*, t.rows, t.ordinals, small and k > 1 and t.p is not null as joined, t.p is null and n > 0 and q.p like '%individual_trade%' as lost from q left join t on q.p = t.p)
+  select directory, count(*) filter (joined) as files, count(*) filter (joined) as blocks, cast(coalesce(sum(rows) filter (joined), 0) as bigint) as rows, cast(coalesce(sum(n) filter (joined), 0) as bigint) as listed_rows, count(*) filter (lost) as missing,
+    cast(coalesce(sum(rows) filter (joined), 0) as bigint) as read_rows, cast(coalesce(sum(ordinals) filter (joined), 0) as bigint) as read_ordinals from j where joined or lost group by 1""",
     "p2_found": WINNERS_SQL + """, o as (select coalesce(w.winner, l.ingest_seq) as m, min(coalesce(knowledge_time, received_at)) as arrival, arg_min(instrument_id, ingest_seq) as instrument_id, arg_min(event_time, ingest_seq) as event_time from liquidation l left join w on w.d = 'liquidation' and w.s = l.ingest_seq group by 1),
   q as (select instrument_id, epoch_ms(event_time) // 300000 * 300000 as period_start_ms, epoch_us(arrival) - (epoch_ms(event_time) // 300000 * 300000 + 300000) * 1000 as delay from o where arrival is not null and event_time is not null)
   select distinct instrument_id, period_start_ms, case when delay <= 1800000000 then 'corrected' else 'dropped' end as outcome from q where delay > 0""",

@@ -99,11 +99,26 @@ def test_execute_copies_blocks_and_reports_what_it_cannot_join(spark, tmp_path):
     ok = [r for r in report if r["problem"] is None]
     assert sorted((r["directory"], r["files"], r["rows"]) for r in ok) == [("x/", 5, 10), ("y/", 1, 2), ("y/", 4, 10)]
     assert [(r["directory"], "1006 rows" in r["problem"]) for r in report if r["problem"]] == [("z/", True)]
+    assert sorted(m for r in report for m in r["members"]) == sorted(m[0] for m in made)  # every file in exactly one row
+    assert not list(out.rglob("*.partial")) and not list((out / "z").glob("merged*"))
     read = pa.concat_tables(pq.read_table(out / r["output_path"]) for r in ok if r["directory"] == "x/")
     assert read.equals(pa.concat_tables(_sample(i, i) for i in range(5)))
     assert spark.read.parquet(*(f"file://{out}/{r['output_path']}" for r in ok if r["directory"] == "x/")).count() == 10
 
 
+def test_a_bad_schema_group_leaves_the_others_of_its_bin_alone(spark, tmp_path):
+    inside, out = tmp_path / "in" / "d", tmp_path / "out"
+    inside.mkdir(parents=True)
+    for name, t in (("a", pa.table({"n": [1]})), ("b", pa.table({"n": [2, 3]})), ("c", pa.table({"s": ["x"]})), ("e", pa.table({"n": [4]}))):
+        pq.write_table(t, inside / name)
+    (inside / "f").write_bytes(b"not a file of this kind")
+    made = [("d/a", 1, "c", "1", 1, 9, 0), ("d/b", 2, "c", "2", 2, 9, 0), ("d/c", 3, "c", "3", 7, 9, 0), ("d/e", 4, "other", "4", None, 9, 0), ("d/f", 5, "c", "5", 1, 9, 0)]
+    report = compaction.execute(compaction.plan(spark.createDataFrame(made, MANIFEST)), f"file://{tmp_path / 'in'}", f"file://{out}").collect()
+    got = {tuple(r["members"]): (r["rows"], r["problem"] is None) for r in report}
+    assert got == {("d/a", "d/b"): (3, True), ("d/c",): (0, False), ("d/e",): (1, True), ("d/f",): (0, False)}
+    assert len(list((out / "d").iterdir())) == 2
+
+
 def test_compaction_holds_files_against_the_manifest_and_reports_lost_ones(spark, tmp_path, monkeypatch):
     from marlstone.plans import data_queries
 
@@ -112,7 +127,7 @@ def test_compaction_holds_files_against_the_manifest_and_reports_lost_ones(spark
     made = [(ref(i), i, "c", f"h{i}", 0 if i == 5 else 2, 10, 0) for i in range(6)] + [(f"x/individual_trade/{i}", 10 + i, "c", f"x{i}", 7, 10, 0) for i in range(2)] + [("other/1", 20, "ohlcv", "o", 9, 10, 0)]
     tables = {"archive_trade": trades, "active_artifact": spark.createDataFrame(made, MANIFEST)}
     monkeypatch.setattr(data_queries, "table", lambda spark, folder, name, *columns: tables[name])
-    report = data_queries.p1_compact(spark, "").collect()
+    report = data_queries._compacted(spark, "", scratch(spark, "files")).collect()
     assert [(r["files"], r["rows"], r["listed_rows"]) for r in report if r["problem"] is None] == [(4, 8, 8)]
     assert sorted((r["listed_rows"], "14 rows" in r["problem"], r["problem"].endswith(ref(4))) for r in report if r["problem"]) == [(2, False, True), (14, True, False)]
 
