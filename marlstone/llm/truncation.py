@@ -1,10 +1,13 @@
-"""Texts cut off before their end, found in SQL from what usually follows their last words.
-
-Word trigrams are counted inside all texts and at their ends. A final trigram that is frequent
-inside texts, or whose last word is the beginning of words frequent in its place, but that
-almost never ends a text, marks a cut. Forms that say themselves whether they are complete
-(code fences, payloads, links, table rows, marks of omission, finished sentences) are read first;
-the counts decide all others.
+"""Texts cut off before their end, found in SQL from how rarely a text ends where they end.
+
+Words carry the signs that follow them, so that the end of a sentence, of a table row or of a
+payload is a word trigram like any other. Trigrams are counted over all texts: how often each
+occurs, and how often as a text's last one. A final trigram that is frequent inside texts but
+almost never terminal marks a cut, and so does one whose last word is only the beginning of words
+that go on in its place. Where trigrams are too rare to tell, the counts of the last two words, of
+the last word and of its shape weigh in by degrees; no step has a threshold in counts, so that the
+verdict on a text doesn't depend on how many others there are. Only ends without a word to count
+are read by their form: marks of omission, links, code blocks that stay open, bare list marks.
 """
 
 from __future__ import annotations
@@ -13,120 +16,98 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlstone.session import scratch
-
-#: A word: a link, a run of letters (single Han characters) or a number with its separators, and the signs that follow it.
-TOKEN = r"(?:https?://\S*|\p{IsHan}|[\p{L}\p{M}&&[^\p{IsHan}]]+(?:[-\x27’_][\p{L}\p{M}&&[^\p{IsHan}]]+)*|\p{N}+(?:[.,:/]\p{N}+)*)(?:[\s\p{Z}]*[^\s\p{Z}\p{L}\p{M}\p{N}]+)*"
-BLANKS = r"[\s\p{Z}\p{Cf}]+\z"
-#: Signs that may follow a finished sentence: closing marks, emoji and their modifiers.
-CLOSERS = r"[\s\p{Z}\p{Cf}\p{Pf}\p{Pe}\p{Me}\p{Mn}\p{So}\p{Sk}\x22\x27*_`~“»”’]*"
-STOPS = r"[.!?。！？؟।]"
+from marlstone.session import keep_at, scratch
+
+#: Letters other than Han characters, which are words of their own.
+LETTER, HAN = r"[^\P{L}\x{4E00}-\x{9FFF}\x{3400}-\x{4DBF}]", r"[\x{4E00}-\x{9FFF}\x{3400}-\x{4DBF}]"
+#: A word: letters, a number (every run of digits is one 9 by then), a Han character or a link; and the signs after it.
+TOKEN = rf"(?:https?://[^\s]*+|{LETTER}++(?:[-_\x27’]{LETTER}++)*+|9(?:[.,:/]9)*+|{HAN})(?:\s*+[^\s\p{{L}}9]++)*+"
+#: Stands before every text, so that signs before its first word belong to a word too.
+START = "ǃ "
+#: What may follow a text without belonging to it: blanks and invisible marks.
+BLANKS = " \t\r\n\x0b\x0c" + "".join(map(chr, (0x85, 0xA0, 0xAD, 0x1680, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF)))
+#: Marks of omission and halves of escapes, looked for in the last characters.
 OMISSION = r"(?:…|\.\.\.|\[(?:more|cut|truncated|continued|…|\.\.\.)\]|\x{FFFD}|\\u[0-9a-fA-F]{0,3}|\\|&#?\w{0,8})\z"
-LONGEST_BEGINNING = 64
-
-VERDICT = rf"""
-  case
-    when size(split(t, r'(?m)^[ \t]*```')) % 2 = 0 then 'cut'
-    when t rlike r'{OMISSION}' then 'cut'
-    when line rlike r'^\s*(?:```|~~~)\s*\z' then 'whole'
-    when line rlike r'^\s*[{{\[]\s*[\x22{{\[]' then
-      if(length(regexp_replace(bare, r'[^{{]', '')) = length(regexp_replace(bare, r'[^}}]', ''))
-         and length(regexp_replace(bare, r'[^\[]', '')) = length(regexp_replace(bare, r'[^\]]', ''))
-         and bare not like '%"%', 'whole', 'cut')
-    when line rlike r'(?:^|\s)https?:[^\s]*\z' then if(line rlike r'https?://[^\s/]+/(?:[^\s/]+/)*\p{{N}}+\z', 'whole', 'cut')
-    when line rlike r'^\s*\|' then
-      if(line like '%|' and length(regexp_replace(line, r'[^|]', '')) >= length(regexp_replace(regexp_extract(t, r'((?:^|\n)\s*\|[^\n]*)(?:\n\s*\|[^\n]*)*\z', 1), r'[^|]', '')) and not line rlike r'^[\s|:-]+\z', 'ask', 'cut')
-    when line rlike r'^\s*(?:[-*+•>]|\p{{N}}+[.)])\s*\z' then 'cut'
-    when line rlike r'\p{{N}}\.\z' then 'number'
-    when t rlike r'{STOPS}{CLOSERS}\z' and not t rlike r'[(\[{{]\s*\z' then 'whole'
-    else 'ask'
-  end
-"""
-
-WORDS = rf"regexp_extract_all(regexp_replace(lower(t), r'\p{{N}}+', '9'), r'{TOKEN}', 0) as tokens"
-TEXTS = rf"select doc, source, regexp_replace(text, r'{BLANKS}', '') as t from {{docs}} where text is not null"
-
-PREPARED = rf"""
-select doc, source, text_id, t, line, {VERDICT} as form, tokens
-from (
-  select *, regexp_replace(line, r'\x22(?:[^\x22\\]|\\.)*\x22', '') as bare, {WORDS}
-  from (
-    select doc, source, xxhash64(t) as text_id, t, substring_index(t, '\n', -1) as line
-    from ({TEXTS})
-    where t <> ''
-  )
-)
-"""
+LONGEST_OMISSION = 16
+FENCE, LINK, WHOLE_LINK, BARE_MARK = r"(?m)^[ \t]*```", r"(?:^|\s)https?:[^\s]*\z", r"https?://[^\s/]+/(?:[^\s/]+/)*[0-9]+\z", r"^\s*(?:[-*+•>]|[0-9]+[.)])\s*\z"
+#: How many cases the next wider context counts for against a context's own.
+WEIGHT = 50
 
-#: Every trigram but the last of each text; equal texts are one, and places before a text's start are empty words.
-INSIDE = rf"""
-select w.w1, w.w2, w.w3, count(*) as n
+TOKENS = rf"""
+select doc, source, a, b, form, regexp_extract_all('{START}' || regexp_replace(lower(t), '[0-9]+', '9'), r'{TOKEN}', 0) as tokens
 from (
-  select explode(transform(sequence(1, size(tokens) - 1), i -> named_struct(
-    'w1', if(i > 2, element_at(tokens, greatest(i - 2, 1)), ''), 'w2', if(i > 1, element_at(tokens, greatest(i - 1, 1)), ''), 'w3', element_at(tokens, i)))) as w
-  from (select {WORDS} from (select distinct t from ({TEXTS}) where t <> '')) where size(tokens) > 1
+  select *, xxhash64(t) as a, xxhash64(t, 1) as b, case
+    when right(t, {LONGEST_OMISSION}) rlike r'{OMISSION}' then 'mark'
+    when contains(t, '```') and size(split(t, r'{FENCE}')) % 2 = 0 then 'open block'
+    when contains(line, 'http') and line rlike r'{LINK}' then if(line rlike r'{WHOLE_LINK}', 'link', 'cut link')
+    when length(line) < 32 and line rlike r'{BARE_MARK}' then 'bare mark'
+  end as form
+  from (select *, substring_index(t, '\n', -1) as line from (select doc, source, trim(trailing '{{blanks}}' from text) as t from {{docs}} where text is not null) where t <> '')
 )
-group by 1, 2, 3
 """
 
-#: The last trigram of every text; equal texts are one.
-ENDS = """
-select w1, w2, w3, count(distinct text_id) as n
-from {finals} where w3 <> ''
+#: Every trigram of every distinct text: how often it occurs (n), and how often as the last one (e).
+GRAMS = """
+select coalesce(w1, '') as w1, coalesce(w2, '') as w2, w3, count(*) as n, sum(last) as e
+from (select tokens from {tokens} left semi join (select min(rid) as first from {tokens} group by a, b) on rid = first)
+lateral view inline(arrays_zip(
+  concat(array('', ''), slice(tokens, 1, greatest(size(tokens) - 2, 0))), concat(array(''), slice(tokens, 1, size(tokens) - 1)), tokens, concat(array_repeat(0, size(tokens) - 1), array(1))
+)) g as w1, w2, w3, last
+where w3 is not null
 group by 1, 2, 3
 """
 
 FINALS = """
-select doc, source, text_id, form, coalesce(try_element_at(tokens, -3), '') as w1, coalesce(try_element_at(tokens, -2), '') as w2, coalesce(try_element_at(tokens, -1), '') as w3
-from {prepared}
+select rid, doc, source, form, coalesce(try_element_at(tokens, -3), '') as w1, coalesce(try_element_at(tokens, -2), '') as w2, element_at(tokens, -1) as w3
+from {tokens}
 """
 
-#: For each context and last word: how often it stands there without ending a text (inside, or as the beginning of
-#: a longer word inside or at an end), and how often it ends one.
-LEVEL = """
-with asked as (select distinct {context} as context, w3 from {finals}),
-contexts as (select distinct context from asked),
-near as (select {context} as context, w3, sum(n) as n from {inside} group by 1, 2),
-last as (select {context} as context, w3, sum(n) as n from {ends} group by 1, 2),
-near_wanted as (select n.* from near n left semi join contexts c on n.context = c.context),
-last_wanted as (select n.* from last n left semi join contexts c on n.context = c.context),
-other as (
-  select context, word, sum(n) as n from (
-    select context, n, explode(transform(sequence(1, least(length(w3), {longest})), k -> left(w3, k))) as word from near_wanted
-    union all
-    select context, n, w3 as word from near_wanted where length(w3) > {longest}
-    union all
-    select context, n, explode(transform(sequence(1, least(length(w3) - 1, {longest})), k -> left(w3, k))) as word from last_wanted where length(w3) > 1
-  ) group by 1, 2
+#: The signs that end a word.
+SIGNS = r"regexp_extract({w}, r'[^\p{L}9\s]+(?:\s*[^\p{L}9\s]+)*\z', 0)"
+#: A word's kind (link, skeleton of a number, Han character, letters) and its signs, pictures being one sign.
+SHAPE = (
+    rf"concat(case when w3 like 'http%' then 'u' when w3 like '9%' then regexp_extract(w3, r'^9(?:[.,:/]9)*', 0) when w3 rlike r'^{HAN}' then 'h' else 'a' end, "
+    rf"regexp_replace({SIGNS.replace('{w}', 'w3')}, r'[\p{{So}}\p{{Sk}}]+', '☺'))"
 )
-select a.context, a.w3, coalesce(i.n, 0) as inner_n, coalesce(e.n, 0) as end_n
-from asked a
-left join other i on i.context = a.context and i.word = a.w3
-left join last_wanted e on e.context = a.context and e.w3 = a.w3
+
+#: Per context and last word: how often words that begin with it stand there (n), and how often it ends a text (e).
+#: Words are sorted within a context and their first two characters; words of one character are summed up by it.
+LEVEL = """
+with all_words as (select {context} as c, w3 as w, sum(n) as n, sum(e) as e from {grams} group by 1, 2),
+asked as (select distinct {context} as c, w3 as w from {asked}),
+words as (select a.* from all_words a left semi join (select distinct c from asked) q on a.c = q.c),
+points as (
+  select c, w, 1 as side, n, w as word from words
+  union all select c, w, 0, 0, w from asked where length(w) > 1
+  union all select c, concat(w, '\U0010FFFF'), 2, 0, w from asked where length(w) > 1
+),
+summed as (select c, word, side, sum(n) over (partition by c, left(word, 2) order by w, side rows between unbounded preceding and current row) as upto from points),
+longer as (select c, word, max(if(side = 2, upto, 0)) - max(if(side = 0, upto, 0)) as n from summed where side <> 1 group by 1, 2),
+single as (select c, left(w, 1) as word, sum(n) as n from words group by 1, 2)
+select q.c, q.w, coalesce(l.n, s.n) as n, w.e
+from asked q join words w on w.c = q.c and w.w = q.w
+left join longer l on l.c = q.c and l.word = q.w
+left join single s on length(q.w) = 1 and s.c = q.c and s.word = q.w
+"""
+
+SHAPES = """
+with p as (select w2, w3, sum(n) as n, sum(e) as e from {grams} group by 1, 2)
+select {before} as c, {shape} as w, sum(n) as n, sum(e) as e from p group by 1, 2
+"""
+
+#: The share of cases in which a text ends there, without the text in question: from all words to the trigram.
+SCORED = """
+with q as (select *, concat_ws('\x1f', w1, w2) as c3, w2 as c2, {before} as c1, {shape} as shape, (select sum(e) / sum(n) from {grams}) as rate from (select distinct w1, w2, w3 from {asked})),
+p0 as (select q.*, (x.e - 1 + {weight} * rate) / (x.n - 1 + {weight}) as p from q join {shapes} x on x.c = q.c1 and x.w = q.shape),
+p1 as (select p0.* except (p), (x.e - 1 + {weight} * p) / (x.n - 1 + {weight}) as p from p0 join {l1} x on x.c = p0.c1 and x.w = p0.w3),
+p2 as (select p1.* except (p), (x.e - 1 + {weight} * p) / (x.n - 1 + {weight}) as p from p1 join {l2} x on x.c = p1.c2 and x.w = p1.w3),
+p3 as (select p2.* except (p), (x.e - 1 + {weight} * p) / (x.n - 1 + {weight}) as p from p2 join {l3} x on x.c = p2.c3 and x.w = p2.w3)
+select w1, w2, w3, p < rate as rare from p3
 """
 
-#: The last sign after a word, if any: it stands between this word and the next.
-SIGN = r"regexp_extract({w}, r'([^\p{L}\p{M}\p{N}\s\p{Z}])[\s\p{Z}]*\z', 1)"
-#: What goes before a last word, from much to little: two words, one word and the sign before it, one sign.
-CONTEXTS = {"c3": "concat(w1, ' ', w2)", "c2": f"concat({SIGN.replace('{w}', 'w1')}, ' ', w2)", "c1": SIGN.replace("{w}", "w2")}
-
-DECIDED = """
-select f.doc, f.source, f.form,
-  case
-    when f.form in ('cut', 'whole') then f.form = 'cut'
-    when f.form = 'number' then coalesce(d.n, 0) >= {fewest} and coalesce(s.n, 0) = 0
-    when l3.end_n >= {fewest} and l3.end_n >= {usual} * l3.inner_n then false
-    when l3.inner_n >= {support} and l3.end_n < {rare} * (l3.inner_n + l3.end_n) then true
-    when l2.end_n >= {fewest} and l2.end_n >= {usual} * l2.inner_n then false
-    when l2.inner_n >= {support} and l2.end_n < {rare} * (l2.inner_n + l2.end_n) then true
-    else not (l1.end_n >= {fewest} and l1.end_n >= {rare} * (l1.inner_n + l1.end_n))
-  end as truncated
-from (select *, {c3} as c3, {c2} as c2, {c1} as c1 from {finals}) f
-left join {l3} l3 on l3.context = f.c3 and l3.w3 = f.w3
-left join {l2} l2 on l2.context = f.c2 and l2.w3 = f.w3
-left join {l1} l1 on l1.context = f.c1 and l1.w3 = f.w3
-left join (select w2 as w, sum(n) as n from {inside} where w3 rlike '^9[.,]9' group by 1) d on d.w = f.w2
-left join (select w2 as w, sum(n) as n from {inside} where w3 rlike '^9[.]([^9]|$)' group by 1) s on s.w = f.w2
+JUDGED = """
+select f.doc, f.source, coalesce(f.form, 'counts') as decided_by, case when f.form is null then s.rare else f.form <> 'link' end as truncated
+from {finals} f left join {scored} s on f.form is null and s.w1 = f.w1 and s.w2 = f.w2 and s.w3 = f.w3
 """
 
 
@@ -135,7 +116,7 @@ def _sql(spark: SparkSession, text: str, frames: dict[str, DataFrame], **values:
     views = {name: f"truncation_{name}_{uuid.uuid4().hex}" for name in frames}
     for name, view in views.items():
         frames[name].createOrReplaceTempView(view)
-    for name, value in (views | values).items():
+    for name, value in (values | views).items():
         text = text.replace("{" + name + "}", str(value))
     try:
         return spark.sql(text)
@@ -144,30 +125,32 @@ def _sql(spark: SparkSession, text: str, frames: dict[str, DataFrame], **values:
             spark.catalog.dropTempView(view)
 
 
-def judged(docs: DataFrame, doc_id: str, text: str, source: str, support: int = 20, rare: float = 0.02, usual: float = 0.5, fewest: int = 3) -> DataFrame:
-    """(doc, source, form, truncated) for every text that isn't null, empty or blank.
+def judged(docs: DataFrame, doc_id: str, text: str, source: str, weight: int = WEIGHT) -> DataFrame:
+    """(doc, source, decided_by, truncated) for every text that isn't null, empty or blank.
 
-    form says what decided: ``cut`` or ``whole`` by the ending's own form, ``number`` for a
-    number before a full stop (a decimal cut at its point, if decimals but never sentence ends
-    occur after that word), ``ask`` for the counts. There a text is whole if its final trigram
-    ends at least ``fewest`` texts and is at most twice as frequent inside, cut if it occurs
-    ``support`` times inside and in under ``rare`` of all cases at an end; where trigrams are too
-    few to tell, the last two words with the sign before them and at last the last word with the
-    sign before it decide, the unknown being cut.
-    Every row gets a verdict, repeated rows too; counts take equal texts once, inside and at ends.
+    decided_by is ``counts``, or the form that decided: ``mark`` (of omission), ``open block``,
+    ``link`` (whole) or ``cut link``, ``bare mark`` (of a list). By counts a text is cut if the share of
+    cases in which a text ends where it ends, its own case left out, is below the share of texts
+    in all words: if a text ends there more rarely than anywhere. Each share is that of its
+    context, ``weight`` cases of the next wider one added: trigram, two words, word after the same
+    signs, shape after the same signs, all. What was never seen has the overall share, and isn't
+    called cut. Every row gets a verdict, repeated rows too; counts take equal texts once.
     """
     spark = docs.sparkSession
     rows = docs.selectExpr(f"`{doc_id}` as doc", f"`{text}` as text", f"`{source}` as source")
-    prepared = _sql(spark, PREPARED, {"docs": rows})
-    # texts are read twice, once for their ends and once for what lies inside; all else works on these two tables
     root = scratch(spark, "truncation")
-    _sql(spark, FINALS, {"prepared": prepared}).write.parquet(f"{root}/finals")
-    _sql(spark, INSIDE, {"docs": rows}).write.parquet(f"{root}/inside")
-    finals, inside = spark.read.parquet(f"{root}/finals"), spark.read.parquet(f"{root}/inside")
-    asked, ends = finals.filter("form = 'ask'"), _sql(spark, ENDS, {"finals": finals})
-    level = lambda context: _sql(spark, LEVEL, {"finals": asked, "inside": inside, "ends": ends}, context=context, longest=LONGEST_BEGINNING)
-    frames = {"finals": finals, "inside": inside} | {f"l{c[1]}": level(context) for c, context in CONTEXTS.items()}
-    return _sql(spark, DECIDED, frames, **CONTEXTS, support=support, rare=rare, usual=usual, fewest=fewest)
+    # texts are read and split once; all else works on the words and, after that, on counts
+    split = _sql(spark, TOKENS, {"docs": rows}, blanks=BLANKS).selectExpr("monotonically_increasing_id() as rid", "*")
+    tokens = keep_at(split, f"{root}/tokens")
+    grams = keep_at(_sql(spark, GRAMS, {"tokens": tokens}), f"{root}/grams")
+    finals = keep_at(_sql(spark, FINALS, {"tokens": tokens}), f"{root}/finals")
+    asked = finals.filter("form is null")
+    before = SIGNS.replace("{w}", "w2")
+    level = lambda context: _sql(spark, LEVEL, {"grams": grams, "asked": asked}, context=context)
+    shapes = _sql(spark, SHAPES, {"grams": grams}, before=before, shape=SHAPE)
+    frames = {"grams": grams, "asked": asked, "shapes": shapes, "l1": level(before), "l2": level("w2"), "l3": level("concat_ws('\x1f', w1, w2)")}
+    scored = keep_at(_sql(spark, SCORED, frames, before=before, shape=SHAPE, weight=weight), f"{root}/scored")
+    return _sql(spark, JUDGED, {"finals": finals, "scored": scored})
 
 
 def shares(judgements: DataFrame) -> DataFrame:
