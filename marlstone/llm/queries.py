@@ -80,13 +80,14 @@ JUDGED_SQL = rf"""with d as (select doc_id, source, rtrim(text, '{truncation.BLA
   f as (select *, case when regexp_matches(right(t, {truncation.LONGEST_OMISSION}), '{truncation.OMISSION}') then true when len(regexp_split_to_array(t, '{truncation.FENCE}')) % 2 = 0 then true
     when regexp_matches(string_split(t, chr(10))[-1], '{truncation.LINK}') then not regexp_matches(string_split(t, chr(10))[-1], '{truncation.WHOLE_LINK}')
     when regexp_matches(string_split(t, chr(10))[-1], '{truncation.BARE_MARK}') then true end as form from d where t <> ''),
-  k as (select t, regexp_extract_all('{truncation.START}' || regexp_replace(lower(t), '[0-9]+', '9', 'g'), '{RE2_TOKEN}') as w from (select distinct t from f)),
+  k as (select t, regexp_extract_all('{truncation.START}' || translate(lower(t), '012345678', '999999999'), '{RE2_TOKEN}') as w from (select distinct t from f)),
   p as (select case when i > 2 then w[i - 2] else '' end as w1, case when i > 1 then w[i - 1] else '' end as w2, w[i] as w3, i = len(w) as last from (select w, unnest(generate_series(1, len(w))) as i from k)),
-  g as (select w1, w2, w3, {SIGNS_SQL.replace("{w}", "w2")} as c1, case when w3 like 'http%' then 'u' when w3 like '9%' then regexp_extract(w3, '^9(?:[.,:/]9)*') when regexp_matches(w3, '^{truncation.HAN}') then 'h' else 'a' end
+  g as (select w1, w2, w3, {SIGNS_SQL.replace("{w}", "w2")} as c1, case when w3 like 'http%' then 'u' when w3 like '9%' then regexp_replace(regexp_extract(w3, '^9+(?:[.,:/]9+)*'), '9+', '9', 'g') when regexp_matches(w3, '^{truncation.HAN}') then 'h' else 'a' end
     || regexp_replace({SIGNS_SQL.replace("{w}", "w3")}, '[\p{{So}}\p{{Sk}}]+', '☺', 'g') as shape, count(*) as n, count(*) filter (last) as e from p group by all),
   q as (select distinct case when len(w) > 2 then w[-3] else '' end as w1, case when len(w) > 1 then w[-2] else '' end as w2, w[-1] as w3 from k join f using (t) where form is null),
   q1 as (select q.*, g.c1, g.shape from q join g using (w1, w2, w3)), r as (select sum(e) / sum(n) as rate from g),
-  x0 as (select c1, shape, sum(n) as n, sum(e) as e from g group by 1, 2),
+  y0 as (select c1, shape, sum(n) as n, sum(e) as e from g group by 1, 2),
+  x0 as (select o.c1, o.shape, sum(y0.n) as n, max(y0.e) filter (y0.shape = o.shape) as e from (select distinct c1, shape from q1) o join y0 on o.c1 = y0.c1 and starts_with(y0.shape, o.shape) group by 1, 2),
   y1 as (select c1, w3, sum(n) as n, sum(e) as e from g group by 1, 2), y2 as (select w2, w3, sum(n) as n, sum(e) as e from g group by 1, 2),
   x1 as (select o.c1, o.w3, sum(y1.n) as n, max(y1.e) filter (y1.w3 = o.w3) as e from (select distinct c1, w3 from q1) o join y1 on o.c1 = y1.c1 and starts_with(y1.w3, o.w3) group by 1, 2),
   x2 as (select o.w2, o.w3, sum(y2.n) as n, max(y2.e) filter (y2.w3 = o.w3) as e from (select distinct w2, w3 from q1) o join y2 on o.w2 = y2.w2 and starts_with(y2.w3, o.w3) group by 1, 2),
@@ -95,7 +96,7 @@ JUDGED_SQL = rf"""with d as (select doc_id, source, rtrim(text, '{truncation.BLA
   s1 as (select s0.* replace ((x1.e - 1 + {truncation.WEIGHT} * p) / (x1.n - 1 + {truncation.WEIGHT}) as p) from s0 join x1 using (c1, w3)),
   s2 as (select s1.* replace ((x2.e - 1 + {truncation.WEIGHT} * p) / (x2.n - 1 + {truncation.WEIGHT}) as p) from s1 join x2 using (w2, w3)),
   s3 as (select s2.* replace ((x3.e - 1 + {truncation.WEIGHT} * p) / (x3.n - 1 + {truncation.WEIGHT}) as p) from s2 join x3 using (w1, w2, w3)),
-  j as (select doc_id, source, coalesce(form, p < rate) as truncated from f join k using (t) left join s3 on s3.w3 = k.w[-1] and s3.w2 = case when len(w) > 1 then w[-2] else '' end and s3.w1 = case when len(w) > 2 then w[-3] else '' end)"""
+  j as (select doc_id, source, coalesce(form, p < cast({truncation.RARE} as double) * rate) as truncated from f join k using (t) left join s3 on s3.w3 = k.w[-1] and s3.w2 = case when len(w) > 1 then w[-2] else '' end and s3.w1 = case when len(w) > 2 then w[-3] else '' end)"""
 
 ORACLE = {
     "p8_decoded": "select doc_id, coalesce(text, '') as text from documents",

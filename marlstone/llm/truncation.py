@@ -17,11 +17,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from marlstone.session import keep_at, scratch
+from marlstone.sources.tables import bounded
 
 #: Letters other than Han characters, which are words of their own.
 LETTER, HAN = r"[^\P{L}\x{4E00}-\x{9FFF}\x{3400}-\x{4DBF}]", r"[\x{4E00}-\x{9FFF}\x{3400}-\x{4DBF}]"
-#: A word: letters, a number (every run of digits is one 9 by then), a Han character or a link; and the signs after it.
-TOKEN = rf"(?:https?://[^\s]*+|{LETTER}++(?:[-_\x27’]{LETTER}++)*+|9(?:[.,:/]9)*+|{HAN})(?:\s*+[^\s\p{{L}}9]++)*+"
+#: A word: letters, a number (every digit is a 9 by then), a Han character or a link; and the signs after it.
+TOKEN = rf"(?:https?://[^\s]*+|{LETTER}++(?:[-_\x27’]{LETTER}++)*+|9++(?:[.,:/]9++)*+|{HAN})(?:\s*+[^\s\p{{L}}9]++)*+"
 #: Stands before every text, so that signs before its first word belong to a word too.
 START = "ǃ "
 #: What may follow a text without belonging to it: blanks and invisible marks.
@@ -29,12 +30,15 @@ BLANKS = " \t\r\n\x0b\x0c" + "".join(map(chr, (0x85, 0xA0, 0xAD, 0x1680, *range(
 #: Marks of omission and halves of escapes, looked for in the last characters.
 OMISSION = r"(?:…|\.\.\.|\[(?:more|cut|truncated|continued|…|\.\.\.)\]|\x{FFFD}|\\u[0-9a-fA-F]{0,3}|\\|&#?\w{0,8})\z"
 LONGEST_OMISSION = 16
+MOST_BROADCAST = 1_000_000
 FENCE, LINK, WHOLE_LINK, BARE_MARK = r"(?m)^[ \t]*```", r"(?:^|\s)https?:[^\s]*\z", r"https?://[^\s/]+/(?:[^\s/]+/)*[0-9]+\z", r"^\s*(?:[-*+•>]|[0-9]+[.)])\s*\z"
 #: How many cases the next wider context counts for against a context's own.
 WEIGHT = 50
+#: A text is cut if texts end where it ends in less than this part of the share they have of all words.
+RARE = 0.8
 
 TOKENS = rf"""
-select doc, source, a, b, form, regexp_extract_all('{START}' || regexp_replace(lower(t), '[0-9]+', '9'), r'{TOKEN}', 0) as tokens
+select doc, source, a, b, form, regexp_extract_all('{START}' || translate(lower(t), '012345678', '999999999'), r'{TOKEN}', 0) as tokens
 from (
   select *, xxhash64(t) as a, xxhash64(t, 1) as b, case
     when right(t, {LONGEST_OMISSION}) rlike r'{OMISSION}' then 'mark'
@@ -46,10 +50,15 @@ from (
 )
 """
 
+#: The rows whose text another row has, but for the first of them.
+COPIES = """
+select t.rid from {tokens} t join (select a, b, min(rid) as first from {tokens} group by 1, 2 having count(*) > 1) f on t.a = f.a and t.b = f.b where t.rid <> f.first
+"""
+
 #: Every trigram of every distinct text: how often it occurs (n), and how often as the last one (e).
 GRAMS = """
 select coalesce(w1, '') as w1, coalesce(w2, '') as w2, w3, count(*) as n, sum(last) as e
-from (select tokens from {tokens} left semi join (select min(rid) as first from {tokens} group by a, b) on rid = first)
+from (select tokens from {tokens} t left anti join {copies} c on t.rid = c.rid)
 lateral view inline(arrays_zip(
   concat(array('', ''), slice(tokens, 1, greatest(size(tokens) - 2, 0))), concat(array(''), slice(tokens, 1, size(tokens) - 1)), tokens, concat(array_repeat(0, size(tokens) - 1), array(1))
 )) g as w1, w2, w3, last
@@ -66,15 +75,23 @@ from {tokens}
 SIGNS = r"regexp_extract({w}, r'[^\p{L}9\s]+(?:\s*[^\p{L}9\s]+)*\z', 0)"
 #: A word's kind (link, skeleton of a number, Han character, letters) and its signs, pictures being one sign.
 SHAPE = (
-    rf"concat(case when w3 like 'http%' then 'u' when w3 like '9%' then regexp_extract(w3, r'^9(?:[.,:/]9)*', 0) when w3 rlike r'^{HAN}' then 'h' else 'a' end, "
+    rf"concat(case when w3 like 'http%' then 'u' when w3 like '9%' then regexp_replace(regexp_extract(w3, r'^9+(?:[.,:/]9+)*', 0), '9+', '9') when w3 rlike r'^{HAN}' then 'h' else 'a' end, "
     rf"regexp_replace({SIGNS.replace('{w}', 'w3')}, r'[\p{{So}}\p{{Sk}}]+', '☺'))"
 )
 
+#: Every pair of words with the signs of the first and the shape of the second; the same of the trigrams asked for.
+PAIRS = """
+select w2, w3, {before} as c1, {shape} as shape, n, e from (select w2, w3, sum(n) as n, sum(e) as e from {grams} group by 1, 2)
+"""
+ASKED = """
+select *, w2 as c2, concat_ws('\x1f', w1, w2) as c3, {before} as c1, {shape} as shape from (select distinct w1, w2, w3 from {finals} where form is null)
+"""
+
 #: Per context and last word: how often words that begin with it stand there (n), and how often it ends a text (e).
 #: Words are sorted within a context and their first two characters; words of one character are summed up by it.
 LEVEL = """
-with all_words as (select {context} as c, w3 as w, sum(n) as n, sum(e) as e from {grams} group by 1, 2),
-asked as (select distinct {context} as c, w3 as w from {asked}),
+with all_words as (select {context} as c, {word} as w, sum(n) as n, sum(e) as e from {counts} group by 1, 2),
+asked as (select distinct {context} as c, {word} as w from {asked}),
 words as (select a.* from all_words a left semi join (select distinct c from asked) q on a.c = q.c),
 points as (
   select c, w, 1 as side, n, w as word from words
@@ -90,19 +107,14 @@ left join longer l on l.c = q.c and l.word = q.w
 left join single s on length(q.w) = 1 and s.c = q.c and s.word = q.w
 """
 
-SHAPES = """
-with p as (select w2, w3, sum(n) as n, sum(e) as e from {grams} group by 1, 2)
-select {before} as c, {shape} as w, sum(n) as n, sum(e) as e from p group by 1, 2
-"""
-
 #: The share of cases in which a text ends there, without the text in question: from all words to the trigram.
 SCORED = """
-with q as (select *, concat_ws('\x1f', w1, w2) as c3, w2 as c2, {before} as c1, {shape} as shape, (select sum(e) / sum(n) from {grams}) as rate from (select distinct w1, w2, w3 from {asked})),
-p0 as (select q.*, (x.e - 1 + {weight} * rate) / (x.n - 1 + {weight}) as p from q join {shapes} x on x.c = q.c1 and x.w = q.shape),
+with q as (select *, (select sum(e) / sum(n) from {grams}) as rate from {asked}),
+p0 as (select q.*, (x.e - 1 + {weight} * rate) / (x.n - 1 + {weight}) as p from q join {l0} x on x.c = q.c1 and x.w = q.shape),
 p1 as (select p0.* except (p), (x.e - 1 + {weight} * p) / (x.n - 1 + {weight}) as p from p0 join {l1} x on x.c = p0.c1 and x.w = p0.w3),
 p2 as (select p1.* except (p), (x.e - 1 + {weight} * p) / (x.n - 1 + {weight}) as p from p1 join {l2} x on x.c = p1.c2 and x.w = p1.w3),
 p3 as (select p2.* except (p), (x.e - 1 + {weight} * p) / (x.n - 1 + {weight}) as p from p2 join {l3} x on x.c = p2.c3 and x.w = p2.w3)
-select w1, w2, w3, p < rate as rare from p3
+select w1, w2, w3, p < cast({rare} as double) * rate as rare from p3
 """
 
 JUDGED = """
@@ -125,31 +137,34 @@ def _sql(spark: SparkSession, text: str, frames: dict[str, DataFrame], **values:
             spark.catalog.dropTempView(view)
 
 
-def judged(docs: DataFrame, doc_id: str, text: str, source: str, weight: int = WEIGHT) -> DataFrame:
+def judged(docs: DataFrame, doc_id: str, text: str, source: str, weight: int = WEIGHT, rare: float = RARE) -> DataFrame:
     """(doc, source, decided_by, truncated) for every text that isn't null, empty or blank.
 
     decided_by is ``counts``, or the form that decided: ``mark`` (of omission), ``open block``,
     ``link`` (whole) or ``cut link``, ``bare mark`` (of a list). By counts a text is cut if the share of
-    cases in which a text ends where it ends, its own case left out, is below the share of texts
-    in all words: if a text ends there more rarely than anywhere. Each share is that of its
-    context, ``weight`` cases of the next wider one added: trigram, two words, word after the same
-    signs, shape after the same signs, all. What was never seen has the overall share, and isn't
-    called cut. Every row gets a verdict, repeated rows too; counts take equal texts once.
+    cases in which a text ends where it ends, its own case left out, is below ``rare`` times the
+    share of texts in all words: if texts end there more rarely than anywhere. Each share is that
+    of its context, ``weight`` cases of the next wider one added: trigram, two words, word after
+    the same signs, shape after the same signs, all. What was never seen has the overall share,
+    and isn't called cut. Every row gets a verdict, repeated rows too; counts take equal texts
+    (equal in 128 bits) once.
     """
     spark = docs.sparkSession
     rows = docs.selectExpr(f"`{doc_id}` as doc", f"`{text}` as text", f"`{source}` as source")
     root = scratch(spark, "truncation")
+    run = lambda name, sql, frames, **values: keep_at(_sql(spark, sql, frames, **values), f"{root}/{name}")
+    derived = {"before": SIGNS.replace("{w}", "w2"), "shape": SHAPE}
     # texts are read and split once; all else works on the words and, after that, on counts
     split = _sql(spark, TOKENS, {"docs": rows}, blanks=BLANKS).selectExpr("monotonically_increasing_id() as rid", "*")
     tokens = keep_at(split, f"{root}/tokens")
-    grams = keep_at(_sql(spark, GRAMS, {"tokens": tokens}), f"{root}/grams")
-    finals = keep_at(_sql(spark, FINALS, {"tokens": tokens}), f"{root}/finals")
-    asked = finals.filter("form is null")
-    before = SIGNS.replace("{w}", "w2")
-    level = lambda context: _sql(spark, LEVEL, {"grams": grams, "asked": asked}, context=context)
-    shapes = _sql(spark, SHAPES, {"grams": grams}, before=before, shape=SHAPE)
-    frames = {"grams": grams, "asked": asked, "shapes": shapes, "l1": level(before), "l2": level("w2"), "l3": level("concat_ws('\x1f', w1, w2)")}
-    scored = keep_at(_sql(spark, SCORED, frames, before=before, shape=SHAPE, weight=weight), f"{root}/scored")
+    copies = run("copies", COPIES, {"tokens": tokens})
+    grams = run("grams", GRAMS, {"tokens": tokens, "copies": bounded(copies, MOST_BROADCAST)})
+    finals = run("finals", FINALS, {"tokens": tokens})
+    pairs, asked = run("pairs", PAIRS, {"grams": grams}, **derived), run("asked", ASKED, {"finals": finals}, **derived)
+    frames = {"grams": grams, "asked": asked}
+    for name, counts, context, word in (("l0", pairs, "c1", "shape"), ("l1", pairs, "c1", "w3"), ("l2", pairs, "w2", "w3"), ("l3", grams, "concat_ws('\x1f', w1, w2)", "w3")):
+        frames[name] = run(name, LEVEL, {"counts": counts, "asked": asked}, context=context, word=word)
+    scored = run("scored", SCORED, frames, weight=weight, rare=rare)
     return _sql(spark, JUDGED, {"finals": finals, "scored": scored})
 
 

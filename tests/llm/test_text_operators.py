@@ -90,18 +90,62 @@ def test_spans_are_cut_exactly(spark):
     assert [tuple(x) for x in leakage.without_spans(docs, "doc_id", "text", found, 4).collect()] == [(1, "Keep İ this. ! Keep that.", 5)]
 
 
-WHOLE = [
-    "A finished sentence.", "Done (see above).", "He said “done.”", "All good. 🚀", "All good.  \n", "完成了。", "¿Listo?", "It is\n```\nselect 1\n```", '{"a": [{"b": "x}"}]}', "See\nhttps://a.example/x/123",
-]
-CUT = [
-    "A finished sentence. And then the", "It is\n```\nselect 1 from", '{"a": [{"b": "x', '{"a": [1, 2', "See\nhttps://a.exam", "See\nhttps://a.", "So it we…", "So it we...", "So it [more]", "So it �", "aren\\u00", "One.\n- ", "One.\n12.", "| a | b |\n|---|---|\n| 1",
-]
+WHOLE = ["A finished sentence.", "See\nhttps://a.example/x/123", "It is\n```\nselect 1\n```"]
+CUT = {
+    "mark": ["So it we…", "So it we...", "So it [more]", "So it \ufffd", "aren\\u00", "x &am"], "open block": ["It is\n```\nselect 1 from", "It is\n```"],
+    "cut link": ["See\nhttps://a.exam", "See\nhttps://a.", "See\nhttps://a.example/x/"], "bare mark": ["One.\n- ", "One.\n12."],
+}
+
+
+def test_forms_where_no_word_stands_at_the_end(spark):
+    cut = [(t, form) for form, texts in CUT.items() for t in texts]
+    rows = [(i, t, "s") for i, t in enumerate(WHOLE + [t for t, _ in cut])] + [(900, None, "s"), (901, "", "s"), (902, " \n\u3000 ", "s"), (903, "Fine.", None), (904, "!?", "s")]
+    got = {x["doc"]: (x["truncated"], x["decided_by"]) for x in truncation.judged(spark.createDataFrame(rows, "id long, text string, source string").withColumn("tokens", F.lit(1)), "id", "text", "source").collect()}
+    assert {d for d, (t, _) in got.items() if not t} == {*range(len(WHOLE)), 903, 904}  # what was never seen isn't called cut
+    assert [got[len(WHOLE) + i][1] for i in range(len(cut))] == [form for _, form in cut] and got[1][1] == "link" and len(got) == len(rows) - 3
+
+
+def _judged_by_hand(texts, weight=truncation.WEIGHT):
+    import regex
+
+    plain = lambda p: p.replace("\\x{4E00}-\\x{9FFF}", "\u4e00-\u9fff").replace("\\x{3400}-\\x{4DBF}", "\u3400-\u4dbf").replace("[^\\P{L}", "[^\\P{L}")
+    token, signs = regex.compile(plain(truncation.TOKEN)), regex.compile(r"[^\p{L}9\s]+(?:\s*[^\p{L}9\s]+)*\Z")
+    sign = lambda w: (m := signs.search(w)) and m.group() or ""
+
+    def shape(w):
+        kind = "u" if w.startswith("http") else regex.sub("9+", "9", regex.match(r"9+(?:[.,:/]9+)*", w).group()) if w.startswith("9") else "h" if regex.match(r"[\u4e00-\u9fff]", w) else "a"
+        return kind + regex.sub(r"[\p{So}\p{Sk}]+", "☺", sign(w))
+
+    split = {t: token.findall(truncation.START + regex.sub("[0-9]", "9", t.lower())) for t in set(texts)}
+    cases = [(w[i - 2] if i > 1 else "", w[i - 1] if i else "", w[i], i == len(w) - 1) for w in split.values() for i in range(len(w))]
+    rate = sum(c[3] for c in cases) / len(cases)
+    out = {}
+    for t, w in split.items():
+        w1, w2, w3 = (["", ""] + w)[-3:]
+        p = rate
+        for same, last in (
+            (lambda c: sign(c[1]) == sign(w2) and shape(c[2]).startswith(shape(w3)), lambda c: shape(c[2]) == shape(w3)), (lambda c: sign(c[1]) == sign(w2) and c[2].startswith(w3), lambda c: c[2] == w3),
+            (lambda c: c[1] == w2 and c[2].startswith(w3), lambda c: c[2] == w3), (lambda c: c[:2] == (w1, w2) and c[2].startswith(w3), lambda c: c[2] == w3),
+        ):
+            there = [c for c in cases if same(c)]
+            p = (sum(c[3] and last(c) for c in there) - 1 + weight * p) / (len(there) - 1 + weight)
+        out[t] = p < truncation.RARE * rate
+    return out
 
 
-def test_forms_that_speak_for_themselves(spark):
-    rows = [(i, t, "s") for i, t in enumerate(WHOLE + CUT)] + [(900, None, "s"), (901, "", "s"), (902, " \n ", "s"), (903, "Fine.", None)]
-    got = {x["doc"]: x["truncated"] for x in truncation.judged(spark.createDataFrame(rows, "id long, text string, source string").withColumn("tokens", F.lit(1)), "id", "text", "source").collect()}
-    assert got == {**{i: False for i in range(len(WHOLE))}, **{len(WHOLE) + i: True for i in range(len(CUT))}, 903: False}
+@pytest.mark.parametrize("seed", [1, 2])
+def test_verdicts_equal_brute_force(spark, seed):
+    r = random.Random(seed)
+    sentences = ["The price moved up by 3.25 % today.", "Rows restored for ALPHA again.", "价格上涨了5元。", '{"p": "7.1", "q": 2}', "| a | 5 |", "Файл восстановлен.", "all done ✅", "– night desk", "#tag #alpha"]
+    texts = []
+    for _ in range(80):
+        t = " ".join(r.choice(sentences) for _ in range(r.randrange(1, 7)))
+        texts.append(t[: r.randrange(3, len(t))].rstrip() if r.random() < 0.3 else t)
+    texts += texts[:9]
+    df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "id long, text string, source string")
+    got = {x["doc"]: x["truncated"] for x in truncation.judged(df, "id", "text", "source").filter("decided_by = 'counts'").collect()}
+    want = _judged_by_hand(texts)
+    assert len(got) > 70 and got == {i: want[texts[i]] for i in got} and len(set(got.values())) == 2
 
 
 def test_counts_decide_where_the_form_does_not(spark):
@@ -110,9 +154,9 @@ def test_counts_decide_where_the_form_does_not(spark):
     rows += [(100 + i, f"{'abcdefgh'[i]}{i} rows restored for ALPHA", "heads") for i in range(8)]  # headlines end so
     rows += [(200 + i, f"Note {'abcdefgh'[i]} was read. #tag #alpha", "tags") for i in range(8)]
     cut = [(300, "Other words. The price mo", "b"), (301, "Other words. The price moved", "b"), (302, "Rows restored f", "b"), (303, "Note z was read. #tag #al", "b"), (304, "Note z was read. #tag", "b"), (305, "The price moved up by 3.", "b")]
-    got = {x["doc"]: x["truncated"] for x in truncation.judged(spark.createDataFrame(rows + cut, "id long, text string, source string"), "id", "text", "source").collect()}
+    got = {x["doc"]: x["truncated"] for x in truncation.judged(spark.createDataFrame(rows + cut, "id long, text string, source string"), "id", "text", "source", weight=5).collect()}
     assert {d for d, t in got.items() if t} == {c[0] for c in cut} and len(got) == len(rows + cut)
-    shares = {x["source"]: (x["texts"], x["truncated"]) for x in truncation.shares(truncation.judged(spark.createDataFrame(rows + cut, "id long, text string, source string"), "id", "text", "source")).collect()}
+    shares = {x["source"]: (x["texts"], x["truncated"]) for x in truncation.shares(truncation.judged(spark.createDataFrame(rows + cut, "id long, text string, source string"), "id", "text", "source", weight=5)).collect()}
     assert shares == {"a": (60, 0), "heads": (8, 0), "tags": (8, 0), "b": (6, 6)}
 
 
@@ -122,7 +166,7 @@ def test_reposts_of_one_text_count_once(spark):
     rows += [(100 + i, twice, "reposts") for i in range(2000)]
     rows += [(5000, "Price rows restored for BETA", "heads"), (5001, "Some rows restored for BETA", "heads"), (5002, "Old rows restored for BETA", "heads")]
     rows += [(6000 + i, "He had rows restored for BETA before noon.", "reposts") for i in range(2000)]
-    got = truncation.judged(spark.createDataFrame(rows, "id long, text string, source string"), "id", "text", "source")
+    got = truncation.judged(spark.createDataFrame(rows, "id long, text string, source string"), "id", "text", "source", weight=5)
     assert got.filter("truncated").count() == 0 and got.count() == len(rows)
 
 
