@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# What a manifest record does to the files it names.
 PUBLISH, REMOVE = ("", "NORMALIZED", "INGESTED", "COMPACTED"), ("SUPERSEDED", "DELETED")
 
 
@@ -38,41 +39,17 @@ def content_fingerprint(df: DataFrame, columns: Sequence[str], digits: int = 12,
 
 
 def references(manifest: DataFrame) -> DataFrame:
-    """One row per file a record names: ``object_id`` if it is a Parquet file, and each of ``created_parquets``.
+    """One row per file a record names: ``object_id`` if it is a Parquet file, then each of ``created_parquets``.
 
-    Hashes come from the array ``hashes`` by position, or its only element for all. Other
-    columns of the manifest stay.
+    Hashes come from the array ``hashes`` by position in that one list; files beyond its end have
+    none. Other columns of the manifest stay.
     """
-    named = F.when(F.col("object_id").endswith(".parquet"), F.array(F.struct(F.col("object_id").alias("ref"), F.try_element_at("hashes", F.lit(1)).alias("sha256"))))
-    created = F.transform("created_parquets", lambda r, i: F.struct(r.alias("ref"), F.coalesce(F.try_element_at("hashes", i + 1), F.try_element_at("hashes", F.lit(1))).alias("sha256")))
-    none = F.array().cast("array<struct<ref:string,sha256:string>>")
-    files = F.explode(F.array_distinct(F.concat(F.coalesce(named, none), F.coalesce(created, none)))).alias("__f")
-    return manifest.select("*", files).select(*(c for c in manifest.columns if c not in ("object_id", "created_parquets", "hashes")), F.col("__f.ref").alias("ref"), F.col("__f.sha256").alias("sha256"))
-
-
-def active(refs: DataFrame, generation: Sequence[str], cumulative: Column, partition: Column) -> DataFrame:
-    """The files in force: (ref, and the columns of its latest publishing record).
-
-    ``refs`` needs ref, action, seq and the generation columns. Per file the highest seq counts;
-    removed files and files whose name was ever quarantined are out. Of cumulative datasets only
-    the newest record per generation and ``partition`` counts, so partitions that a later batch
-    did not touch stay visible.
-    """
-    action = F.upper(F.coalesce("action", F.lit("")))
-    name = F.regexp_extract("ref", r"([^/]*)\z", 1)
-    rows = refs.withColumns({"__a": action, "__name": name, "__c": cumulative, "__p": partition})
-    quarantined = rows.filter("__a = 'QUARANTINED'").select("__name").distinct()
-    removed = rows.filter(F.col("__a").isin(*REMOVE)).groupBy("ref").agg(F.max("seq").alias("__gone"))
-    rest = [c for c in refs.columns if c not in ("ref", "seq")]
-    last = rows.filter(F.col("__a").isin(*PUBLISH)).groupBy("ref").agg(F.max(F.struct("seq", *rest, "__name", "__c", "__p")).alias("__r"))
-    live = last.select("ref", "__r.*").join(removed, "ref", "left").filter("__gone is null or __gone < seq").join(quarantined, "__name", "left_anti")
-    newest = live.filter("__c").groupBy(*generation, "__p").agg(F.max("seq").alias("__newest"))
-    keys = [live[c].eqNullSafe(newest[c]) for c in [*generation, "__p"]]
-    condition = keys[0]
-    for k in keys[1:]:
-        condition = condition & k
-    kept = live.join(newest, condition & (live["seq"] == newest["__newest"]), "left_semi")
-    return live.filter(~F.coalesce(F.col("__c"), F.lit(False))).unionByName(kept).select(*refs.columns)
+    none = F.array().cast("array<string>")
+    named = F.when(F.lower("object_id").endswith(".parquet"), F.array("object_id"))
+    listed = F.concat(F.coalesce(named, none), F.coalesce("created_parquets", none))
+    files = F.posexplode(listed).alias("__at", "ref")
+    rest = [c for c in manifest.columns if c not in ("object_id", "created_parquets", "hashes")]
+    return manifest.select(*rest, "hashes", files).select(*rest, "ref", F.try_element_at("hashes", F.col("__at") + 1).alias("sha256"))
 
 
 def with_active_source(derived: DataFrame, sources: DataFrame, source_hash: str, hash_column: str) -> DataFrame:

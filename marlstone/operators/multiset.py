@@ -48,3 +48,33 @@ def figures(multiset: DataFrame, keys: Sequence[str], value: str, count: str, pr
         shown(F.max(value)).alias(f"{prefix}max"),
         median.alias(f"{prefix}median"),
     )
+
+
+def quantiles(df: DataFrame, keys: Sequence[str], value: str, shares: Sequence[float]) -> DataFrame:
+    """(keys..., n, q0, q1, ...): exact quantiles of the known values, linear between neighbours, as doubles.
+
+    Counts of coarse classes of size (64 to a doubling) say in which class a rank falls, and only
+    the values of these classes are sorted; no key's values meet in one task.
+    """
+    v = F.col("__v")
+    size = F.floor(F.log2(F.abs(v)) * 64)
+    coarse = F.when(v == 0, F.lit(0)).when(v > 0, 100_000 + size).otherwise(-100_000 - size).cast("bigint")
+    rows = df.select(*keys, F.col(value).cast("double").alias("__v")).filter("__v is not null").withColumn("__c", coarse).groupBy(*keys, "__c", "__v").agg(F.count(F.lit(1)).alias("__n"))
+    classes = rows.groupBy(*keys, "__c").agg(F.sum("__n").alias("__n"))
+    order, whole = Window.partitionBy(*keys).orderBy("__c"), Window.partitionBy(*keys)
+    placed = classes.withColumns({"__upto": F.sum("__n").over(order.rowsBetween(Window.unboundedPreceding, 0)), "__of": F.sum("__n").over(whole)}).withColumn("__before", F.col("__upto") - F.col("__n"))
+    ranks = [(i, side, f(F.lit(q) * (F.col("__of") - 1)).cast("bigint")) for i, q in enumerate(shares) for side, f in (("lo", F.floor), ("hi", F.ceil))]
+    asked = placed.select(*keys, "__c", "__before", "__upto", "__of", F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), r.alias("rank")) for i, side, r in ranks))).alias("r"))
+    asked = asked.filter((F.col("r.rank") >= F.col("__before")) & (F.col("r.rank") < F.col("__upto")))
+    named = asked.select(*(F.col(k).alias(f"__k_{k}") for k in keys), F.col("__c").alias("__b"), "__before", "__of", "r")
+    same = F.col("__c") == F.col("__b")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+    inside = Window.partitionBy(*keys, "__c").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    met = rows.withColumn("__sum", F.sum("__n").over(inside)).join(named, same)
+    local = F.col("r.rank") - F.col("__before")
+    hit = met.filter((local < F.col("__sum")) & (local >= F.col("__sum") - F.col("__n")))
+    pick = lambda i, side: F.max(F.when((F.col("r.i") == i) & (F.col("r.side") == side), F.col("__v")))
+    ends = hit.groupBy(*keys).agg(F.max("__of").alias("n"), *(pick(i, s).alias(f"__{s}{i}") for i in range(len(shares)) for s in ("lo", "hi")))
+    between = lambda i, q: F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * (F.lit(q) * (F.col("n") - 1) - F.floor(F.lit(q) * (F.col("n") - 1)))
+    return ends.select(*keys, "n", *(between(i, q).alias(f"q{i}") for i, q in enumerate(shares)))

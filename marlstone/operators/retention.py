@@ -11,11 +11,12 @@ from marlstone.functions.scalars import path_time
 def aged(objects: DataFrame, coverage: DataFrame, modified: Column) -> DataFrame:
     """``objects`` (with ``ref``) plus aged_at and age_basis: manifest coverage by path, by file name, the path's date, or modification.
 
-    Of several coverage rows for a path or name the latest end counts.
+    ``coverage`` (ref, coverage_end) names files by path and by bare name (operators.audit); of
+    several rows for one the latest end counts.
     """
     name = F.regexp_extract("ref", r"([^/]*)\z", 1)
     by_path = coverage.groupBy("ref").agg(F.max("coverage_end").alias("__by_path"))
-    by_name = coverage.groupBy(name.alias("__name")).agg(F.max("coverage_end").alias("__by_name"))
+    by_name = coverage.filter(~F.col("ref").contains("/")).groupBy(F.col("ref").alias("__name")).agg(F.max("coverage_end").alias("__by_name"))
     joined = objects.withColumn("__name", name).join(by_path, "ref", "left").join(by_name, "__name", "left").withColumn("__by_date", path_time(F.col("ref")))
     basis = F.when(F.col("__by_path").isNotNull(), "MANIFEST_PATH").when(F.col("__by_name").isNotNull(), "MANIFEST_NAME").when(F.col("__by_date").isNotNull(), "PATH_DATE").otherwise("MODIFIED")
     return joined.withColumns({"age_basis": basis, "aged_at": F.coalesce("__by_path", "__by_name", "__by_date", modified)}).drop("__name", "__by_path", "__by_name", "__by_date")

@@ -9,28 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marlstone.functions import normalize, scalars
-from marlstone.operators import asof, buckets, features, merge, quality, reconcile, retention, sequence
+from marlstone.operators import asof, audit, buckets, features, merge, quality, reconcile, retention, sequence
+from marlstone.plans.registry import Registry
 from marlstone.session import scratch
 from marlstone.sources.tables import table
 from marlstone.streaming import jobs
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+registry = Registry()
+query, QUERIES, ORACLE = registry.query, registry.queries, registry.sql
 HOUR = 3600
 
 
-def query(sql: str | None = None):
-    """Register a query under its function's name, with its SQL if SQL can say it."""
-
-    def add(fn: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[fn.__name__] = fn
-        if sql is not None:
-            ORACLE[fn.__name__] = sql
-        return fn
-
-    return add
-
-
 def dbl(c: str | Column, digits: int = 6) -> Column:
     return F.round((F.col(c) if isinstance(c, str) else c).cast("double"), digits)
 
@@ -321,30 +310,13 @@ def latest_records(spark: SparkSession, folder: str) -> DataFrame:
     return sequence.latest(rows, ["path"], ["manifest_record_number"])
 
 
-@query(f"""with e as (select {PLAIN_SQL} as ref, manifest_record_number as seq, coalesce(dataset_class, '') as class, coalesce(symbol, '') as symbol, case manifest_record_number % 23 when 0 then 'SUPERSEDED' when 1 then 'QUARANTINED' else 'NORMALIZED' end as action from active_artifact),
-  p as (select ref, max(seq) as seq, arg_max(class, seq) as class, arg_max(symbol, seq) as symbol from e where action = 'NORMALIZED' group by 1),
-  g as (select ref, max(seq) as gone from e where action = 'SUPERSEDED' group by 1), q as (select distinct regexp_extract(ref, '([^/]*)$', 1) as name from e where action = 'QUARANTINED'),
-  l as (select p.* from p left join g using (ref) where (gone is null or gone < seq) and regexp_extract(ref, '([^/]*)$', 1) not in (select name from q)),
-  n as (select *, max(seq) over (partition by class, symbol, regexp_extract(ref, 'date=([^/]*)', 1)) as newest from l)
-  select ref, seq from n where class <> 'open_interest' or seq = newest""")
-def active_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Files in force, with every 23rd record taken as a removal and the next as a quarantine."""
-    from marlstone.operators.compaction import plain_path
-
-    seq = F.col("manifest_record_number")
-    action = F.when(seq % 23 == 0, "SUPERSEDED").when(seq % 23 == 1, "QUARANTINED").otherwise("NORMALIZED")
-    rows = table(spark, folder, "active_artifact", "relative_path", "manifest_record_number", "dataset_class", "symbol")
-    refs = rows.select(plain_path(F.col("relative_path")).alias("ref"), action.alias("action"), seq.alias("seq"), F.coalesce("dataset_class", F.lit("")).alias("class"), F.coalesce("symbol", F.lit("")).alias("symbol"))
-    found = merge.active(refs, ["class", "symbol"], F.col("class") == "open_interest", F.regexp_extract("ref", "date=([^/]*)", 1))
-    return found.select("ref", "seq")
-
-
 def _halves(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """All orders as they were, and a changed copy of those that were filled since."""
     rows = table(spark, folder, "orders", "o_orderkey", "o_orderstatus", "o_custkey")
-    return rows.filter("o_orderkey % 3 <> 0").withColumn("v", F.concat(F.lit("old-"), "o_orderstatus")), rows.filter("o_orderkey % 2 = 0").withColumn("v", F.concat(F.lit("new-"), "o_orderstatus"))
+    return rows.withColumn("v", F.concat(F.lit("old-"), "o_orderstatus")), rows.filter("o_orderstatus = 'F'").withColumn("v", F.concat(F.lit("new-"), "o_orderstatus"))
 
 
-MERGE_SQL = """with u as (select o_orderkey, 'old-' || o_orderstatus as v, 0 as side from orders where o_orderkey % 3 <> 0 union all select o_orderkey, 'new-' || o_orderstatus, 1 from orders where o_orderkey % 2 = 0)
+MERGE_SQL = """with u as (select o_orderkey, 'old-' || o_orderstatus as v, 0 as side from orders union all select o_orderkey, 'new-' || o_orderstatus, 1 from orders where o_orderstatus = 'F')
   select o_orderkey, arg_{f}(v, side) as v from u group by 1"""
 
 
@@ -443,19 +415,10 @@ def overlap_conflicts(spark: SparkSession, folder: str) -> DataFrame:
     return reconcile.overlap_conflicts(one(rows.filter("source_method = 'archive'")), one(rows.filter("source_method <> 'archive'")), ["instrument_id", "open_ms"], fields)
 
 
-@query("""with m as (select native_symbol, epoch_us(event_time) // 300000000 as slot, avg(cast(price as double)) filter (exchange = 'binance') as a, avg(cast(price as double)) filter (exchange = 'bybit') as b from archive_trade where market_type = 'spot' and native_symbol = 'BTCUSDT' group by 1, 2)
-  select count(*) as slots, round(min(a / b), 9) as lowest, round(median(a / b), 9) as median, round(max(a / b), 9) as highest from m where a is not null and b is not null and b <> 0""")
-def venue_ratio(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "archive_trade", "exchange", "market_type", "native_symbol", "event_time", "price").filter("market_type = 'spot' and native_symbol = 'BTCUSDT'")
-    slot = F.expr("unix_micros(event_time) div 300000000")
-    found = reconcile.ratios(rows.select("exchange", slot.alias("slot"), F.col("price").cast("double").alias("price")), "slot", "exchange", "binance", "bybit", "price")
-    return rounded(found, "lowest", "median", "highest", digits=9)
-
-
 @query("""with m as (select market_type, native_symbol, epoch_us(event_time) // 300000000 as slot, avg(cast(price as double)) filter (exchange = 'binance') as a, avg(cast(price as double)) filter (exchange = 'bybit') as b from archive_trade group by 1, 2, 3)
   select market_type, native_symbol, count(*) as slots, round(min(a / b), 9) as lowest, round(median(a / b), 9) as median, round(max(a / b), 9) as highest from m where a is not null and b is not null and b <> 0 group by 1, 2""")
 def venue_ratios(spark: SparkSession, folder: str) -> DataFrame:
-    """venue_ratio for every market and symbol."""
+    """How prices of the two venues relate, for every market and symbol."""
     rows = table(spark, folder, "archive_trade", "exchange", "market_type", "native_symbol", "event_time", "price")
     slot = F.expr("unix_micros(event_time) div 300000000")
     found = reconcile.ratios(rows.select("exchange", "market_type", "native_symbol", slot.alias("slot"), F.col("price").cast("double").alias("price")), "slot", "exchange", "binance", "bybit", "price", ["market_type", "native_symbol"])
@@ -503,18 +466,21 @@ def known_by_decision(spark: SparkSession, folder: str) -> DataFrame:
 # Retention --------------------------------------------------------------------------------
 
 
-@query(f"""with f as (select {PLAIN_SQL} as ref, max(epoch_us(published_at)) as seen from active_artifact group by 1),
-  d as (select *, regexp_extract(ref, 'date=([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})', 1) as day from f),
-  a as (select ref, case when day <> '' then epoch_us(cast(day as timestamp)) + 86399000000 else seen end as aged_us, case when day <> '' then 'PATH_DATE' else 'MODIFIED' end as age_basis from d)
+@query(f"""with r as (select {PLAIN_SQL} as ref, manifest_path as m, manifest_record_number as n, epoch_us(published_at) as seen, n_rows from active_artifact),
+  f as (select ref, max(seen) as seen from r group by 1), i as (select k as key, arg_max(seen, (m, n)) as covered from (select unnest([ref, regexp_extract(ref, '([^/]*)$', 1)]) as k, m, n, seen from r where n_rows > 4) group by 1),
+  d as (select f.*, a.covered as by_path, b.covered as by_name, regexp_extract(ref, 'date=([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})', 1) as day from f left join i a on a.key = f.ref left join i b on b.key = regexp_extract(f.ref, '([^/]*)$', 1)),
+  a as (select ref, coalesce(by_path, by_name, case when day <> '' then epoch_us(cast(day as timestamp)) + 86399000000 end, seen) as aged_us, case when by_path is not null then 'MANIFEST_PATH' when by_name is not null then 'MANIFEST_NAME' when day <> '' then 'PATH_DATE' else 'MODIFIED' end as age_basis from d)
   select age_basis, case when aged_us < epoch_us(timestamp '2021-03-02 12:00:00') - 86400000000 then case when ref like 'normalized/individual_trade/v1/exchange=bybit/%' then 'HELD' else 'DELETE' end else 'KEEP' end as decision, count(*) as files from a group by 1, 2""")
 def retention_plan(spark: SparkSession, folder: str) -> DataFrame:
-    """Files older than a day on a fixed date, with one folder on hold."""
+    """Files older than a day on a fixed date, with one folder on hold; records of more than four rows state what their files cover."""
     from marlstone.operators.compaction import plain_path
 
-    rows = table(spark, folder, "active_artifact", "relative_path", "published_at").groupBy(plain_path(F.col("relative_path")).alias("ref")).agg(F.max("published_at").alias("published_at"))
-    none = spark.createDataFrame([], "ref string, coverage_end timestamp")
+    rows = table(spark, folder, "active_artifact", "relative_path", "published_at", "manifest_path", "manifest_record_number", "n_rows").withColumn("ref", plain_path(F.col("relative_path")))
+    files = rows.groupBy("ref").agg(F.max("published_at").alias("published_at"))
+    none = F.lit(None).cast("string")
+    covered = rows.filter("n_rows > 4").select(F.col("manifest_path").alias("manifest"), F.col("manifest_record_number").alias("number"), F.col("ref").alias("object_id"), none.alias("raw_object_ref"), none.alias("artifact_ref"), F.col("published_at").alias("coverage_end"))
     holds = spark.createDataFrame([("normalized/individual_trade/v1/exchange=bybit/",)], "hold string")
-    planned = retention.candidates(retention.aged(rows, none, F.col("published_at")), holds, F.lit("2021-03-02 12:00:00").cast("timestamp"), 1)
+    planned = retention.candidates(retention.aged(files, audit.coverage_index(covered), F.col("published_at")), holds, F.lit("2021-03-02 12:00:00").cast("timestamp"), 1)
     return planned.groupBy("age_basis", "decision").agg(F.count(F.lit(1)).alias("files"))
 
 

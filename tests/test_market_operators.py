@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from marlstone.functions import normalize, scalars
 from marlstone.operators import asof, buckets, features, merge, quality, reconcile, retention, sequence
 from marlstone.session import scratch
-from marlstone.sources import archives, pages
+from marlstone.sources import archives, catalog, pages
 from marlstone.streaming import jobs
 
 TRADES = "k string, event_us bigint, price decimal(38,18), quantity decimal(38,18), side string, source_ordinal bigint, native_trade_id string"
@@ -134,10 +134,12 @@ def test_active_files(spark, rows):
         ("b.parquet", None, ["h4"], "INGESTED", 4, "t"), ("x/c.parquet", None, None, "QUARANTINED", 5, "t"), ("y=1/o.parquet", None, None, "COMPACTED", 6, "oi"), ("y=1/p.parquet", None, None, "COMPACTED", 7, "oi"), ("y=2/o2.parquet", None, None, "COMPACTED", 5, "oi"),
     ], schema)
     refs = merge.references(log)
-    found = merge.active(refs, ["cls"], F.col("cls") == "oi", F.regexp_extract("ref", "y=(.)", 1))
-    assert rows(found.select("ref", "sha256")) == sorted([("b.parquet", "h4"), ("y=1/p.parquet", None), ("y=2/o2.parquet", None)], key=repr)
+    assert rows(refs.select("seq", "ref", "sha256").filter("seq <= 2")) == [(1, "a.parquet", "h1"), (2, "b.parquet", "h2"), (2, "c.parquet", "h3")]
+    both = spark.createDataFrame([("a.parquet", ["b.parquet", "c.parquet", "d.parquet"], ["h1", "h2"])], "object_id string, created_parquets array<string>, hashes array<string>")
+    assert rows(merge.references(both)) == sorted([("a.parquet", "h1"), ("b.parquet", "h2"), ("c.parquet", None), ("d.parquet", None)], key=repr)
     files = spark.createDataFrame([("b.parquet", "other")], "ref string, sha256 string")
-    assert rows(merge.broken_references(found, files)) == [("b.parquet", "hash_mismatch"), ("y=1/p.parquet", "missing"), ("y=2/o2.parquet", "missing")]
+    listed = spark.createDataFrame([("b.parquet", "h4"), ("y.parquet", None)], "ref string, sha256 string")
+    assert rows(merge.broken_references(listed, files)) == [("b.parquet", "hash_mismatch"), ("y.parquet", "missing")]
 
 
 def test_quality(spark, rows):
@@ -157,7 +159,7 @@ def test_retention(spark, rows):
     now = F.lit("2021-04-30 00:00:00").cast("timestamp")
     day = lambda n: dt.datetime(2021, 4, 30) - dt.timedelta(days=n)
     objects = spark.createDataFrame([(f"d/{n}.parquet", day(n)) for n in (3, 44, 45, 46)] + [("held/x", day(99)), ("e/held.parquet", day(99)), ("n", None)], "ref string, modified timestamp")
-    aged = retention.aged(objects, spark.createDataFrame([("z/46.parquet", day(46))], "ref string, coverage_end timestamp"), F.col("modified"))
+    aged = retention.aged(objects, spark.createDataFrame([("z/46.parquet", day(46)), ("46.parquet", day(46))], "ref string, coverage_end timestamp"), F.col("modified"))
     assert dict(rows(aged.select("ref", "age_basis")))["d/46.parquet"] == "MANIFEST_NAME"
     holds = spark.createDataFrame([("held/",), ("e/held.parquet",), ("held",)], "hold string")
     got = dict(rows(retention.candidates(aged, holds, now, 45).select("ref", "decision")))
@@ -221,7 +223,7 @@ def test_archives(spark, rows, tmp_path):
     spark.range(2).withColumn("x", F.lit("y")).write.parquet(str(tmp_path / "p2"))
     assert sorted(archives.parquet_union(spark, [str(tmp_path / "p1"), str(tmp_path / "p2")]).columns) == ["filename", "id", "x"]
     assert archives.parquet_union(spark, [], T.StructType([T.StructField("id", T.LongType())])).columns == ["id", "filename"]
-    assert archives.inventory(spark, str(tmp_path), "*.jsonl").count() == 1
+    assert catalog.inventory(spark, str(tmp_path), "*.jsonl").count() == 1
 
 
 def test_recorded_pages(spark, tmp_path):
