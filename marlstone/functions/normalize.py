@@ -7,7 +7,7 @@ venue doesn't publish is null, never zero.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,10 +57,15 @@ def candle_rules(step_us: int = 60_000_000) -> Mapping[str, Column]:
     }
 
 
-def archive_trades(rows: DataFrame, unit: str) -> DataFrame:
-    """Individual trades (id, price, qty, quote_qty, time, is_buyer_maker[, is_best_match] as text): the buyer being maker is a SELL."""
-    best = S.loose_boolean(F.col("is_best_match")) if "is_best_match" in rows.columns else F.lit(False)
-    maker = S.loose_boolean(F.col("is_buyer_maker"))
+def archive_trades(rows: DataFrame, unit: str, strict: bool = False) -> DataFrame:
+    """Individual trades (id, price, qty, quote_qty, time, is_buyer_maker[, is_best_match] as text): the buyer being maker is a SELL.
+
+    With ``strict`` truth values must be exactly True or False; else any letter case will do.
+    Others are null, and so is the side; :func:`trade_rules` says which rows to refuse.
+    """
+    truth = S.strict_boolean if strict else S.loose_boolean
+    best = truth(F.col("is_best_match")) if "is_best_match" in rows.columns else F.lit(False)
+    maker = truth(F.col("is_buyer_maker"))
     price, quantity = S.positive(F.col("price")), S.positive(F.col("qty"))
     quote = S.positive(F.col("quote_qty")) if "quote_qty" in rows.columns else S.product(price, quantity)
     side = F.when(maker, "SELL").when(~maker, "BUY").otherwise("UNKNOWN")
@@ -73,24 +78,56 @@ def archive_trades(rows: DataFrame, unit: str) -> DataFrame:
     )
 
 
-def venue_trades(rows: DataFrame) -> DataFrame:
+def trade_rules(day: str | None = None) -> Mapping[str, Column]:
+    """What an individual trade must meet; with ``day`` its event must lie on that day (UTC)."""
+    c = F.col
+    rules = {
+        "id": c("native_trade_id").isNotNull(), "price": c("price") > 0, "quantity": c("quantity") > 0, "quote": c("quote_quantity") > 0,
+        "side": c("taker_side").isin("BUY", "SELL"), "time": c("event_time").isNotNull(),
+    }
+    return rules | ({"of_the_day": F.coalesce(F.to_date("event_time") == F.to_date(F.lit(day)), F.lit(False))} if day else {})
+
+
+def closed_by(cutoff: Column, open_time: Column | None = None, close_time: Column | None = None, step_us: int = 60_000_000) -> Column:
+    """Whether a candle is final at the cut-off: it closed before, or its whole step had passed by then."""
+    if close_time is not None:
+        return F.coalesce(close_time < cutoff, F.lit(False))
+    return F.coalesce(F.unix_micros(open_time) + step_us <= F.unix_micros(cutoff), F.lit(False))
+
+
+def second_version(candles: DataFrame, interval: str = "interval", schema_version: str = "2.1.0") -> DataFrame:
+    """Candles of the first schema version in the second: what the venue stated goes to source_*, what it didn't is null.
+
+    Intervals are ISO 8601, derivatives are perpetuals; the second version's own fields are added.
+    """
+    none = lambda t="string": F.lit(None).cast(t)
+    iso = F.when(F.col(interval).rlike("^[0-9]+m$"), F.concat(F.lit("PT"), F.upper(interval))).when(F.col(interval).rlike("^[0-9]+h$"), F.concat(F.lit("PT"), F.upper(interval))).when(F.col(interval).rlike("^[0-9]+d$"), F.concat(F.lit("P"), F.upper(interval)))
+    market = F.when(F.col("market_type") == "derivative", "perpetual").otherwise(F.col("market_type"))
+    return candles.withColumns({
+        "interval": iso, "market_type": market, "schema_version": F.lit(schema_version), "candle_source": F.lit("exchange"), "source_volume": F.col("base_volume"), "source_turnover": F.col("quote_volume"),
+        "aggregation_version": none(), "source_revision_id": none(), "exchange_timestamp": none("timestamp"), "source_published_at": none("timestamp"), "clock_offset_ms": none("bigint"), "ingestion_run_id": none(),
+        "dq_flags": F.array().cast("array<string>"),
+    })
+
+
+def venue_trades(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Trades under either set of names (id/trdMatchID, volume/size, ms or fractional seconds); unknown sides are flagged."""
     has = lambda *names: F.coalesce(*(F.col(n).cast("string") for n in names if n in rows.columns))
     price, quantity, side = S.positive(F.col("price")), S.positive(has("volume", "size")), S.taker_side(F.col("side"))
     stamp = F.col("timestamp").cast("string")
     us = F.when(stamp.contains("."), S.float_seconds_us(stamp)).otherwise(stamp.try_cast("bigint") * 1000)
     return rows.select(
-        has("id", "trdMatchID").alias("native_trade_id"), F.timestamp_micros(us).alias("event_time"), price.alias("price"), quantity.alias("quantity"),
+        *keep, has("id", "trdMatchID").alias("native_trade_id"), F.timestamp_micros(us).alias("event_time"), price.alias("price"), quantity.alias("quantity"),
         S.product(price, quantity).alias("quote_quantity"), side.alias("taker_side"), S.signed(quantity, side).alias("signed_quantity"),
         F.array_compact(F.array(F.when(side == "UNKNOWN", F.lit("UNKNOWN_TAKER_SIDE")))).alias("dq_flags"),
     )
 
 
-def aggregate_trades(rows: DataFrame, unit: str) -> DataFrame:
+def aggregate_trades(rows: DataFrame, unit: str, keep: Sequence[str] = ()) -> DataFrame:
     """Exchange-aggregated trades (agg_id, price, qty, first_id, last_id, time, is_buyer_maker as text), a class of their own."""
     maker, price, quantity = S.loose_boolean(F.col("is_buyer_maker")), S.positive(F.col("price")), S.positive(F.col("qty"))
     return rows.select(
-        F.lit("exchange_aggregate_trade").alias("dataset_class"), F.col("agg_id").alias("aggregate_trade_id"),
+        *keep, F.lit("exchange_aggregate_trade").alias("dataset_class"), F.col("agg_id").alias("aggregate_trade_id"),
         F.col("first_id").try_cast("bigint").alias("first_trade_id"), F.col("last_id").try_cast("bigint").alias("last_trade_id"),
         S.epoch(F.col("time").try_cast("bigint"), unit).alias("event_time"), price.alias("price"), quantity.alias("quantity"), S.product(price, quantity).alias("quote_quantity"),
         F.when(maker, "SELL").when(~maker, "BUY").otherwise("UNKNOWN").alias("taker_side"),

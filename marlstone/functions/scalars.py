@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -160,11 +160,38 @@ def path_time(path: Column) -> Column:
     return F.coalesce(full, end_of(F.regexp_extract(name, r"([0-9]{4}-[0-9]{2}-[0-9]{2})", 1)), end_of(F.regexp_extract(path, r"date=([0-9]{4}-[0-9]{2}-[0-9]{2})", 1)))
 
 
-def redacted(text: Column, keys: Sequence[str], mask: str = "***") -> Column:
-    """JSON or key=value text with the values of the named keys masked."""
-    names = "|".join(keys)
-    quoted = F.regexp_replace(text, rf'(?i)("(?:{names})"\s*:\s*")(?:[^"\\]|\\.)*"', f'$1{mask}"')
-    return F.regexp_replace(quoted, rf"(?i)\b({names})=[^\s&,;]+", f"$1={mask}")
+def redacted(text: Column, keys: Sequence[str], mask: str = "***", known: Sequence[str] = ()) -> Column:
+    """JSON or key=value text with the values of the named keys, at any depth, and every known secret masked.
+
+    Keys are compared in any letter case; of JSON values texts and numbers are masked.
+    """
+    import re
+
+    names = "|".join(re.escape(k) for k in keys)
+    out = text
+    if keys:
+        out = F.regexp_replace(out, rf'(?i)("(?:{names})"\s*:\s*")(?:[^"\\]|\\.)*"', f'$1{mask}"')
+        out = F.regexp_replace(out, rf'(?i)("(?:{names})"\s*:\s*)-?[0-9][0-9.eE+-]*', f'$1"{mask}"')
+        out = F.regexp_replace(out, rf"(?i)\b({names})=[^\s&,;]+", f"$1={mask}")
+    for secret in known:
+        out = F.replace(out, F.lit(secret), F.lit(mask))
+    return out
+
+
+def log_line(fields: Mapping[str, Column]) -> Column:
+    """A log event as JSON with exactly these fields in this order, nulls included."""
+    return F.to_json(F.struct(*(c.alias(n) for n, c in fields.items())), {"ignoreNullFields": "false"})
+
+
+def located(rows: DataFrame, messages: DataFrame, fallback: str) -> DataFrame:
+    """``rows`` (locale, key, ...) with the ``message`` of their locale, else of the fallback's, else null.
+
+    ``messages`` (locale, key, template) is a small table; of several templates the largest counts.
+    """
+    one = messages.groupBy("locale", "key").agg(F.max("template").alias("template"))
+    own = one.select("locale", "key", F.col("template").alias("__own"))
+    other = one.filter(F.col("locale") == fallback).select("key", F.col("template").alias("__other"))
+    return rows.join(F.broadcast(own), ["locale", "key"], "left").join(F.broadcast(other), "key", "left").withColumn("message", F.coalesce("__own", "__other")).drop("__own", "__other")
 
 
 def dataset_class(declared: Column, path: Column, aliases: Mapping[str, str], patterns: Sequence[tuple[str, str]]) -> Column:

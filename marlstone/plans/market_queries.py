@@ -539,6 +539,65 @@ def key_sets(spark: SparkSession, folder: str) -> DataFrame:
 
 # Streams ----------------------------------------------------------------------------------
 
+BATCHES, DELAY_US = 6, 1_800_000_000
+#: Rows by intake batch, with the watermark under which a batch's late rows are dropped: that of the batch before, which knows all batches but the last two.
+LATE_SQL = """b as (select *, cast(floor((o - (select min(o) from r)) * {n} / ((select max(o) - min(o) + 1 from r))) as bigint) as b from r),
+  w as (select k, (select max(u) from b where b <= k - 2) - {d} as w, (select max(u) from b) - {d} as last from (select unnest(generate_series(0, {n} - 1)) as k)), l as (select b.*, w.w, w.last from b join w on b.b = w.k)""".replace("{n}", str(BATCHES)).replace("{d}", str(DELAY_US))
+EVENTS_SQL = "r as (select event_id as o, event_type, user_id, value, epoch_us(ts) as u from events)"
+
+
+def _staged(spark: SparkSession, rows: DataFrame, order: str, purpose: str) -> tuple[DataFrame, str]:
+    """The rows as a stream of a few intake batches, one a trigger, and a folder for what is made of them."""
+    root = scratch(spark, purpose)
+    schema = jobs.staged(rows, order, BATCHES, f"{root}/in")
+    return jobs.file_stream(spark, f"{root}/in", schema, 1), root
+
+
+def _events(spark: SparkSession, folder: str, purpose: str) -> tuple[DataFrame, str]:
+    return _staged(spark, table(spark, folder, "events", "event_id", "event_type", "user_id", "value", "ts"), "event_id", purpose)
+
+
+@query(f"""with {EVENTS_SQL}, {LATE_SQL} select event_type, u - u % 3600000000 as window_us, count(*) as n, round(sum(value), 4) as total, min(value) as lowest, max(value) as highest from l where u - u % 3600000000 + 3600000000 > coalesce(w, 0) and u - u % 3600000000 + 3600000000 <= last group by 1, 2""")
+def stream_tumbling(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly windows in append mode: late rows beyond the watermark are dropped, windows it hasn't passed stay open."""
+    stream, root = _events(spark, folder, "tumbling")
+    made = jobs.drained(jobs.tumbling(stream, "ts", ["event_type"], "value", "1 hour", "30 minutes"), f"{root}/out", f"{root}/checkpoint")
+    return made.select("event_type", F.unix_micros("window.start").alias("window_us"), "n", dbl("total", 4).alias("total"), "lowest", "highest")
+
+
+@query(f"""with {EVENTS_SQL}, {LATE_SQL}, x as (select l.*, unnest([u - u % 1800000000, u - u % 1800000000 - 1800000000]) as window_us from l) select event_type, window_us, count(*) as n from x where window_us + 3600000000 > coalesce(w, 0) and window_us + 3600000000 <= last group by 1, 2""")
+def stream_sliding(spark: SparkSession, folder: str) -> DataFrame:
+    stream, root = _events(spark, folder, "sliding")
+    made = jobs.drained(jobs.sliding(stream, "ts", ["event_type"], "1 hour", "30 minutes", "30 minutes"), f"{root}/out", f"{root}/checkpoint")
+    return made.select("event_type", F.unix_micros("window.start").alias("window_us"), "n")
+
+
+ORDERS_STREAM_SQL = "r as (select ingest_seq as o, instrument_id, source_side as side, try_cast(source_price as decimal(38,18)) as price, try_cast(source_quantity as decimal(38,18)) as quantity, epoch_us(event_time) as u from liquidation where event_time is not null and try_cast(source_price as decimal(38,18)) is not null and try_cast(source_quantity as decimal(38,18)) is not null)"
+
+
+@query(f"""with {ORDERS_STREAM_SQL}, {LATE_SQL} select instrument_id, u - u % 300000000 as bucket_us, count(*) as trade_count, count(*) filter (side = 'BUY') as buy_count, count(*) filter (side = 'SELL') as sell_count, round(cast(arg_min(price, (u, price, quantity)) as double), 6) as open, round(cast(max(price) as double), 6) as high, round(cast(min(price) as double), 6) as low,
+  round(cast(arg_max(price, (u, price, quantity)) as double), 6) as close, round(cast(sum(quantity) as double), 6) as base_volume, round(cast(coalesce(sum(quantity) filter (side = 'BUY'), 0) - coalesce(sum(quantity) filter (side = 'SELL'), 0) as double), 6) as base_delta
+  from l where u - u % 300000000 + 300000000 > coalesce(w, 0) and u - u % 300000000 + 300000000 <= last group by 1, 2""")
+def stream_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    """Five-minute buckets of forced orders as they come in, with what is too late left out."""
+    number = lambda c: F.expr(f"try_cast({c} as decimal(38,18))")
+    rows = table(spark, folder, "liquidation", "ingest_seq", "instrument_id", "event_time", F.col("source_side").alias("side"), number("source_price").alias("price"), number("source_quantity").alias("quantity")).filter("event_time is not null and price is not null and quantity is not null")
+    stream, root = _staged(spark, rows, "ingest_seq", "buckets")
+    made = jobs.drained(jobs.tumbling_buckets(stream, "event_time", ["instrument_id"], 300, "30 minutes"), f"{root}/out", f"{root}/checkpoint")
+    shown = made.select("instrument_id", F.unix_micros("window.start").alias("bucket_us"), "trade_count", "buy_count", "sell_count", "open", "high", "low", "close", "base_volume", "base_delta")
+    return rounded(shown, "open", "high", "low", "close", "base_volume", "base_delta")
+
+
+@query("""select instrument_id, count(*) as raw, count(*) filter (event_time is not null and try_cast(source_quantity as decimal(38,18)) > 0) as normalised from liquidation group by 1""")
+def stream_capture(spark: SparkSession, folder: str) -> DataFrame:
+    """Every batch written raw, then normalised; a run that breaks off goes on from its checkpoint."""
+    stream, root = _staged(spark, table(spark, folder, "liquidation", "ingest_seq", "instrument_id", "event_time", "source_quantity"), "ingest_seq", "capture")
+    usable = lambda df: df.filter("event_time is not null and try_cast(source_quantity as decimal(38,18)) > 0")
+    for _ in range(2):  # the second run finds nothing new
+        jobs.capture(stream, f"{root}/raw", f"{root}/normalised", usable, f"{root}/checkpoint").awaitTermination()
+    count = lambda name: spark.read.parquet(f"{root}/{name}").groupBy("instrument_id").agg(F.count(F.lit(1)).alias(name))
+    return count("raw").join(count("normalised"), "instrument_id", "left").select("instrument_id", "raw", F.coalesce("normalised", F.lit(0)).alias("normalised"))
+
 
 def _stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table's files as a stream; a single file is streamed from its folder under its own name."""
@@ -562,18 +621,6 @@ def _drained(spark: SparkSession, made: DataFrame, purpose: str) -> DataFrame:
     return spark.read.parquet(f"{root}/result-{last}")
 
 
-@query("""select event_type, epoch_us(ts) - epoch_us(ts) % 3600000000 as window_us, count(*) as n, round(sum(value), 4) as total, min(value) as lowest, max(value) as highest from events group by 1, 2""")
-def stream_tumbling(spark: SparkSession, folder: str) -> DataFrame:
-    made = jobs.tumbling(_stream(spark, folder, "events"), "ts", ["event_type"], "value", "1 hour", "60 days")
-    return _drained(spark, made, "tumbling").select("event_type", F.unix_micros("window.start").alias("window_us"), "n", dbl("total", 4).alias("total"), "lowest", "highest")
-
-
-@query("""with w as (select unnest([epoch_us(ts) - epoch_us(ts) % 1800000000, epoch_us(ts) - epoch_us(ts) % 1800000000 - 1800000000]) as window_us, event_type from events) select event_type, window_us, count(*) as n from w group by 1, 2""")
-def stream_sliding(spark: SparkSession, folder: str) -> DataFrame:
-    made = jobs.sliding(_stream(spark, folder, "events"), "ts", ["event_type"], "1 hour", "30 minutes", "60 days")
-    return _drained(spark, made, "sliding").select("event_type", F.unix_micros("window.start").alias("window_us"), "n")
-
-
 @query("""with l as (select user_id, ts, coalesce(epoch_us(ts) - epoch_us(lag(ts) over (partition by user_id order by ts)) >= 14400000000, true) as opens from events), s as (select *, sum(opens::int) over (partition by user_id order by ts) as no from l)
   select user_id, epoch_us(min(ts)) as start_us, count(*) as n from s group by user_id, no""")
 def stream_sessions(spark: SparkSession, folder: str) -> DataFrame:
@@ -583,12 +630,11 @@ def stream_sessions(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("""select dedup_fingerprint, count(*) as n from (select distinct dedup_fingerprint from liquidation where dedup_fingerprint is not null and received_at is not null) group by 1""")
 def stream_replays(spark: SparkSession, folder: str) -> DataFrame:
-    """Forced orders without exact replays within a watermark that spans the data."""
-    rows = _stream(spark, folder, "liquidation").select("dedup_fingerprint", "received_at").filter("dedup_fingerprint is not null and received_at is not null")
-    root = scratch(spark, "replays")
-    kept = jobs.without_replays(rows, "received_at", ["dedup_fingerprint"], "400 days")
-    kept.writeStream.outputMode("append").format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema("dedup_fingerprint string, received_at timestamp").parquet(f"{root}/out").groupBy("dedup_fingerprint").agg(F.count(F.lit(1)).alias("n"))
+    """Forced orders without exact replays, over several intake batches, within a watermark that spans the data."""
+    rows = table(spark, folder, "liquidation", "ingest_seq", "dedup_fingerprint", "received_at").filter("dedup_fingerprint is not null and received_at is not null")
+    stream, root = _staged(spark, rows, "ingest_seq", "replays")
+    kept = jobs.drained(jobs.without_replays(stream, "received_at", ["dedup_fingerprint"], "400 days"), f"{root}/out", f"{root}/checkpoint")
+    return kept.groupBy("dedup_fingerprint").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""with p as (select instrument_id, epoch_us(event_time) - epoch_us(event_time) % 300000000 as period_us, epoch_us(coalesce(knowledge_time, received_at)) - (epoch_us(event_time) - epoch_us(event_time) % 300000000) - 300000000 as delay from liquidation where event_time is not null and coalesce(knowledge_time, received_at) is not null)

@@ -89,7 +89,7 @@ def verified(spark: SparkSession, path: str, pattern: str = "*.zip", suffix: str
 def gzip_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """Headed gzip CSV as text columns, with the file's path; the header must name the columns in order."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return spark.read.option("header", True).option("enforceSchema", False).schema(schema).csv(path).withColumn("path", F.col("_metadata.file_path"))
+    return spark.read.options(header=True, enforceSchema=False, columnPruning=False, escape='"').schema(schema).csv(path).withColumn("path", F.col("_metadata.file_path"))
 
 
 def json_lines(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

@@ -136,7 +136,7 @@ def inventory(spark: SparkSession, path: str, pattern: str = "*", hashed: bool =
             for name in b.column(0).to_pylist():
                 fs, at = file_system(name)
                 h = hashlib.sha256()
-                with fs.open_input_stream(at) as f:
+                with fs.open_input_stream(at, compression=None) as f:
                     while part := f.read(1 << 20):
                         h.update(part)
                 found.append(h.hexdigest())

@@ -79,7 +79,7 @@ class _Reader(DataSourceReader):
         found: dict[int, str] = {}
         for info in sorted(source.get_file_info(fs.FileSelector(base)), key=lambda i: i.path):
             if info.is_file and info.path.endswith(".json"):
-                with source.open_input_stream(info.path) as f:
+                with source.open_input_stream(info.path, compression=None) as f:
                     for record in json.loads(f.read())["list"]:
                         at = int(record[self.field] if self.field else record[0])
                         text = json.dumps(record)

@@ -41,7 +41,7 @@ def fetch(parts: Iterable[bytes], target: str, expected: str | None = None) -> s
     partial, digest = f"{path}.{uuid.uuid4().hex}.partial", hashlib.sha256()
     fs.create_dir(path.rpartition("/")[0])
     try:
-        with fs.open_output_stream(partial) as out:
+        with fs.open_output_stream(partial, compression=None) as out:
             for part in parts:
                 digest.update(part)
                 out.write(part)

@@ -20,6 +20,50 @@ def file_stream(spark: SparkSession, folder: str, schema: T.StructType, files_a_
     return stream.withColumns({c: F.col(c).cast("timestamp") for c in naive}) if naive else stream
 
 
+def staged(df: DataFrame, order: str, batches: int, path: str) -> T.StructType:
+    """Write ``df`` as one Parquet file per intake batch, in the order in which a stream will read them; its schema.
+
+    The whole number ``order`` says when a row came in; its range is cut into ``batches`` parts.
+    """
+    spark = df.sparkSession
+    low, high = df.agg(F.min(order), F.max(order)).first()
+    number = F.floor((F.col(order) - (low or 0)) * batches / ((high or 0) - (low or 0) + 1))
+    df.withColumn("__batch", F.coalesce(number, F.lit(0)).cast("bigint")).repartition("__batch").write.partitionBy("__batch").parquet(f"{path}.parts")
+    jvm = spark._jvm
+    root, target = jvm.org.apache.hadoop.fs.Path(f"{path}.parts"), jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(target)
+    for n in range(batches):
+        part = jvm.org.apache.hadoop.fs.Path(f"{path}.parts/__batch={n}")
+        for i, f in enumerate([s.getPath() for s in fs.listStatus(part)] if fs.exists(part) else []):
+            to = jvm.org.apache.hadoop.fs.Path(f"{path}/{n:05d}-{i:05d}.parquet")
+            fs.rename(f, to)
+            fs.setTimes(to, 1_600_000_000_000 + n * 60_000 + i, -1)
+    fs.delete(root, True)
+    return df.schema
+
+
+def tumbling_buckets(stream: DataFrame, time: str, keys: Sequence[str], seconds: int, watermark: str) -> DataFrame:
+    """Trade buckets on a stream: counts by side, open, high, low, close, volumes and their delta per bucket of event time.
+
+    Needs price, quantity and side. Open and close follow (event time, price); a bucket is complete
+    when the watermark passes its end, and what comes for it later is dropped.
+    """
+    at = F.struct(F.col(time), "price", "quantity")
+    of = lambda s: F.coalesce(F.sum(F.when(F.col("side") == s, F.col("quantity"))), F.lit(0).cast("decimal(38,18)"))
+    return stream.withWatermark(time, watermark).groupBy(F.window(time, f"{seconds} seconds"), *keys).agg(
+        F.count(F.lit(1)).alias("trade_count"), F.count_if(F.col("side") == "BUY").alias("buy_count"), F.count_if(F.col("side") == "SELL").alias("sell_count"),
+        F.min_by("price", at).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", at).alias("close"),
+        F.sum("quantity").alias("base_volume"), (of("BUY") - of("SELL")).alias("base_delta"),
+    )
+
+
+def drained(made: DataFrame, out: str, checkpoint: str) -> DataFrame:
+    """Run an append-mode stream over all that is there, batch by batch, and read what it wrote."""
+    made.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return made.sparkSession.read.schema(made.schema).parquet(out)
+
+
 def tumbling(stream: DataFrame, time: str, keys: Sequence[str], value: str, width: str, watermark: str) -> DataFrame:
     """Count, sum and extremes of ``value`` per window of event time."""
     return stream.withWatermark(time, watermark).groupBy(F.window(time, width), *keys).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"), F.min(value).alias("lowest"), F.max(value).alias("highest"))
