@@ -72,8 +72,8 @@ def signed(quantity: Column, side: Column) -> Column:
 
 
 def text_or_null(text: Column) -> Column:
-    """The trimmed text, null if nothing remains."""
-    return F.nullif(F.trim(text), F.lit(""))
+    """The text without outer blanks of any kind, null if nothing remains."""
+    return F.nullif(F.regexp_replace(text, r"^[\s\p{Z}]+|[\s\p{Z}]+$", ""), F.lit(""))
 
 
 def product(a: Column, b: Column) -> Column:

@@ -31,6 +31,17 @@ class Spec:
     event_driven: bool = False
 
 
+# How the catalog's datasets are measured. The identity of a liquidation isn't proven by any key.
+SPECS = (
+    Spec("ohlcv", "source_dataset_id", "data_contract_version", ("instrument_id", "source_dataset_id", "interval", "open_time")),
+    Spec("individual_trade", "source_dataset_id", "schema_version", ("instrument_id", "source_dataset_id", "native_trade_id"), "taker_side"),
+    Spec("derived_trade_bucket", "source_dataset_id", "aggregation_version", ("instrument_id", "source_dataset_id", "source_parquet_sha256", "bucket_seconds", "bucket_start")),
+    Spec("funding_rate", "source", "source_contract_version", ("exchange", "instrument_id", "source_contract_version", "funding_time")),
+    Spec("open_interest", "source", "source_contract_version", ("exchange", "instrument_id", "source_contract_version", "observation_time")),
+    Spec("liquidations", "source", "schema_version", None, "source_side", True),
+)
+
+
 def policies(spark: SparkSession, document: Mapping[str, object]) -> DataFrame:
     """The policies of a document {policy_version, policies: {id: {...}}} as a table; what can't be meant is refused.
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.operators import asof, merge, multiset
+from marlstone.session import keep
 
 
 def rolling(bars: DataFrame, keys: Sequence[str], time_us: str, close: str, volume: str, n: int = 20) -> DataFrame:
@@ -46,32 +47,98 @@ def large_flow(trades: DataFrame, keys: Sequence[str], quantity: str, side: str,
     return large.groupBy(*keys).agg(F.max("threshold").alias("threshold"), F.count(F.lit(1)).alias("large_trades"), of("BUY").alias("large_buy"), of("SELL").alias("large_sell")).withColumn("large_delta", F.col("large_buy") - F.col("large_sell"))
 
 
-def recursive_indicators(bars: DataFrame, keys: Sequence[str], time_us: str, high: str, low: str, close: str, n: int = 14) -> DataFrame:
+def _smoothed(x: pd.Series, alpha: float, start: float | None) -> pd.Series:
+    """x smoothed from the value ``start`` that went before it, or from its own first one; unknown values keep the last."""
+    if start is None or start != start:
+        return x.ewm(alpha=alpha, adjust=False, ignore_na=True).mean()
+    return pd.concat([pd.Series([start]), x]).ewm(alpha=alpha, adjust=False, ignore_na=True).mean().iloc[1:]
+
+
+def _carried(rows: DataFrame, keys: Sequence[str], series: Mapping[str, float], prepared: Callable[[pd.DataFrame], pd.DataFrame]) -> DataFrame:
+    """(keys..., __block, __in_<series>...): the smoothed value each block of rows starts from, null where a series hasn't begun.
+
+    A block turns the value before it into (1 - alpha)^m of it plus what its own m values add, so
+    blocks are summed up side by side, and only these sums are gone through in order.
+    """
+    types = [f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys]
+    sums = ", ".join([*types, "__block bigint", *(f"`{p}_{s}` double" for s in series for p in ("m", "s", "f"))])
+
+    def summed(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        made, out = prepared(pdf), dict(zip([*keys, "__block"], key))
+        for name, alpha in series.items():
+            x = made[name].reset_index(drop=True)
+            known = x.dropna()
+            out |= {f"m_{name}": len(known), f"s_{name}": _smoothed(x, alpha, 0.0).iloc[-1] if len(known) else 0.0, f"f_{name}": known.iloc[0] if len(known) else None}
+        return pd.DataFrame([out])
+
+    def chained(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("__block").reset_index(drop=True)
+        out = pdf[[*keys, "__block"]].copy()
+        for name, alpha in series.items():
+            value, starts = None, []
+            for m, s, f in zip(pdf[f"m_{name}"], pdf[f"s_{name}"], pdf[f"f_{name}"]):
+                starts.append(value)
+                if m:
+                    value = (1 - alpha) ** m * (f if value is None else value) + s
+            out[f"__in_{name}"] = pd.Series(starts, dtype=float)
+        return out
+
+    ends = ", ".join([*types, "__block bigint", *(f"`__in_{s}` double" for s in series)])
+    return rows.groupBy(*keys, "__block").applyInPandas(summed, sums).groupBy(*keys).applyInPandas(chained, ends)
+
+
+def recursive_indicators(bars: DataFrame, keys: Sequence[str], time_us: str, high: str, low: str, close: str, n: int = 14, block_us: int = 7 * 86_400_000_000) -> DataFrame:
     """EMA, RSI, ATR and ADX (Wilder's smoothing, seeded with the first value) per keys.
 
-    Where neither direction moved, ADX keeps its value (null until a first move); RSI is null until then.
-    These recursions run along time, so each key's bars are sorted and computed as one group of
-    narrow rows: the bars of a key, not its trades. Rows with nulls in the inputs are left out.
+    Where neither direction moved, ADX keeps its value (null until a first move); RSI is null until
+    then. Bars at one time follow by high, low and close. Smoothing is linear, so a key's bars are
+    cut into blocks of time that are computed side by side, each from the value that the sums of
+    the blocks before it give. Rows with nulls in the inputs or without key are left out.
     """
-    fields = ", ".join([*(f"`{k}` {bars.schema[k].dataType.simpleString()}" for k in keys), f"`{time_us}` bigint", "ema double", "rsi double", "atr double", "adx double"])
-    rows = bars.select(*keys, time_us, *(F.col(c).cast("double").alias(a) for c, a in ((high, "h"), (low, "l"), (close, "c")))).dropna(subset=[time_us, "h", "l", "c"])
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([time_us, "h", "l", "c"], kind="stable").reset_index(drop=True)
-        smooth = lambda s: s.ewm(alpha=1 / n, adjust=False, ignore_na=True).mean()
-        step, up, down = pdf["c"].diff(), pdf["h"].diff(), -pdf["l"].diff()
-        gain, loss = smooth(step.clip(lower=0)), smooth((-step).clip(lower=0))
-        true_range = pd.concat([pdf["h"] - pdf["l"], (pdf["h"] - pdf["c"].shift()).abs(), (pdf["l"] - pdf["c"].shift()).abs()], axis=1).max(axis=1)
-        atr = smooth(true_range)
-        plus, minus = smooth(up.where((up > down) & (up > 0), 0.0)), smooth(down.where((down > up) & (down > 0), 0.0))
-        spread = (plus - minus).abs() / (plus + minus).where(plus + minus > 0)
-        out = pdf[[*keys, time_us]].copy()
-        out["ema"] = pdf["c"].ewm(span=n, adjust=False).mean()
-        out["rsi"] = 100 * gain / (gain + loss).where(gain + loss > 0)
-        out["atr"], out["adx"] = atr, 100 * smooth(spread)
+    one, fast = 1 / n, 2 / (n + 1)
+    rows = bars.select(*keys, F.col(time_us).cast("bigint").alias("__t"), *(F.col(c).cast("double").alias(a) for c, a in ((high, "h"), (low, "l"), (close, "c")))).dropna()
+    rows = rows.withColumn("__block", F.floor(F.col("__t") / block_us).cast("bigint"))
+    last = rows.groupBy(*keys, "__block").agg(F.max(F.struct("__t", "h", "l", "c")).alias("__end"))
+    before = last.select(*keys, "__block", F.lag("__end").over(Window.partitionBy(*keys).orderBy("__block")).alias("__p"))
+    rows = rows.join(before, [*keys, "__block"]).select(*keys, "__block", "__t", "h", "l", "c", *(F.col(f"__p.{x}").alias(f"__p{x}") for x in "hlc"))
+    moves = {"close": fast, "gain": one, "loss": one, "range": one, "plus": one, "minus": one}
+
+    def moved(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["__t", "h", "l", "c"], kind="stable").reset_index(drop=True)
+        past = {x: pdf[x].shift().fillna(pdf[f"__p{x}"].iloc[0]) if pdf[f"__p{x}"].notna().iloc[0] else pdf[x].shift() for x in "hlc"}
+        step, up, down = pdf["c"] - past["c"], pdf["h"] - past["h"], past["l"] - pdf["l"]
+        out = pdf[[*keys, "__t"]].copy()
+        out["close"], out["gain"], out["loss"] = pdf["c"], step.clip(lower=0), (-step).clip(lower=0)
+        out["range"] = pd.concat([pdf["h"] - pdf["l"], (pdf["h"] - past["c"]).abs(), (pdf["l"] - past["c"]).abs()], axis=1).max(axis=1)
+        out["plus"], out["minus"] = up.where((up > down) & (up > 0), 0.0), down.where((down > up) & (down > 0), 0.0)
+        return out
+
+    types = [f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys]
+
+    def indicated(pdf: pd.DataFrame) -> pd.DataFrame:
+        made = moved(pdf)
+        smooth = {x: _smoothed(made[x], a, pdf[f"__in_{x}"].iloc[0]).reset_index(drop=True) for x, a in moves.items()}
+        both, ways = smooth["gain"] + smooth["loss"], smooth["plus"] + smooth["minus"]
+        out = made[[*keys, "__t"]].copy()
+        out["__block"], out["__at"] = pdf["__block"].iloc[0], range(len(out))
+        out["ema"], out["atr"] = smooth["close"], smooth["range"]
+        out["rsi"] = 100 * smooth["gain"] / both.where(both > 0)
+        out["__spread"] = (smooth["plus"] - smooth["minus"]).abs() / ways.where(ways > 0)
+        return out
+
+    first = rows.join(_carried(rows, keys, moves, moved), [*keys, "__block"])
+    halves = keep(first.groupBy(*keys, "__block").applyInPandas(indicated, ", ".join([*types, "__t bigint", "__block bigint", "__at bigint", "ema double", "atr double", "rsi double", "__spread double"])), "indicators")
+    spread = lambda pdf: pdf.sort_values("__at").rename(columns={"__spread": "spread"})
+
+    def directed(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("__at").reset_index(drop=True)
+        out = pdf[[*keys, "__t", "ema", "rsi", "atr"]].copy()
+        out["adx"] = 100 * _smoothed(pdf["__spread"], one, pdf["__in_spread"].iloc[0]).reset_index(drop=True)
         return out
 
-    return rows.groupBy(*keys).applyInPandas(run, fields)
+    second = halves.join(_carried(halves, keys, {"spread": one}, spread), [*keys, "__block"])
+    found = second.groupBy(*keys, "__block").applyInPandas(directed, ", ".join([*types, "__t bigint", "ema double", "rsi double", "atr double", "adx double"]))
+    return found.select(*keys, F.col("__t").alias(time_us), "ema", "rsi", "atr", "adx")
 
 
 def labels(bars: DataFrame, keys: Sequence[str], time_us: str, close: str, high: str, low: str, horizon: int, band: float) -> DataFrame:

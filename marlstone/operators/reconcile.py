@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marlstone.operators import multiset
+
 SIDES = ("archive", "ws", "rest")
 
 
@@ -48,9 +50,9 @@ def three_way(sources: Mapping[str, DataFrame], tolerance_ms: int = 0) -> DataFr
         tagged = one if tagged is None else tagged.unionByName(one)
     pick = lambda name: F.max(F.when(F.col("source") == name, F.col("r"))).alias(name)
     keyed = tagged.groupBy("key").agg(*(pick(n) for n in SIDES))
-    # whether a source has any row is one fact about the whole set: a window-free global aggregate, one row
-    has = tagged.agg(*(F.coalesce(F.bool_or(F.col("source") == n), F.lit(False)).alias(f"has_{n}") for n in ("archive", "rest"))).first()
-    keyed = keyed.withColumns({f"has_{n}": F.lit(bool(has[f"has_{n}"])) for n in ("archive", "rest")})
+    # whether a source has any row is one fact about the whole set: a scalar subquery of one row
+    has = lambda n: tagged.agg(F.coalesce(F.bool_or(F.col("source") == n), F.lit(False))).scalar()
+    keyed = keyed.withColumns({f"has_{n}": has(n) for n in ("archive", "rest")})
     there = {n: F.col(n).isNotNull() for n in SIDES}
     both = there["archive"] & there["ws"]
     a, w = (lambda f: F.col(f"archive.{f}")), (lambda f: F.col(f"ws.{f}"))
@@ -84,10 +86,12 @@ def details(keyed: DataFrame, most: int = 50) -> DataFrame:
     return keyed.select("key", F.concat_ws(",", kinds).alias("kinds")).filter("kinds <> ''").orderBy("key").limit(most)
 
 
-def ratios(df: DataFrame, slot: str, group: str, left: str, right: str, value: str, keys: Sequence[str] = ()) -> DataFrame:
+def ratios(df: DataFrame, slot: str, group: str, left: str, right: str, value: str, keys: Sequence[str]) -> DataFrame:
     """Slots where both groups have a value, per ``keys``: their ratio's minimum, median, maximum, and slots in number."""
     mean = df.filter(F.col(group).isin(left, right)).groupBy(*keys, slot).agg(
         F.avg(F.when(F.col(group) == left, F.col(value))).alias("a"), F.avg(F.when(F.col(group) == right, F.col(value))).alias("b")
     )
     both = mean.filter("a is not null and b is not null and b <> 0").select(*keys, (F.col("a") / F.col("b")).alias("r"))
-    return both.groupBy(*keys).agg(F.count("r").alias("slots"), F.min("r").alias("lowest"), F.median("r").alias("median"), F.max("r").alias("highest"))
+    ends = both.groupBy(*keys).agg(F.count("r").alias("slots"), F.min("r").alias("lowest"), F.max("r").alias("highest"))
+    middle = multiset.quantiles(both, keys, "r", [0.5]).select(*keys, F.col("q0").alias("median"))
+    return ends.join(middle, list(keys)).select(*keys, "slots", "lowest", "median", "highest")

@@ -333,10 +333,26 @@ TRADE_COLUMNS = (
     "quote_quantity", "taker_side", "is_buyer_maker", "is_best_match", "is_rpi_trade", "received_at", "knowledge_time", "knowledge_time_basis", "raw_object_ref", "schema_version", "dq_flags",
 )
 
+#: The columns of the large tables, and what a load of each is in SQL.
+PROFILED = {
+    "dq_metric_result": ("cast(load_no as varchar)", ("load_no", *RESULT_COLUMNS)), "archive_trade": ("cast(cast(received_at as date) as varchar)", TRADE_COLUMNS),
+    "ws_trade": ("cast(cast(received_at as date) as varchar)", ("instrument_id", "exchange", "market_type", "native_symbol", "native_trade_id", "price", "quantity", "taker_side", "event_time_ms", "session_id", "received_at")),
+    "ws_envelope": ("cast(cast(received_at as date) as varchar)", ("ingest_seq", "segment_no", "envelope_id", "source", "exchange", "market_type", "instrument_id", "stream_topic", "connection_id", "session_id", "received_at", "processed_at", "source_contract_version", "collector_version", "payload", "payload_hash", "message_id")),
+    "liquidation": ("cast(cast(received_at as date) as varchar)", (
+        "ingest_seq", "segment_no", "exchange", "instrument_id", "symbol", "market_type", "contract_type", "venue_product_type", "event_time", "exchange_timestamp", "received_at", "processed_at", "knowledge_time", "source_event_time_ms", "source_order_trade_time_ms", "position_side_liquidated", "source_side", "source_quantity",
+        "last_filled_quantity", "accumulated_filled_quantity", "source_price", "average_fill_price", "order_type", "time_in_force", "order_status", "source_window_ms", "message_id", "dedup_fingerprint", "source", "schema_version", "dq_flags",
+    )),
+    "ohlcv_candle": ("cast(cast(retrieved_at as date) as varchar)", (
+        "instrument_id", "exchange", "market_type", "contract_type", "native_symbol", "candle_interval", "is_closed", "open_time", "close_time", "open_price", "high_price", "low_price", "close_price", "base_volume", "quote_volume", "trade_count", "taker_buy_base_volume", "taker_buy_quote_volume", "source_method", "source_dataset_id",
+        "observation_id", "retrieved_at", "knowledge_time", "knowledge_time_basis", "schema_version", "data_contract_version",
+    )),
+    "active_artifact": ("cast(cast(published_at as date) as varchar)", ("dataset_class", "relative_path", "parquet_sha256", "exchange", "market_type", "contract_type", "instrument_id", "symbol", "schema_version", "manifest_path", "manifest_record_number", "n_rows", "n_bytes", "published_at")),
+}
+
 
 def _profile_sql(name: str, load: str, columns: tuple[str, ...]) -> str:
     """One select per column: counts, and ranges in the column's own type given as text."""
-    value = lambda c: f"epoch_us({c})" if c.endswith(("_at", "_time")) else f"cast(to_json({c}) as varchar)" if c == "dq_flags" else c
+    value = lambda c: f"epoch_us({c})" if c.endswith(("_at", "_time", "exchange_timestamp")) else f"cast(to_json({c}) as varchar)" if c == "dq_flags" else c
     off = lambda c: f"count(*) filter (not regexp_matches(cast({c} as varchar), '{PATTERNS[c]}'))" if c in PATTERNS else "cast(null as bigint)"
     one = lambda c: f"""select '{c}' as column_name, {load} as load, count(*) as rows, count(*) - count({c}) as nulls, count(distinct {value(c)}) as "distinct", cast(min({value(c)}) as varchar) as lowest, cast(max({value(c)}) as varchar) as highest, {off(c)} as violations from {name} group by {load}"""
     return "\nunion all ".join(map(one, columns))
@@ -404,6 +420,7 @@ ORACLE: dict[str, str] = {
   union all select 'null_shift', metric, load_no, 0 from p where abs(nulls * n0 - nulls0 * n) * 4 >= n * n0 union all select 'level_shift', metric, load_no, 0 from p where (med >= 2 * med0 or 2 * med <= med0) and (med <> 0 or med0 <> 0)
   union all select distinct 'label_shift', metric, load_no, 0 from u join p using (metric, load_no) where fitting > 0 and fitting0 > 0 and abs(c * fitting0 - c0 * fitting) * 10 >= 3 * fitting * fitting0""",
     "p4_profile": _profile_sql("dq_metric_result", "load_no", RESULT_COLUMNS),
+    "p4_table_profile": "\nunion all ".join(f"select '{name}' as table_name, * from ({_profile_sql(name, load, columns)})" for name, (load, columns) in PROFILED.items()),
     "p4_trade_profile": _profile_sql("archive_trade", "strftime(received_at, '%Y-%m-%d')", TRADE_COLUMNS),
     "p4_ranges": "\nunion all ".join(
         f"select '{c}' as column_name, load_no as load, cast(min({v}) as varchar) as lowest, cast(max({v}) as varchar) as highest from dq_metric_result group by load_no"

@@ -7,12 +7,11 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from marlstone.functions import normalize, scalars
-from marlstone.operators import buckets, features, gapstates, multiset, quality
+from marlstone.operators import features, gapstates, merge, multiset, quality, reconcile
 from marlstone.operators.compaction import file_system
 from marlstone.plans.market_queries import BARS_SQL, TAPE, bars, dbl, rounded, tape
 from marlstone.plans.registry import Registry
@@ -127,11 +126,12 @@ def dataset_aligned(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(_aligned(spark, folder), "close", "volume", "order_price")
 
 
-@query()
+@query(f"with {ALIGNED_SQL} select count(*) as rows, true as same, true as changed from a")
 def dataset_hashes(spark: SparkSession, folder: str) -> DataFrame:
-    """The data set's fingerprint, and that of the same rows laid out otherwise."""
+    """Whether the data set's fingerprint is that of the same rows laid out otherwise, and another once a row is gone."""
     made = keep(_aligned(spark, folder), "dataset")
-    return features.dataset_hash(made).withColumn("layout", F.lit("as made")).unionByName(features.dataset_hash(made.repartition(5, "t")).withColumn("layout", F.lit("shuffled")))
+    prints = [features.dataset_hash(df).first() for df in (made, made.repartition(5, "t"), made.subtract(made.orderBy("instrument_id", "t").limit(1)))]
+    return spark.createDataFrame([(prints[0]["rows"], prints[0] == prints[1], prints[0]["fingerprint"] != prints[2]["fingerprint"])], "rows bigint, same boolean, changed boolean")
 
 
 FIRST_US = 1_614_560_400_000_000
@@ -505,3 +505,58 @@ def backoff_waits(spark: SparkSession, folder: str) -> DataFrame:
     """Waits before twelve attempts, which the seed's jitter moves by a fifth at most."""
     waits = spark.range(1, 13).select(F.col("id").alias("attempt"), F.round(F.least(F.lit(60.0), F.pow(F.lit(2.0), F.col("id") - 1)), 4).alias("plain"), gapstates.backoff_seconds(F.col("id"), seed=7).alias("wait"))
     return waits.select("attempt", "plain", F.col("wait").between(F.col("plain") * 0.8 - 0.0001, F.col("plain") * 1.2 + 0.0001).alias("within"))
+
+
+# Scalars ----------------------------------------------------------------------------------
+
+
+@query("""select instrument_id, count(*) as rows, cast(sum(event_time_ms * 1000) as hugeint)::varchar as total_us, count(*) filter (event_time_ms is null) as unknown from ws_trade group by 1""")
+def fractional_seconds(spark: SparkSession, folder: str) -> DataFrame:
+    """Times written as fractional seconds, read without passing through binary floats."""
+    rows = table(spark, folder, "ws_trade", "instrument_id", "event_time_ms")
+    text = F.concat(F.expr("event_time_ms div 1000").cast("string"), F.lit("."), F.lpad((F.col("event_time_ms") % 1000).cast("string"), 3, "0"))
+    us = scalars.float_seconds_us(text)
+    return rows.groupBy("instrument_id").agg(F.count(F.lit(1)).alias("rows"), F.sum(us.cast("decimal(38,0)")).cast("string").alias("total_us"), F.count_if(us.isNull()).alias("unknown"))
+
+
+@query("""select case when o_orderdate >= date '1995-01-01' then 'us' else 'ms' end as unit, count(*) as orders from orders group by 1""")
+def archive_units(spark: SparkSession, folder: str) -> DataFrame:
+    """The unit of an archive by its day, the switch set within the data's time."""
+    return table(spark, folder, "orders", "o_orderdate").groupBy(scalars.archive_unit(F.col("o_orderdate"), "1995-01-01").alias("unit")).agg(F.count(F.lit(1)).alias("orders"))
+
+
+@query(r"""with t as (select source, nullif(regexp_replace(text, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g'), '') as t from documents) select source, count(t) as texts, count(*) - count(t) as blank from t group by 1""")
+def blank_texts(spark: SparkSession, folder: str) -> DataFrame:
+    text = scalars.text_or_null(F.col("text"))
+    return table(spark, folder, "documents", "source", "text").groupBy("source").agg(F.count(text).alias("texts"), F.count_if(text.isNull()).alias("blank"))
+
+
+@query("""select exchange, count(distinct coalesce(native_trade_id, cast(source_ordinal as varchar))) as keys from archive_trade group by 1""")
+def natural_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """The natural key under the first of its names that has a value."""
+    rows = table(spark, folder, "archive_trade", "exchange", "native_trade_id", "source_ordinal")
+    return rows.groupBy("exchange").agg(F.count_distinct(reconcile.natural_key(["aggregate_trade_id", "native_trade_id", "source_ordinal"], rows.columns)).alias("keys"))
+
+
+@query("""select case when order_status = 'PARTIALLY_FILLED' then 'PARTIAL_TRUNCATED_BY_PAGE_LIMIT' when source_side = 'BUY' then 'COMPLETE_OFFICIAL_WINDOW' else 'COMPLETE' end as coverage, count(*) as rows from liquidation group by 1""")
+def coverage_states(spark: SparkSession, folder: str) -> DataFrame:
+    """What is known of a range from why its paging ended."""
+    reason = F.when(F.col("order_status") == "PARTIALLY_FILLED", pages.PAGE_LIMIT_REACHED).otherwise(pages.SOURCE_EMPTY)
+    return table(spark, folder, "liquidation", "order_status", "source_side").groupBy(merge.coverage_status(reason, F.coalesce(F.col("source_side") == "BUY", F.lit(False))).alias("coverage")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("""with i as (select distinct exchange, market_type, contract_type, native_symbol as s from archive_trade) select exchange, market_type, s as native_symbol, 'ins_' || left(sha256('{"base_asset":"' || left(s, -4) || '","contract_type":"' || contract_type || '","exchange":"' || exchange || '","expiry":null,"market_type":"' || market_type || '","native_symbol":"' || s || '","quote_asset":"USDT","settle_asset":' ||
+  case when market_type = 'spot' then 'null' else '"USDT"' end || ',"venue_environment":"production"}'), 20) as identity from i""")
+def instrument_identities(spark: SparkSession, folder: str) -> DataFrame:
+    """Surrogate ids of all instruments, from fields written in other letter cases."""
+    rows = table(spark, folder, "archive_trade", "exchange", "market_type", "contract_type", "native_symbol").distinct()
+    base = F.expr("substring(native_symbol, 1, length(native_symbol) - 4)")
+    made = scalars.instrument_id(F.upper("exchange"), F.lower("native_symbol"), F.col("market_type"), F.upper("contract_type"), F.concat(F.lit(" "), F.lower(base)), F.lit("usdt"), F.when(F.col("market_type") != "spot", F.lit("usdt")))
+    return rows.select("exchange", "market_type", "native_symbol", made.alias("identity"))
+
+
+@query("""select schema_version, count(*) as records, count(*) filter (split_part(schema_version, '.', 1) = '1') as compatible from active_artifact group by 1""")
+def compatible_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Records whose schema version shares its major part with 1.9.0."""
+    rows = table(spark, folder, "active_artifact", "schema_version")
+    return rows.groupBy("schema_version").agg(F.count(F.lit(1)).alias("records"), F.count_if(scalars.compatible(F.col("schema_version"), F.lit("1.9.0"))).alias("compatible"))

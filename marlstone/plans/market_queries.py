@@ -330,12 +330,12 @@ def merge_first_wins(spark: SparkSession, folder: str) -> DataFrame:
     return merge.keyed(*_halves(spark, folder), ["o_orderkey"], new_wins=False).select("o_orderkey", "v")
 
 
-@query()
+@query("""select count(*) as rows, true as same from archive_trade""")
 def content_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
-    """A fingerprint of the trades, and the same of the trades in another order."""
+    """Whether the trades' fingerprint is that of the trades in another order."""
     rows = table(spark, folder, "archive_trade", "instrument_id", "native_trade_id", "price", "quantity")
-    one = merge.content_fingerprint(rows, rows.columns).withColumn("what", F.lit("as stored"))
-    return one.unionByName(merge.content_fingerprint(rows.repartition(7, "native_trade_id"), rows.columns).withColumn("what", F.lit("shuffled")))
+    prints = merge.content_fingerprint(rows, rows.columns).unionByName(merge.content_fingerprint(rows.repartition(7, "native_trade_id"), rows.columns))
+    return prints.agg(F.max("rows").alias("rows"), (F.count_distinct("rows", "fingerprint") == 1).alias("same"))
 
 
 @query("""with d as (select raw_object_ref as source, count(*) as rows from archive_trade group by 1), a as (select distinct relative_path as source from active_artifact where dataset_class = 'individual_trade')
@@ -518,9 +518,14 @@ def drawdown_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(features.drawdowns(bars(spark, folder), ["instrument_id"], "t", "c"), "max_drawdown", "final")
 
 
-@query()
+@query(f"""with recursive {BARS_SQL}, n as (select *, row_number() over w as k, c - lag(c) over w as step, h - lag(h) over w as up, lag(l) over w - l as down, lag(c) over w as p from bars window w as (partition by instrument_id order by t)),
+  x as (select instrument_id as i, t, k, c, greatest(step, 0) * case when step is null then null else 1 end as g, greatest(-step, 0) * case when step is null then null else 1 end as d, greatest(h - l, coalesce(abs(h - p), 0), coalesce(abs(l - p), 0)) as r, case when up > down and up > 0 then up else 0.0 end as u, case when down > up and down > 0 then down else 0.0 end as v from n),
+  y as (select i, t, k, c as ema, g, d, r, u, v, case when u + v > 0 then abs(u - v) / (u + v) end as s from x where k = 1
+    union all select i, t, k, ema, g, d, r, u, v, case when z is null then s when s is null then z else 13 / 14.0 * s + z / 14 end from (select *, case when u + v > 0 then abs(u - v) / (u + v) end as z from (
+      select x.i, x.t, x.k, 13 / 15.0 * y.ema + 2 / 15.0 * x.c as ema, case when y.g is null then x.g else 13 / 14.0 * y.g + x.g / 14 end as g, case when y.d is null then x.d else 13 / 14.0 * y.d + x.d / 14 end as d, 13 / 14.0 * y.r + x.r / 14 as r, 13 / 14.0 * y.u + x.u / 14 as u, 13 / 14.0 * y.v + x.v / 14 as v, y.s from y join x on x.i = y.i and x.k = y.k + 1)))
+  select i as instrument_id, t, round(ema, 4) as ema, round(case when g + d > 0 then 100 * g / (g + d) end, 4) as rsi, round(r, 4) as atr, round(100 * s, 4) as adx from y""")
 def recursive_indicators(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(features.recursive_indicators(bars(spark, folder), ["instrument_id"], "t", "h", "l", "c"), "ema", "rsi", "atr", "adx")
+    return rounded(features.recursive_indicators(bars(spark, folder), ["instrument_id"], "t", "h", "l", "c"), "ema", "rsi", "atr", "adx", digits=4)
 
 
 @query(f"""with {BARS_SQL} select instrument_id, count(*) as kept from bars where not (t < 1614560400000000 + 600000000 and t + 3600000000 >= 1614558600000000) group by 1""")

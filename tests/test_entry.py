@@ -8,19 +8,18 @@ FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the test tables")
 
 
-def _names():
-    from marlstone.plans import data_queries, market_queries
+def _registered():
+    from marlstone.plans import control_queries, data_queries, dataset_queries, market_queries
 
-    return sorted(market_queries.QUERIES | data_queries.QUERIES)
+    parts = (market_queries, control_queries, dataset_queries, data_queries)
+    return {k: v for p in parts for k, v in p.QUERIES.items()}, {k: v for p in parts for k, v in p.ORACLE.items()}
 
 
-@pytest.mark.parametrize("name", _names())
+@pytest.mark.parametrize("name", sorted(_registered()[0]))
 def test_query_agrees_with_sql(spark, name):
     from compare import compare
 
-    from marlstone.plans import data_queries, market_queries
-
-    queries, oracle = market_queries.QUERIES | data_queries.QUERIES, market_queries.ORACLE | data_queries.ORACLE
+    queries, oracle = _registered()
     if name in oracle:
         assert compare(spark, FOLDER, name, queries[name], oracle[name]) == ""
     else:

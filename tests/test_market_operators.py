@@ -176,6 +176,40 @@ def test_features(spark):
     assert found["rsi"] == 100.0 and found["adx"] > 90 and abs(found["atr"] - 2) < 1e-9
 
 
+def test_indicators_in_blocks_equal_one_pass(spark):
+    import math
+    import random
+
+    import pandas as pd
+
+    r, data = random.Random(8), []
+    for k in ("a", "b"):
+        price = 100.0
+        for t in range(60):
+            price = price if t < 4 or 20 < t < 25 else price + r.gauss(0, 1)  # without a move at first, and for a while
+            data.append((k, t * 10 + (0 if t % 9 else 3), price + 1, price - 1, price))
+    data += [("a", 300, 101.0, 99.0, 100.0), ("a", 300, 102.0, 99.0, 101.0), ("a", None, 1.0, 1.0, 1.0), ("c", 5, 2.0, 1.0, 1.5)]
+    df = spark.createDataFrame(data, "k string, t bigint, h double, l double, c double")
+
+    def whole(x, n=14):
+        x = x.sort_values(["t", "h", "l", "c"]).reset_index(drop=True)
+        smooth = lambda s: s.ewm(alpha=1 / n, adjust=False, ignore_na=True).mean()
+        step, up, down = x["c"].diff(), x["h"].diff(), -x["l"].diff()
+        gain, loss = smooth(step.clip(lower=0)), smooth((-step).clip(lower=0))
+        tr = pd.concat([x["h"] - x["l"], (x["h"] - x["c"].shift()).abs(), (x["l"] - x["c"].shift()).abs()], axis=1).max(axis=1)
+        plus, minus = smooth(up.where((up > down) & (up > 0), 0.0)), smooth(down.where((down > up) & (down > 0), 0.0))
+        spread = (plus - minus).abs() / (plus + minus).where(plus + minus > 0)
+        return pd.DataFrame({"t": x["t"], "ema": x["c"].ewm(span=n, adjust=False).mean(), "rsi": 100 * gain / (gain + loss).where(gain + loss > 0), "atr": smooth(tr), "adx": 100 * smooth(spread)})
+
+    for block in (35, 10_000):
+        got = features.recursive_indicators(df, ["k"], "t", "h", "l", "c", block_us=block).toPandas()
+        for k, rows_ in df.toPandas().dropna().groupby("k"):
+            mine, want = got[got.k == k], whole(rows_)
+            one, two = (sorted(tuple(-1.0 if math.isnan(v) else round(v, 8) for v in row) for row in f[["t", "ema", "rsi", "atr", "adx"]].astype(float).itertuples(index=False)) for f in (mine, want))
+            assert one == two, (block, k)
+    assert features.recursive_indicators(df.limit(0), ["k"], "t", "h", "l", "c").count() == 0
+
+
 def test_normalisers(spark, rows):
     k = spark.createDataFrame([("1614556800000", "10", "12", "9", "11", "5", "1614556859999", "55", "3", "2", "22", "0"), ("1614556800001", "10", "9", "12", "11", "-1", "x", "55", "3", "9", "22", "0")], ", ".join(f"c{i} string" for i in range(12)))
     made = normalize.kline_rows(k, "ms").withColumn("bad", quality.violations(normalize.candle_rules()))
