@@ -3,8 +3,9 @@
 Texts are cut into overlapping chunks, which are pre-tokenised in parallel. Pre-tokenising
 from any position soon falls into step with pre-tokenising from the start, and from a shared
 boundary on both agree: neighbouring chunks are stitched at the first boundary of their
-overlap that both have. The pieces between stitches consist of whole pre-tokens, so their
-encodings join into the encoding of the text. Decoding concatenates the tokens' raw bytes.
+overlap that both have; where they have none, the chunks stay one piece. The pieces between
+stitches consist of whole pre-tokens, so their encodings join into the encoding of the text.
+Decoding concatenates the tokens' raw bytes.
 """
 
 from __future__ import annotations
@@ -108,8 +109,8 @@ def encode(df: DataFrame, id_column: str, text_column: str, vocabulary: str = VO
 
     Empty and null texts both get the empty list. Repeated rows and rows with a null id give a
     row each. Texts of any length are encoded whole: chunks of one long text go to many tasks;
-    a text whose chunks find no shared boundary (one run longer than the overlap) is encoded in
-    one piece. Other columns don't matter.
+    only a run longer than the overlap that offers no boundary to stitch at (one word of
+    thousands of letters) is encoded in one piece, as it must be. Other columns don't matter.
     """
     if not LOOKAHEAD < overlap < chunk // 2:
         raise ValueError("the overlap must be longer than the lookahead and shorter than half a chunk")
@@ -128,20 +129,21 @@ def encode(df: DataFrame, id_column: str, text_column: str, vocabulary: str = VO
     named = docs.filter(F.char_length("text") > chunk).withColumn("key", F.sha2(F.concat_ws("\x1f", F.coalesce(F.col("id").cast("string"), F.lit("\x00")), "text"), 256))
     chunks = _chunked(named.select("key", "text"), chunk, overlap).dropDuplicates(["key", "no"])
     by_no = Window.partitionBy("key").orderBy("no")
-    met = _edges(chunks, pattern, chunk, overlap).withColumn("stitch", F.array_min(F.array_intersect("head", F.lag("tail").over(by_no))))
-    lost = F.max(F.col("stitch").isNull() & (F.col("no") > 0)).over(Window.partitionBy("key"))
-    stitches = met.select("key", "no", "stitch", F.lead("stitch").over(by_no).alias("until"), lost.alias("lost"))
-
-    def pieces(keys, nos, starts, texts, stitched, untils):
-        cut = [t[(s - at if s is not None else 0) : (u - at if u is not None else len(t))] for t, at, s, u in zip(texts, starts, stitched, untils)]
-        return (whole(cut),)
-
-    parts = chunks.join(stitches.filter("not lost"), ["key", "no"]).select("key", "no", "start", "text", "stitch", "until")
-    encoded_parts = _mapped(parts, ["key", "no"], {"ids": pa.list_(pa.int32())}, "key string, no bigint, ids array<int>", pieces)
-    joined = encoded_parts.groupBy("key").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("no", "ids"))), lambda p: p["ids"])).alias("ids"))
+    met = _edges(chunks, pattern, chunk, overlap).withColumn("stitch", F.array_min(F.array_intersect("head", F.lag("tail").over(by_no)))).select("key", "no", "stitch")
+    opens = (F.col("stitch").isNotNull() | (F.col("no") == 0)).cast("int")
+    placed = met.withColumns({"until": F.lead("stitch").over(by_no), "piece": F.sum(opens).over(by_no.rowsBetween(Window.unboundedPreceding, 0))})
+    counted = placed.withColumn("chunks", F.count(F.lit(1)).over(Window.partitionBy("key", "piece")))
+    # a piece's first chunk gives what follows its stitch, its others what follows their overlap, its last what precedes the next stitch
+    parts = chunks.join(counted, ["key", "no"])
+    first = F.when(F.col("stitch").isNotNull(), F.col("stitch") - F.col("start")).when(F.col("no") == 0, F.lit(0)).otherwise(F.lit(overlap))
+    end = F.when(F.col("until").isNotNull(), F.col("until") - F.col("start")).otherwise(F.char_length("text"))
+    cut = parts.select("key", "no", "piece", "chunks", F.substring("text", first + 1, F.greatest(end - first, F.lit(0))).alias("part"))
+    alone = cut.filter("chunks = 1").select("key", "piece", "part")
+    run = cut.filter("chunks > 1").groupBy("key", "piece").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("no", "part"))), lambda p: p["part"]), "").alias("part"))
+    encoded_parts = _mapped(alone.unionByName(run), ["key", "piece"], {"ids": pa.list_(pa.int32())}, "key string, piece bigint, ids array<int>", lambda keys, pieces, texts: (whole(texts),))
+    joined = encoded_parts.groupBy("key").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("piece", "ids"))), lambda p: p["ids"])).alias("ids"))
     long = named.select("id", "key").join(joined, "key").select("id", "ids")
-    apart = encoded(named.join(stitches.filter("lost").select("key").distinct(), "key", "left_semi"))
-    return short.unionByName(long).unionByName(apart)
+    return short.unionByName(long)
 
 
 def decode(df: DataFrame, id_column: str, ids_column: str, vocabulary: str = VOCABULARY) -> DataFrame:
