@@ -442,3 +442,17 @@ def dq_baseline(spark: SparkSession, folder: str) -> DataFrame:
   case when count(*) filter (impact = 'UNAVAILABLE') > 0 then 'UNAVAILABLE' when count(*) filter (impact = 'DEGRADE') > 0 then 'DEGRADED' else 'USABLE' end as eligibility from x""")
 def dq_verdict(spark: SparkSession, folder: str) -> DataFrame:
     return baseline.verdict(_profile(spark, folder))
+
+
+# Generations ------------------------------------------------------------------------------
+
+
+@query("""with o as (select o_orderkey, year(o_orderdate) as y, o_orderstatus from orders), n as (select * from o where y in (select y from o where o_orderstatus = 'P' group by 1)) select cast(y as bigint) as year, count(*) as rows, case when y in (select y from n) then 'second' else 'first' end as generation from o where y not in (select y from n) or o_orderstatus <> 'F' group by 1, 3""")
+def yearly_overwrite(spark: SparkSession, folder: str) -> DataFrame:
+    """Yearly partitions of which those that a second batch has rows for are replaced by it, and the others stay."""
+    rows = table(spark, folder, "orders", "o_orderkey", "o_orderdate", "o_orderstatus").withColumn("part", F.year("o_orderdate").cast("bigint"))
+    held = publish.GenerationTable(spark, f"{scratch(spark, 'years')}/t", rows.select("o_orderkey", "o_orderstatus").withColumn("generation", F.lit("")).schema)
+    years = [r["part"] for r in rows.filter("o_orderstatus = 'P'").select("part").distinct().collect()]  # calendar years, not data
+    held.publish(rows.withColumn("generation", F.lit("first")))
+    held.overwrite(rows.filter(F.col("part").isin(years) & (F.col("o_orderstatus") != "F")).withColumn("generation", F.lit("second")), years)
+    return held.read().groupBy(F.col("part").alias("year"), "generation").agg(F.count(F.lit(1)).alias("rows"))

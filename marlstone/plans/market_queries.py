@@ -604,6 +604,16 @@ def stream_capture(spark: SparkSession, folder: str) -> DataFrame:
     return count("raw").join(count("normalised"), "instrument_id", "left").select("instrument_id", "raw", F.coalesce("normalised", F.lit(0)).alias("normalised"))
 
 
+@query("""select strftime(received_at, '%Y-%m-%d') as date, strftime(received_at, '%H') as hour, count(*) as messages, count(distinct envelope_id) as envelopes from ws_envelope group by 1, 2""")
+def stream_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw messages appended to segments by hour of receipt."""
+    stream, root = _staged(spark, table(spark, folder, "ws_envelope", "ingest_seq", "envelope_id", "received_at", "payload"), "ingest_seq", "segments")
+    jobs.segments(stream, "received_at", f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    read = spark.read.schema("envelope_id string, date string, hour string").json(f"{root}/out")
+    none = lambda c: F.when(F.col(c) != "__HIVE_DEFAULT_PARTITION__", F.col(c))
+    return read.groupBy(none("date").alias("date"), none("hour").alias("hour")).agg(F.count(F.lit(1)).alias("messages"), F.count_distinct("envelope_id").alias("envelopes"))
+
+
 def _stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table's files as a stream; a single file is streamed from its folder under its own name."""
     path = f"{folder.rstrip('/')}/{name}.parquet"

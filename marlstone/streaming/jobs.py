@@ -94,6 +94,13 @@ def capture(stream: DataFrame, raw: str, normalised: str, normalise, checkpoint:
     return stream.writeStream.foreachBatch(both).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def segments(stream: DataFrame, time: str, out: str, checkpoint: str) -> StreamingQuery:
+    """Append raw messages to JSON-lines segments in folders of their day and hour of receipt; a message without time stands in none's."""
+    placed = stream.withColumns({"date": F.date_format(time, "yyyy-MM-dd"), "hour": F.date_format(time, "HH")})
+    sink = placed.writeStream.outputMode("append").format("json").partitionBy("date", "hour").option("ignoreNullFields", "false")
+    return sink.option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 class LateCorrections:
     """Period figures kept as a multiset state that every batch adjusts, in any order of arrival.
 
