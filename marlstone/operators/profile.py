@@ -204,14 +204,17 @@ def two_sample(cells: DataFrame, group: str, load: str, features: Sequence[str],
         one = np.ones((len(combos), 1))
 
         def crossed(blocks: list[np.ndarray]) -> np.ndarray:
+            if not blocks:
+                return np.full(len(later), 0.5)
             x = np.hstack([one, *blocks])
             return np.mean([_auc(_newton(x, w0[1 - k], w1[1 - k]) @ x.T, w0[k], w1[k]) for k in range(FOLDS)], axis=0)
 
-        x = np.hstack([one, *hot])
-        whole = crossed(hot)
+        varied = [i for i in range(len(names)) if hot[i].shape[1] > 1]  # a column of one value tells nothing, nor does its loss
+        x = np.hstack([one, *(hot[i] for i in varied)])
+        whole = crossed([hot[i] for i in varied])
         out = {group: key[0], load: later, "separation": _deviance(_newton(x, whole_counts[before], whole_counts[now]), x, whole_counts[before], whole_counts[now]), "auc": whole}
         for i, n in enumerate(names):
-            out[f"lost_{n}"] = whole - crossed(hot[:i] + hot[i + 1 :])
+            out[f"lost_{n}"] = whole - crossed([hot[j] for j in varied if j != i]) if i in varied else 0.0
         return pd.DataFrame(out)
 
     return placed.repartition(tasks(placed.sparkSession), group, "__block").groupBy(group, "__block").applyInPandas(lambda key, pdf: train(key, pdf), schema)

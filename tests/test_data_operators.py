@@ -272,6 +272,18 @@ def test_two_writers_of_one_table(spark, rows, monkeypatch):
 
 
 
+def test_scratch_folders_go_when_asked(spark, tmp_path, monkeypatch):
+    from marlstone import session
+
+    monkeypatch.setattr(session, "_made", [])
+    held = session.keep(spark.range(3), "held")
+    folder = session._made[0].removeprefix("file://")
+    assert held.count() == 3 and session.clean(spark) == 1 and session.clean(spark) == 0
+    import os
+
+    assert not os.path.exists(folder)
+
+
 # Late records and multisets ---------------------------------------------------------------
 
 
@@ -414,6 +426,41 @@ def test_classifier_names_the_changed_column_and_shifts_are_exact(spark):
     assert profile.two_sample(cells.limit(0), "metric", "load", ["missing"]).count() == 0
 
 
+def test_two_sample_equals_plain_gradient_descent(spark):
+    import numpy as np
+
+    counts = {"x": {("a", "u"): (8, 2), ("a", "v"): (2, 2), ("b", "u"): (4, 12), ("b", "v"): (6, 4), (None, "v"): (0, 6)}, "flat": {("a", "u"): (4, 4), ("b", "u"): (6, 6)}}
+    data = [(g, load, a, b, n[load]) for g, cells in counts.items() for (a, b), n in cells.items() for load in (0, 1) if n[load]]
+    got = {r["g"]: r for r in profile.two_sample(spark.createDataFrame(data, "g string, load bigint, a string, b string, n bigint"), "g", "load", ["a", "b"]).collect()}
+
+    def fitted(x, w0, w1):
+        start = np.r_[np.log(w1.sum() / w0.sum()), np.zeros(x.shape[1] - 1)]
+        ridge, t = np.r_[1e-6, np.full(x.shape[1] - 1, profile.RIDGE)], np.zeros(x.shape[1])
+        for _ in range(60_000):
+            p = 1 / (1 + np.exp(-(x @ t)))
+            t -= 0.02 * (x.T @ ((w0 + w1) * p - w1) + ridge * (t - start))
+        return t
+
+    def auc(score, w0, w1):
+        s = np.round(score, 6)
+        return sum(a * b * (1.0 if j > i else 0.5 if j == i else 0.0) for i, a in zip(s, w0) for j, b in zip(s, w1)) / (w0.sum() * w1.sum())
+
+    for g, cells in counts.items():
+        w0, w1 = (np.array([float(c[i]) for c in cells.values()]) for i in (0, 1))
+        columns = [[k[i] for k in cells] for i in (0, 1)]
+        hot = [np.array([[float(v == u) for u in sorted(set(map(str, c)))] for v in map(str, c)]) for c in columns]
+        varied = [i for i in (0, 1) if hot[i].shape[1] > 1]
+        one = np.ones((len(w0), 1))
+        full = lambda use: auc(np.hstack([one, *(hot[i] for i in use)]) @ fitted(np.hstack([one, *(hot[i] for i in use)]), w0 / 2, w1 / 2), w0, w1) if use else 0.5  # noqa: E731, B023  (every count is even: both folds are alike)
+        x = np.hstack([one, *(hot[i] for i in varied)])
+        z, share = x @ fitted(x, w0, w1), w1.sum() / (w0.sum() + w1.sum())
+        gain = -(w1.sum() * np.log(share) + w0.sum() * np.log(1 - share)) - (w1 * np.log1p(np.exp(-z)) + w0 * np.log1p(np.exp(z))).sum()
+        assert abs(got[g]["separation"] - gain) < 1e-3 and abs(got[g]["auc"] - full(varied)) < 1e-6, g
+        for i, n in enumerate("ab"):
+            lost = full(varied) - full([j for j in varied if j != i]) if i in varied else 0.0
+            assert abs(got[g][f"lost_{n}"] - lost) < 1e-6, (g, n)
+
+
 def test_loads_of_very_different_size_are_separated(spark):
     sizes = {"grows": [(20, 0), (1_000_000, 900_000)], "shrinks": [(1_000_000, 900_000), (20, 0)], "third": [(20, 0), (130_000, 39_000)], "one": [(1_000_000, 300_000), (1, 0)], "same": [(20, 0), (1_000_000, 0)]}
     data = [(m, t, missing, n) for m, pair in sizes.items() for t, (n_all, nulls) in enumerate(pair) for missing, n in [(False, n_all - nulls), (True, nulls)] if n]
