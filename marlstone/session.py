@@ -52,9 +52,22 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+_made: list[str] = []
+
+
 def scratch(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the shared folder."""
-    return os.path.join(shared_dir(spark), f"{purpose}-{uuid.uuid4().hex}")
+    """A fresh path below the shared folder, which :func:`clean` deletes."""
+    path = os.path.join(shared_dir(spark), f"{purpose}-{uuid.uuid4().hex}")
+    _made.append(path)
+    return path
+
+
+def clean(spark: SparkSession) -> int:
+    """Delete every scratch folder of this process, once nothing reads frames made from them any more; how many."""
+    gone, _made[:] = list(_made), []
+    for path in gone:
+        remove(spark, path)
+    return len(gone)
 
 
 def tasks(spark: SparkSession) -> int:
