@@ -62,7 +62,8 @@ def winners(rows: DataFrame) -> DataFrame:
     tokens = _tokens(rows, "node").unionByName(earlier)
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("token")
     labels = smallest_member(tokens.join(shared, "token", "left_semi"), "node", "token")
-    return rows.join(labels, "node", "left").withColumns({"winner": F.coalesce("label", "winner"), "grouped": F.col("label").isNotNull()}).drop("label")
+    named = labels.withColumnRenamed("label", "__label")
+    return rows.join(named, "node", "left").withColumns({"winner": F.coalesce("__label", "winner"), "grouped": F.col("__label").isNotNull()}).drop("__label")
 
 
 class MessageStore:
