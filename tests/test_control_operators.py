@@ -361,3 +361,13 @@ def test_command_line(spark, tmp_path, capsys, monkeypatch):
     assert said["eligibility"] == "UNAVAILABLE" and said["pass"] == 1 and said["fail"] == 2
     lines = [json.loads(x) for p in (tmp_path / "out").glob("*.txt") for x in p.read_text().splitlines()]
     assert len(lines) == said["metrics"] and {x["metric"]: x["evaluation"] for x in lines}["gap_exposure"] == "PASS"
+
+
+def test_soak_command_captures_folders_side_by_side(spark, tmp_path, capsys, monkeypatch):
+    from marlstone import __main__, session
+
+    monkeypatch.setattr(session, "build", lambda *a, **k: spark)
+    for name in ("one", "two"):
+        spark.range(5).coalesce(1).write.parquet(str(tmp_path / name))
+    assert __main__.main(["soak", str(tmp_path / "root"), str(tmp_path / "one"), str(tmp_path / "two"), "--max-attempts", "1"]) == 0
+    assert spark.read.parquet(str(tmp_path / "root/normalized/two")).count() == 5 and "CLOSED" in capsys.readouterr().out
