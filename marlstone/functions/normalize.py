@@ -134,13 +134,13 @@ def aggregate_trades(rows: DataFrame, unit: str, keep: Sequence[str] = ()) -> Da
     )
 
 
-def funding_rates(rows: DataFrame) -> DataFrame:
+def funding_rates(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Funding points of either venue: a blank mark price is null, an absent type REGULAR (or NOT_PROVIDED where the venue has none)."""
     has = lambda *names: F.coalesce(*(F.col(n).cast("string") for n in names if n in rows.columns))
     typed = "rateType" in rows.columns or "fundingTime" in rows.columns
     kind = F.upper(F.coalesce(S.text_or_null(F.col("rateType")), F.lit("Regular"))) if "rateType" in rows.columns else F.lit("REGULAR" if typed else "NOT_PROVIDED")
     mark = S.number(S.text_or_null(F.col("markPrice").cast("string"))) if "markPrice" in rows.columns else F.lit(None).cast("decimal(38,18)")
-    return rows.select(F.col("symbol"), S.epoch(has("fundingTime", "fundingRateTimestamp").try_cast("bigint"), "ms").alias("funding_time"), S.number(has("fundingRate")).alias("funding_rate"), mark.alias("mark_price"), kind.alias("rate_type"))
+    return rows.select(*keep, F.col("symbol"), S.epoch(has("fundingTime", "fundingRateTimestamp").try_cast("bigint"), "ms").alias("funding_time"), S.number(has("fundingRate")).alias("funding_rate"), mark.alias("mark_price"), kind.alias("rate_type"))
 
 
 def open_interest(rows: DataFrame) -> DataFrame:
@@ -202,16 +202,40 @@ def forced_orders(envelopes: DataFrame) -> DataFrame:
 
 
 def liquidation_batches(envelopes: DataFrame) -> DataFrame:
-    """Liquidations inside batch payloads: a Buy liquidates a LONG, a Sell a SHORT; the place in the message is part of the identity."""
-    parsed = envelopes.select("envelope_id", "message_id", "received_at", F.posexplode(F.from_json(F.get_json_object("payload", "$.data"), OBJECTS)).alias("event_index", "d"))
+    """Liquidations inside batch payloads: a Buy liquidates a LONG, a Sell a SHORT; the place in the message is part of the identity.
+
+    Other sides are null; :func:`batch_rules` says which rows to refuse.
+    """
+    topic = F.regexp_extract(F.coalesce(F.get_json_object("payload", "$.topic"), F.lit("")), r"\.([^.]+)\z", 1).alias("topic_symbol")
+    parsed = envelopes.select("envelope_id", "message_id", "received_at", topic, F.posexplode(F.from_json(F.get_json_object("payload", "$.data"), OBJECTS)).alias("event_index", "d"))
     side = F.when(_of("d", "S") == "Buy", "LONG").when(_of("d", "S") == "Sell", "SHORT")
     return parsed.select(
-        "envelope_id", "event_index", _of("d", "s").alias("symbol"), F.timestamp_millis(_of("d", "T").try_cast("bigint")).alias("event_time"), side.alias("position_side_liquidated"),
+        "envelope_id", "event_index", "topic_symbol", _of("d", "s").alias("symbol"), F.timestamp_millis(_of("d", "T").try_cast("bigint")).alias("event_time"), side.alias("position_side_liquidated"),
         S.positive(_of("d", "v")).alias("quantity"), S.positive(_of("d", "p")).alias("price"), F.col("received_at").alias("knowledge_time"),
         S.fingerprint([F.col("message_id"), F.col("event_index"), *(_of("d", f) for f in ("s", "T", "S", "v", "p"))]).alias("dedup_fingerprint"),
     )
 
 
+def batch_rules() -> Mapping[str, Column]:
+    """What a liquidation of a batch must meet: its topic's symbol, a side, a size, a price and a time."""
+    c = F.col
+    return {"topic": c("topic_symbol").eqNullSafe(c("symbol")), "side": c("position_side_liquidated").isNotNull(), "quantity": c("quantity") > 0, "price": c("price") > 0, "time": c("event_time").isNotNull()}
+
+
+def order_rules(symbols: Sequence[str] | None = None) -> Mapping[str, Column]:
+    """What a forced order must meet: a known symbol, BUY or SELL, a time, and positive numbers where they are stated."""
+    c = F.col
+    stated = lambda n: c(n).isNull() | (S.number(c(n)) > 0)
+    known = c("symbol").isin(*symbols) if symbols is not None else F.nullif(c("symbol"), F.lit("")).isNotNull()
+    return {"symbol": known, "side": c("source_side").isin("BUY", "SELL"), "time": c("event_time").isNotNull(), "quantity": stated("source_quantity"), "price": stated("source_price")}
+
+
+def funding_rules(symbol: Column) -> Mapping[str, Column]:
+    """What a funding point must meet: the symbol asked for, a time, a rate, and a positive mark price if any."""
+    c = F.col
+    return {"symbol": c("symbol").eqNullSafe(symbol), "time": c("funding_time").isNotNull(), "rate": c("funding_rate").isNotNull(), "mark": c("mark_price").isNull() | (c("mark_price") > 0)}
+
+
 def envelopes(messages: DataFrame) -> DataFrame:
     """Raw messages (source, payload, received_at) with the hash of the payload's sorted form and the hash of its text."""
     canonical = F.to_json(F.expr("try_parse_json(payload)"))

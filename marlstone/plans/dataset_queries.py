@@ -322,6 +322,27 @@ def forced_order_rows(spark: SparkSession, folder: str) -> DataFrame:
     return made.groupBy("symbol", "source_side").agg(F.count(F.lit(1)).alias("rows"), flagged("QUANTITY_RELATION").alias("relation"), flagged("FUTURE_TIMESTAMP").alias("future"), F.max("position_side_liquidated").alias("side"))
 
 
+@query("""with d as (select *, ingest_seq % 5 = 0 as strange, case when ingest_seq % 7 = 0 then 'Hold' when source_side = 'BUY' then 'Buy' when source_side = 'SELL' then 'Sell' else source_side end as side, try_cast(source_quantity as decimal(38,18)) as q, try_cast(source_price as decimal(38,18)) as p from liquidation),
+  r as (select 'batch' as kind, unnest(list_filter([case when strange or symbol is null then 'topic' end, case when not coalesce(side in ('Buy', 'Sell'), false) then 'side' end, case when not coalesce(q > 0, false) then 'quantity' end, case when not coalesce(p > 0, false) then 'price' end, case when event_time is null then 'time' end], lambda x: x is not null)) as rule from d
+    union all select 'order', unnest(list_filter([case when symbol is null or symbol = '' then 'symbol' end, case when not coalesce(case when ingest_seq % 7 = 0 then 'HOLD' else source_side end in ('BUY', 'SELL'), false) then 'side' end, case when event_time is null then 'time' end, case when source_quantity is not null and not coalesce(q > 0, false) then 'quantity' end, case when source_price is not null and not coalesce(p > 0, false) then 'price' end], lambda x: x is not null)) from d
+    union all select 'funding', unnest(list_filter([case when strange or symbol is null then 'symbol' end, case when event_time is null then 'time' end, case when p is null then 'rate' end], lambda x: x is not null)) from d)
+  select kind, rule, count(*) as rows from r group by 1, 2""")
+def message_rule_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """What messages of three kinds break, every fifth one sent under another's name and every seventh without a side."""
+    rows = table(spark, folder, "liquidation", "ingest_seq", "symbol", "event_time", "source_side", "source_quantity", "source_price", "received_at")
+    seq, ms = F.col("ingest_seq"), F.expr("cast(unix_micros(event_time) div 1000 as string)")
+    kept = {"ignoreNullFields": "false"}
+    topic = F.concat(F.lit("allLiquidation."), F.when(seq % 5 == 0, "OTHER").otherwise(F.col("symbol")))
+    item = F.struct(ms.alias("T"), F.col("symbol").alias("s"), F.when(seq % 7 == 0, "Hold").otherwise(F.initcap("source_side")).alias("S"), F.col("source_quantity").alias("v"), F.col("source_price").alias("p"))
+    batch = rows.select(seq.cast("string").alias("envelope_id"), seq.cast("string").alias("message_id"), "received_at", F.to_json(F.struct(F.coalesce(topic, F.lit("none")).alias("topic"), F.array(item).alias("data")), kept).alias("payload"))
+    order = rows.select("symbol", F.when(seq % 7 == 0, "HOLD").otherwise(F.col("source_side")).alias("source_side"), "event_time", "source_quantity", "source_price")
+    asked = rows.select(F.when(seq % 5 == 0, "OTHER").otherwise(F.coalesce("symbol", F.lit("?"))).alias("asked"), "symbol", ms.alias("fundingTime"), F.col("source_price").alias("fundingRate"))
+    points = normalize.funding_rates(asked, keep=["asked"])
+    counted = lambda df, kind, rules: df.select(F.lit(kind).alias("kind"), F.explode(quality.violations(rules)).alias("rule"))
+    every = counted(normalize.liquidation_batches(batch), "batch", normalize.batch_rules()).unionByName(counted(order, "order", normalize.order_rules())).unionByName(counted(points, "funding", normalize.funding_rules(F.col("asked"))))
+    return every.groupBy("kind", "rule").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query("""select source, count(*) as envelopes, count(distinct sha256(payload)) as message_ids from ws_envelope group by 1""")
 def envelope_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Raw messages as envelopes, with the hashes of their text and of their sorted form."""

@@ -156,6 +156,7 @@ def stable_ids(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("instrument_id", scalars.stable_id("key_", fields | {"settle_asset": F.lit(None).cast("string")}).alias("stable_id"), scalars.fingerprint(list(fields.values())).alias("fingerprint"))
 
 
+# The classes that occur in the test tables, their names and marks.
 CLASS_ALIASES = {"individual_trade": "individual_trade", "ohlcv": "ohlcv", "trade_bucket": "derived_trade_bucket", "derived_trade_bucket": "derived_trade_bucket", "liquidation": "liquidations", "liquidations": "liquidations", "open_interest": "open_interest"}
 CLASS_PATTERNS = [("individual_trade", "individual_trade"), ("bucket", "derived_trade_bucket"), ("ohlcv", "ohlcv"), ("liquidation", "liquidations"), ("open_interest", "open_interest")]
 PLAIN_SQL = r"regexp_replace(regexp_replace(replace(relative_path, '\', '/'), '/+', '/', 'g'), '^(\./)+', '')"
