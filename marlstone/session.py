@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -18,6 +20,8 @@ DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+_shipped: set[str] = set()
+
 
 def build(master: str = "local[8]", shuffle_partitions: int = 8, memory: str = "8g", **extra: str) -> SparkSession:
     """A local session with this engine's defaults; on a cluster the caller brings its own."""
@@ -25,7 +29,18 @@ def build(master: str = "local[8]", shuffle_partitions: int = 8, memory: str = "
     settings = DEFAULTS | {"spark.sql.shuffle.partitions": str(shuffle_partitions)} | extra
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship(builder.getOrCreate())
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Give the executors this package, for sessions whose executors don't have it installed; once a session is enough."""
+    root = os.path.dirname(os.path.abspath(__file__))
+    if spark.sparkContext.applicationId not in _shipped:
+        _shipped.add(spark.sparkContext.applicationId)
+        folder = tempfile.mkdtemp(prefix="marlstone-package-")  # the driver serves it from here to all executors
+        atexit.register(shutil.rmtree, folder, True)
+        spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(folder, "marlstone-package"), "zip", os.path.dirname(root), os.path.basename(root)))
+    return spark
 
 
 def is_local(spark: SparkSession) -> bool:
